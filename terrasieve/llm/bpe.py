@@ -79,13 +79,15 @@ SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _BESIDE_SPACE = re.compile(f" [{SPACES}]|[{SPACES}] ")
 
 
+def read_ranks(ranks_file: bytes) -> dict[int, bytes]:
+    """Rank -> piece of a vocabulary file with a base64 piece and its rank on each line."""
+    lines = (line.split() for line in ranks_file.splitlines() if line.strip())
+    return {int(rank): base64.b64decode(piece) for piece, rank in lines}
+
+
 class Codec:
     def __init__(self, ranks_file: bytes, pattern: str):
-        self.pieces: dict[int, bytes] = {}
-        for line in ranks_file.splitlines():
-            if line.strip():
-                piece, rank = line.split()
-                self.pieces[int(rank)] = base64.b64decode(piece)
+        self.pieces = read_ranks(ranks_file)
         self.names = {rank: str(rank) for rank in self.pieces}
         self.whole = PerfectHash(list(self.pieces.values()))
         rank_of = {piece: rank for rank, piece in self.pieces.items()}

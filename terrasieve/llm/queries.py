@@ -6,21 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, simhash
+from . import bpe, quality, shards, simhash, wordpiece
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(read_table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(read_table(spark, sf_dir, "documents"), 24)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_byte_bpe, op9_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_token_counts, op6_byte_bpe, op7_sharding, op8_quality, op9_simhash)}
 
 ORACLES: dict[str, str] = {}

@@ -6,12 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, quality, shards, simhash, wordpiece
+from . import bpe, lines, mixing, quality, shards, simhash, wordpiece
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.drop_repeated(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed_chunks", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -36,6 +45,6 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_token_counts, op6_byte_bpe, op7_sharding, op8_quality, op9_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op5_token_counts, op6_byte_bpe, op7_sharding, op8_quality, op9_simhash)}
 
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, lines, mixing, quality, shards, simhash, wordpiece
+from . import bpe, iblt, lines, mixing, quality, shards, simhash, wordpiece
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op5_token_counts, op6_byte_bpe, op7_sharding, op8_quality, op9_simhash)}
+def op10_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op5_token_counts, op6_byte_bpe, op7_sharding, op8_quality, op9_simhash, op10_iblt)}
 
 ORACLES: dict[str, str] = {}

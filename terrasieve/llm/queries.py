@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, iblt, lines, mixing, quality, shards, simhash, wordpiece
+from . import ann, bpe, iblt, lines, mixing, quality, shards, simhash, suffixes, wordpiece
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read_table(spark, sf_dir, "embeddings"), F.col("row") % 50 == 0, k=5)
 
 
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,6 @@ def op10_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_ann, op5_token_counts, op6_byte_bpe, op7_sharding, op8_quality, op9_simhash, op10_iblt)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_ann, op4_suffix_array, op5_token_counts, op6_byte_bpe, op7_sharding, op8_quality, op9_simhash, op10_iblt)}
 
 ORACLES: dict[str, str] = {}

@@ -197,6 +197,22 @@ def decode(rows: DataFrame, ids_col: str = "ids", out: str = "decoded", path: st
     return rows.withColumn(out, back(F.col(ids_col)))
 
 
+def encode_checked(docs: DataFrame, text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """`docs` with n_tokens, ids and exact: whether decoding the ids gives the text's bytes again. Null texts have no ids."""
+    shared, pattern = _shared(docs.sparkSession, path, pattern)
+
+    @F.pandas_udf("ids array<int>, exact boolean")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = codec(shared.value, pattern)
+        for texts in batches:
+            ids = [own.encode(t or "").astype(np.int32) for t in texts]
+            exact = [own.decode(x.tolist()) == (t or "").encode() for x, t in zip(ids, texts)]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "exact": pd.Series(exact, dtype=bool)})
+
+    done = docs.drop("n_tokens", "ids", "exact").withColumn("__bpe", both(F.col(text_col)))
+    return done.withColumns({"n_tokens": F.size("__bpe.ids").cast("long"), "ids": F.col("__bpe.ids"), "exact": F.col("__bpe.exact")}).drop("__bpe")
+
+
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) for every row: encodes the whole text, decodes the ids, and digests both.
 

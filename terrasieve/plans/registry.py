@@ -1,4 +1,4 @@
-"""All registered queries of the reference's operators, and their SQL."""
+"""All registered queries of the library's operators, and their SQL."""
 
 from __future__ import annotations
 
@@ -26,13 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("""
-SELECT o_orderstatus AS level, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 3) AS share
-FROM orders GROUP BY o_orderstatus
-""")
-def level_share_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG-1, AGG-2: records per level with their share of the total."""
-    from pyspark.sql import Window
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as places: longitude 139 + 5 e0, latitude 36 + 5 e1."""
+    e = table(spark, sf_dir, "embeddings")
+    at = lambda i, base: (F.lit(float(base)) + 5 * F.get("embedding", F.lit(i)).cast("double"))
+    return e.select("vec_id", "label", at(0, 139).alias("lon"), at(1, 36).alias("lat"))
 
-    counts = table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("level")).agg(F.count("*").alias("n"))
-    return counts.withColumn("share", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()), 3))
+
+POINTS_SQL = "SELECT vec_id, label, 139 + 5 * embedding[1]::DOUBLE AS lon, 36 + 5 * embedding[2]::DOUBLE AS lat FROM embeddings"
+HAVERSINE_SQL = "2 * 6371.0088 * asin(sqrt(least(pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2), 1.0)))"
+
+from . import names, places, registers, shown  # noqa: E402, F401  they register their queries

@@ -23,7 +23,9 @@ def _blocks(text: str | None) -> list[bytes]:
     return [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)] or [b""]
 
 
-def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
+def _compressor(dictionary: bytes | None) -> zstandard.ZstdCompressor:
+    if dictionary is None:
+        return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
     known = zstandard.ZstdCompressionDict(dictionary)
     known.precompute_compress(level=LEVEL)
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False, write_dict_id=False, write_checksum=False)
@@ -38,16 +40,20 @@ class Model:
     weights: tuple[float, ...] = (0.0, 0.0, 0.0)
 
     def measures(self, texts) -> np.ndarray:
-        """Of each whole text: how much smaller the good dictionary makes it than the bad one, and its best ratio, both a byte."""
-        good, bad = _compressor(self.good), _compressor(self.bad)
+        """Of each whole text: how much smaller the good dictionary makes it than the bad one, and its size without either, both a byte.
+
+        The last tells texts that repeat themselves. It takes no dictionary, so a text that lies in one is none of them.
+        """
+        good, bad, alone = _compressor(self.good), _compressor(self.bad), _compressor(None)
         out = np.zeros((len(texts), 2))
         for i, text in enumerate(texts):
-            g = b = n = 0
+            g = b = a = n = 0
             for block in _blocks(text):
                 g += len(good.compress(block))
                 b += len(bad.compress(block))
+                a += len(alone.compress(block))
                 n += len(block)
-            out[i] = (b - g) / max(n, 1), min(g, b) / max(n, 1)
+            out[i] = (b - g) / max(n, 1), a / max(n, 1)
         return out
 
     def calibrated(self, measured: np.ndarray) -> np.ndarray:

@@ -14,8 +14,7 @@ from .common import Stored, stored
 BINS = 16_384  # of doc_id, to cut the table into blocks: the bound on what is broadcast
 BLOCK_ROWS = 500
 PRINT_CELLS = 8  # of the fingerprint, the smallest sketch
-GROUP_LOAD = 12  # digests of both texts that a sketch of a pair should hold; longer texts have several
-SIZES = (256, 2048)  # cells in each of a sketch's three subtables; the larger where peeling fails with the smaller
+FACTORS = (256, 8192)  # cells in each of three subtables for each digest of a pair; the larger where peeling fails with the smaller
 CHECK_SEED = 7
 
 
@@ -68,42 +67,15 @@ def with_next(docs: DataFrame, only: DataFrame | None = None, plan=None) -> Data
     return rows.filter("extra = 0").drop("extra")
 
 
-def _cells(digest: Column, size: int) -> tuple[list[Column], Column]:
-    """A digest's three cells, one in each subtable, and the bits that choose its group."""
-    h = F.xxhash64(digest, F.lit(size))
-    bits = size.bit_length() - 1
-    at = [(F.shiftrightunsigned(h, bits * j).bitwiseAND(F.lit(size - 1)) + j * size).cast("int") for j in range(3)]
-    return at, F.shiftrightunsigned(h, 3 * bits)
-
-
-def _peel(cells: Column, size: int) -> Column:
-    """(found, left): how many digests peeling takes out of a sketch's cells, and how many cells it cannot empty."""
-    check = lambda key: F.xxhash64(key, F.lit(CHECK_SEED))
-
-    def step(state: Column, _: Column) -> Column:
-        pure = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (check(c["key"]) == c["mark"]))
-        return F.when(F.size(pure) == 0, state).otherwise(cut(state, F.get(pure, F.lit(0))))
-
-    def cut(state: Column, one: Column) -> Column:
-        at, _ = _cells(one["key"], size)
-        hit = F.array(*at)
-        less = F.transform(state["cells"], lambda c: F.when(F.array_contains(hit, c["cell"]), F.struct(
-            c["cell"].alias("cell"), (c["n"] - one["n"]).alias("n"), c["key"].bitwiseXOR(one["key"]).alias("key"), c["mark"].bitwiseXOR(one["mark"]).alias("mark"))).otherwise(c))
-        kept = F.filter(less, lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["mark"] != 0))
-        return F.struct(kept.alias("cells"), (state["found"] + 1).alias("found"))
-
-    start = F.struct(cells.alias("cells"), F.lit(0).alias("found"))
-    steps = F.when(F.size(cells) > 0, F.sequence(F.lit(1), F.size(cells))).otherwise(F.array().cast("array<int>"))
-    done = F.aggregate(steps, start, step)
-    return F.struct(done["found"].alias("found"), F.size(done["cells"]).alias("left"))
-
-
-def compare(rows: DataFrame, size: int) -> DataFrame:
+def compare(rows: DataFrame, factor: int) -> DataFrame:
     """(block, place, doc_id, ..., near_edited, near_next, failed) from rows of `with_next`.
 
     All follows from the one shuffle by block: digests of the text, the edited text and the next text are dealt to
-    cells, cells are summed with a sign by text, and each sketch is peeled in its row. Likeness is the Jaccard index:
-    (a + b - d) / (a + b + d) for sets of a and b digests of which d differ; two empty sets are alike.
+    cells, cells are summed with a sign by text, and cells that are left with one digest give it up. Each subtable of a
+    pair has some `factor` cells for each digest (empty ones are not stored), so that one round of peeling takes out
+    all but rarely; whether it did shows where the digests found do not add up to those of the first subtable.
+    Likeness is the Jaccard index: (a + b - d) / (a + b + d) for sets of a and b digests of which d differ; two empty
+    sets are alike.
     """
     n = F.length("text")
     half = F.expr("length(text) div 2")
@@ -116,30 +88,30 @@ def compare(rows: DataFrame, size: int) -> DataFrame:
     item = lambda pair, sign, d, about=nothing: F.struct(F.lit(pair).alias("pair"), F.lit(sign).alias("sign"), d.alias("digest"), about.alias("about"))
     marked = lambda c, pair, sign: F.transform(c, lambda d: item(pair, sign, d))
     signed = [marked(c, pair, sign) for pair, other in ((0, "e"), (1, "x")) for c, sign in (("a", 1), (other, -1))]
-    groups = F.when(F.col("i.pair") == 0, F.col("groups0")).otherwise(F.col("groups1"))
-    dealt = sets.select(
-        "block", "place", *[F.ceil((F.size("a") + F.size(o)) / GROUP_LOAD).alias(f"groups{k}") for k, o in enumerate(("e", "x"))],
-        F.explode(F.concat(F.array(item(-1, 0, F.lit(0).cast("long"), about)), *signed)).alias("i"),
-    )
-    at, bits = _cells(F.col("i.digest"), size)
-    spread = dealt.select(
-        "block", "place", "i.pair", "i.sign", "i.digest", "i.about", F.pmod(bits, F.greatest(groups, F.lit(1))).alias("group"),
-        F.explode(F.when(F.col("i.pair") >= 0, F.array(*at)).otherwise(F.array(F.lit(0)))).alias("cell"),
-    )
-    cells = spread.groupBy("block", "place", "pair", "group", "cell", "about").agg(
-        F.sum("sign").alias("n"), F.bit_xor("digest").alias("key"), F.bit_xor(F.xxhash64("digest", F.lit(CHECK_SEED))).alias("mark"),
-    ).filter("n <> 0 OR key <> 0 OR about IS NOT NULL")
-    sketch = F.collect_list(F.when(F.col("pair") >= 0, F.struct("cell", "n", "key", "mark")))
-    sketches = cells.groupBy("block", "place", "pair", "group").agg(sketch.alias("cells"), F.max("about").alias("about"))
-    peeled = sketches.select("block", "place", "pair", "about", _peel(F.col("cells"), size).alias("p"))
-    differ = lambda pair: F.sum(F.when(F.col("pair") == pair, F.col("p.found")).otherwise(0)).alias(f"d{pair}")
-    whole = peeled.groupBy("block", "place").agg(differ(0), differ(1), F.sum("p.left").alias("left"), F.max("about").alias("about"))
+    power = lambda other: F.lit(1).cast("long") * F.pow(F.lit(2.0), F.ceil(F.log2((F.size("a") + F.size(other) + 1) * F.lit(float(factor))))).cast("long")
+    dealt = sets.select("block", "place", power("e").alias("cells0"), power("x").alias("cells1"), F.explode(F.concat(F.array(item(-1, 0, F.lit(0).cast("long"), about)), *signed)).alias("i"))
+    size = F.when(F.col("i.pair") == 0, F.col("cells0")).otherwise(F.col("cells1"))
+    dealt = dealt.select("block", "place", "i.pair", "i.sign", "i.digest", "i.about", size.alias("size"), F.explode(F.when(F.col("i.pair") >= 0, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))).alias("table"))
+    cell = F.xxhash64("digest", "table").bitwiseAND(F.col("size") - 1)
+    check = lambda key: F.xxhash64(key, F.lit(CHECK_SEED))
+    cells = dealt.groupBy("block", "place", "pair", "table", cell.alias("cell"), "about").agg(F.sum("sign").alias("n"), F.bit_xor("digest").alias("key"), F.bit_xor(check(F.col("digest"))).alias("mark"))
+    cells = cells.filter("n <> 0 OR key <> 0 OR mark <> 0 OR about IS NOT NULL")
+    alone = (F.col("pair") >= 0) & (F.abs("n") == 1) & (check(F.col("key")) == F.col("mark"))
+    first = F.col("table") == 0
+    found = cells.groupBy("block", "place", "pair", F.when(alone, F.col("key")).alias("found"), "about").agg(
+        F.max(F.when(alone, F.col("n"))).alias("n"), F.sum(F.when(first, F.col("n")).otherwise(0)).alias("all_n"), F.bit_xor(F.when(first, F.col("key")).otherwise(0)).alias("all_key"))
+    of = lambda pair, value: F.when(F.col("pair") == pair, value)
+    sums = [x.alias(f"{name}{pair}") for pair in (0, 1) for name, x in (
+        ("d", F.count(of(pair, F.col("found")))), ("n", F.coalesce(F.sum(of(pair, F.col("all_n") - F.coalesce("n", F.lit(0)))), F.lit(0))),
+        ("key", F.coalesce(F.bit_xor(of(pair, F.col("all_key").bitwiseXOR(F.coalesce("found", F.lit(0).cast("long"))))), F.lit(0).cast("long"))))]
+    whole = found.groupBy("block", "place").agg(*sums, F.max("about").alias("about"))
     part = F.split("about", ",")
-    like = lambda other, d: F.when(part[5].cast("int") + part[other].cast("int") == 0, 1.0).otherwise(
-        (part[5].cast("int") + part[other].cast("int") - F.col(d)) / (part[5].cast("int") + part[other].cast("int") + F.col(d)))
+    count = lambda i: part[i].cast("int")
+    like = lambda other, d: F.when(count(5) + count(other) == 0, 1.0).otherwise((count(5) + count(other) - F.col(d)) / (count(5) + count(other) + F.col(d)))
+    failed = F.expr("n0 <> 0 OR n1 <> 0 OR key0 <> 0 OR key1 <> 0")
     return whole.select(
         "block", "place", F.when(part[0] != "", part[0].cast("long")).alias("doc_id"), part[1].cast("long").alias("n_chars"), part[2].alias("edited_sha256"),
-        part[3].alias("fingerprint"), part[4].alias("edited_fingerprint"), like(6, "d0").alias("near_edited"), like(7, "d1").alias("near_next"), (F.col("left") > 0).alias("failed"),
+        part[3].alias("fingerprint"), part[4].alias("edited_fingerprint"), like(6, "d0").alias("near_edited"), like(7, "d1").alias("near_next"), failed.alias("failed"),
     )
 
 
@@ -153,8 +125,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     plan = _blocks(docs)
     done, only = None, None
-    for size in SIZES:
-        made = Stored(compare(with_next(docs, only, plan), size), f"iblt-{size}")
+    for factor in FACTORS:
+        made = Stored(compare(with_next(docs, only, plan), factor), f"iblt-{factor}")
         fresh = made.df if only is None else made.df.join(failed.select("block", "place"), ["block", "place"])
         good = fresh.filter("NOT failed")
         done = good if done is None else done.unionByName(good)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -60,6 +62,37 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+PACK_BYTES = 2 << 20
+
+
+def pack_rows(df: DataFrame) -> DataFrame:
+    """(tag, pack): the rows of `df`, all columns, in compressed blocks of about PACK_BYTES, stored.
+
+    Shuffles of packs carry little, and answers go to a pack and not to each of its rows. A tag is random; storing the
+    packs fixes it.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                n = max(1, batch.num_rows * PACK_BYTES // max(batch.nbytes, 1))
+                while n > 1 and batch.slice(at, n).nbytes > 2 * PACK_BYTES:
+                    n //= 2
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
+                    out.write_batch(batch.slice(at, n))
+                yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["tag", "pack"])
+                at += n
+
+    return stored(df.mapInArrow(pack, "tag long, pack binary"), "packs")
+
+
+def unpack_rows(pack: bytes) -> pa.Table:
+    return pa.ipc.open_stream(pack).read_all()
+
+
 def numbered(df: DataFrame, order: list, out: str = "row_no") -> tuple[DataFrame, int]:
     """Adds a gapless global row number from 0 in the given order, and returns the row count too.
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import stored
+from .common import pack_rows, stored, unpack_rows
 
 WINDOW = 2  # lines whose hashes roll together
 DIVISOR = 3  # a chunk ends where the rolling hash is divisible by it: three lines on average
@@ -51,16 +52,15 @@ def _other(chunk: bytes) -> int:
     return _signed(xxhash.xxh64_intdigest(chunk, 42))  # what Spark's xxhash64 gives
 
 
-def remove(text: str | None, gone: set[tuple[int, int]]) -> tuple[str | None, int, int, int]:
-    """(kept text, lines, removed chunks, removed lines): chunks in `gone`, and repeats within the text, are cut."""
+def remove(text: str | None, first: dict[tuple[int, int], int], doc: int | None) -> tuple[str | None, int, int, int]:
+    """(kept text, lines, removed chunks, removed lines): chunks that an earlier document holds first, and repeats within the text, are cut."""
     if text is None:
         return None, 0, 0, 0
-    cut, seen, chunks = [], set(), 0
-    lines: list[bytes] | None = None
+    cut, seen = [], set()
+    lines: list[bytes] = []
     for start, end, chunk, lines in multi_line(text):
-        if chunk in seen or gone and (_digest(chunk), _other(chunk)) in gone:
+        if chunk in seen or doc is not None and first and first.get((_digest(chunk), _other(chunk)), doc) < doc:
             cut.append((start, end))
-            chunks += 1
         seen.add(chunk)
     if not cut:
         return text, text.count("\n") + 1 if text else 0, 0, 0
@@ -69,63 +69,82 @@ def remove(text: str | None, gone: set[tuple[int, int]]) -> tuple[str | None, in
         kept += lines[at:start]
         at = end
     kept += lines[at:]
-    return b"\n".join(kept).decode(), len(lines), chunks, len(lines) - len(kept)
+    return b"\n".join(kept).decode(), len(lines), len(cut), len(lines) - len(kept)
 
 
 def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with repeated multi-line chunks cut from the text, and n_lines, n_removed_chunks, n_removed_lines.
 
     Of chunks equal byte for byte, the one in the document with the smallest id stays (its first, if it has several);
-    all others go. Digests only propose: chunks whose digest two documents share are shuffled whole and grouped by
-    their bytes, which Spark combines before the shuffle, so a chunk in a third of all documents is sent once a task.
+    all others go. Rows are packed, a few megabytes a pack, and packs are what the shuffles carry. Digests only propose:
+    chunks whose digest two documents share are sent whole, once a pack, and grouped by their bytes, which Spark combines
+    before the shuffle. What a pack needs to know comes back to it once, however many of its rows hold the chunk.
     Rows with a null id lose only repeats of their own; rows that repeat an id count as one document. Null texts stay
     null. Single lines and blank lines are never chunks. A text whose chunks all go is empty. Three new columns replace
     columns of those names; other columns are kept.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-
-    @F.pandas_udf("array<long>")
-    def digests(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([list({_digest(c) for _, _, c, _ in multi_line(t)}) for t in texts], dtype=object)
-
-    @F.pandas_udf("array<struct<digest: long, chunk: binary>>")
-    def whole(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, wanted in batches:
-            out = []
-            for text, asked in zip(texts, wanted):
-                asked = set(asked.tolist())
-                found = {c: d for _, _, c, _ in multi_line(text) if (d := _digest(c)) in asked}
-                out.append([{"digest": d, "chunk": c} for c, d in found.items()])
-            yield pd.Series(out, dtype=object)
-
-    @F.pandas_udf("text string, n_lines long, n_removed_chunks long, n_removed_lines long")
-    def cleaned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        names = ["text", "n_lines", "n_removed_chunks", "n_removed_lines"]
-        for texts, gone in batches:
-            out = [remove(t, set() if g is None else {(x["digest"], x["other"]) for x in g}) for t, g in zip(texts, gone)]
-            yield pd.DataFrame(out, columns=names)
-
-    held = stored(rows.filter("doc_id IS NOT NULL").select("doc_id", F.explode(digests("text")).alias("digest")), "line-chunks")
-    shared = held.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("digest")
-    proposed = stored(held.join(shared, "digest").select("doc_id", "digest").distinct(), "line-proposed")
-    asked = proposed.groupBy("doc_id").agg(F.collect_list("digest").alias("asked"))
-    bytes_of = rows.join(asked, "doc_id").select("doc_id", F.explode(whole("text", "asked")).alias("c")).select("doc_id", "c.*")
-    equal = bytes_of.groupBy("digest", "chunk").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    made = ("n_lines", "n_removed_chunks", "n_removed_lines")
+    docs = docs.drop(*made)
+    packs = pack_rows(docs)
+
+    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for tag, data in zip(batch["tag"], batch["pack"]):
+                low, high = {}, {}
+                for doc, text in _columns(data, id_col, text_col):
+                    for digest in {_digest(c) for _, _, c, _ in multi_line(text)} if doc is not None else ():
+                        low[digest] = min(doc, low.get(digest, doc))
+                        high[digest] = max(doc, high.get(digest, doc))
+                yield pd.DataFrame({"digest": list(low), "tag": tag, "low": list(low.values()), "high": [high[d] for d in low]}).astype("int64")
+
+    def whole(pack: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        wanted, low, high = set(asked["digest"].tolist()), {}, {}
+        for data in pack["pack"] if wanted else ():
+            for doc, text in _columns(data, id_col, text_col):
+                for _, _, c, _ in multi_line(text) if doc is not None else ():
+                    if (key := (_digest(c), c))[0] in wanted:
+                        low[key] = min(doc, low.get(key, doc))
+                        high[key] = max(doc, high.get(key, doc))
+        rows = [(d, c, first, high[d, c]) for (d, c), first in low.items()]
+        return pd.DataFrame(rows, columns=["digest", "chunk", "low", "high"])
+
+    schema = T.StructType([f for f in docs.schema.fields] + [T.StructField(c, T.LongType()) for c in made])
+
+    def cut(pack: pa.Table, told: pa.Table) -> pa.Table:
+        first = {(d, o): f for d, o, f in zip(*(told[c].to_pylist() for c in ("digest", "other", "first")))}
+        out = []
+        for data in pack["pack"]:
+            rows = unpack_rows(data.as_py())
+            ids = rows[id_col].to_pylist()
+            done = [remove(t, first, doc) for doc, t in zip(ids, rows[text_col].to_pylist())]
+            at = rows.column_names.index(text_col)
+            rows = rows.set_column(at, rows.field(at), pa.chunked_array([pa.array([x[0] for x in done], rows.field(at).type)]))
+            for i, c in enumerate(made, 1):
+                rows = rows.append_column(c, pa.array([x[i] for x in done], pa.int64()))
+            out.append(rows)
+        return pa.concat_tables(out)
+
+    held = stored(packs.mapInPandas(digests, "digest long, tag long, low long, high long"), "line-chunks")
+    shared = held.groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("digest")
+    proposed = stored(held.join(shared, "digest").select("tag", "digest"), "line-proposed")
+    bytes_of = packs.groupBy("tag").cogroup(proposed.groupBy("tag")).applyInPandas(whole, "digest long, chunk binary, low long, high long")
+    equal = bytes_of.groupBy("digest", "chunk").agg(F.min("low").alias("first"), F.max("high").alias("last"))
     # (digest, other) stands for the bytes from here on; were two chunks to share both, neither would be cut
     named = equal.select("digest", F.xxhash64("chunk").alias("other"), "first", "last")
     named = named.groupBy("digest", "other").agg(F.count("*").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
     verified = stored(named.filter("n = 1 AND first < last").select("digest", "other", "first"), "line-verified")
-    later = proposed.join(verified, "digest").filter("first < doc_id")
-    gone = later.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("digest", "other")).alias("__gone"))
-    joined = docs.drop("n_lines", "n_removed_chunks", "n_removed_lines").join(gone, F.col(id_col) == F.col("__id"), "left")
-    made = joined.withColumn("__made", cleaned(F.col(text_col), F.col("__gone")))
-    return made.withColumn(text_col, F.col("__made.text")).select(*[c for c in joined.columns if c not in ("__id", "__gone")], "__made.n_lines", "__made.n_removed_chunks", "__made.n_removed_lines")
+    told = proposed.join(verified, "digest").select("tag", "digest", "other", "first")
+    return packs.groupBy("tag").cogroup(told.groupBy("tag")).applyInArrow(cut, schema)
+
+
+def _columns(data: bytes, *names: str):
+    rows = unpack_rows(data)
+    return zip(*(rows[c].to_pylist() for c in names))
 
 
 def keep_lines(docs: DataFrame) -> DataFrame:
     """The rows of `docs` with repeated chunks cut, columns unchanged; n_chars follows the kept text."""
-    done = drop_repeated(docs.drop("n_lines", "n_removed_chunks", "n_removed_lines"))
+    done = drop_repeated(docs)
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return done.select(*docs.columns)

@@ -302,36 +302,42 @@ def least_documents(texts: list[bytes], least: np.ndarray) -> list[np.ndarray]:
 
 
 def answer_segments(rows: pd.DataFrame) -> pd.DataFrame:
-    """In a part: sorts the suffixes of all packs' segments, and tells each pack the smallest documents of its windows."""
-    index: dict[bytes, int] = {}
+    """In a part: sorts the suffixes of all packs' segments, and tells each pack the smallest documents of its windows.
+
+    A marker with one distinct segment needs no sorting: all its windows are in that segment, in all documents alike.
+    Windows dealt one by one are distinct already.
+    """
+    index: dict[tuple[bool, bytes], int] = {}
     least: list[int] = []
     lists = []
     for data in rows["segments"]:
         sizes, low, text = _unpacked(data, np.uint8, np.int64, np.uint8)
         text, at, own = text.tobytes(), 0, []
         for size, doc in zip(sizes.tolist(), low.tolist()):
-            size = size or WIDTH
-            i = index.setdefault(text[at : at + size], len(least))
-            at += size
+            key = (size == 0, text[at : at + (size or WIDTH)])
+            at += size or WIDTH
+            i = index.setdefault(key, len(least))
             if i == len(least):
                 least.append(doc)
             elif doc < least[i]:
                 least[i] = doc
             own.append(i)
         lists.append(own)
-    texts = list(index)
-    first = np.frombuffer(b"".join(x[:WIDTH] for x in texts), np.uint8)
-    marks = window_markers(first)[::WIDTH]
-    order = np.argsort(marks, kind="stable")
-    total = np.cumsum([len(texts[i]) + 1 for i in order])
-    fresh = np.r_[True, marks[order][1:] != marks[order][:-1]]
-    group_end = np.append(total[np.flatnonzero(fresh)[1:] - 1], total[-1])[np.cumsum(fresh) - 1]  # bytes up to where the marker's segments end
-    block = (group_end - 1) // BLOCK
-    low = np.array(least, np.int64)
-    found: list[np.ndarray] = [None] * len(texts)
-    for k in np.split(order, np.flatnonzero(np.diff(block)) + 1):
-        for i, docs in zip(k, least_documents([texts[i] for i in k], low[k])):
-            found[i] = docs
+    texts, low = [text for _, text in index], np.array(least, np.int64)
+    found = [np.full(len(text) - WIDTH + 1, doc) for text, doc in zip(texts, least)]
+    dealt = np.flatnonzero([not alone for alone, _ in index])
+    if len(dealt):
+        marks = window_markers(np.frombuffer(b"".join(texts[i][:WIDTH] for i in dealt), np.uint8))[::WIDTH]
+        order = np.argsort(marks, kind="stable")
+        _, n = np.unique(marks, return_counts=True)
+        dealt = dealt[order][np.repeat(n > 1, n)]
+        n = n[n > 1]
+    if len(dealt):
+        total = np.cumsum([len(texts[i]) + 1 for i in dealt])
+        group_end = np.repeat(total[np.cumsum(n) - 1], n)  # bytes up to where the marker's segments end
+        for k in np.split(dealt, np.flatnonzero(np.diff((group_end - 1) // BLOCK)) + 1):
+            for i, docs in zip(k, least_documents([texts[i] for i in k], low[k])):
+                found[i] = docs
     runs: list[tuple[np.ndarray, np.ndarray]] = []
     for docs in found:
         head = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])

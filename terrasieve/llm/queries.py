@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import ann, bpe, iblt, lines, mixing, quality, shards, simhash, suffixes, wordpiece
 from .common import read_table
+from .oracles import ORACLES  # noqa: F401  registered beside the queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,5 +59,3 @@ def op10_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_ann, op4_suffix_array, op5_token_counts, op6_byte_bpe, op7_sharding, op8_quality, op9_simhash, op10_iblt)}
-
-ORACLES: dict[str, str] = {}

@@ -30,8 +30,8 @@ def fingerprint(found: Column) -> Column:
     return F.lower(F.concat(F.lpad(F.hex(F.size(found)), 8, "0"), *[F.lpad(F.hex(cell(i)), 16, "0") for i in range(PRINT_CELLS)]))
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """(bin, block, previous block, least doc_id of the block): neighbouring bins of doc_id, some 500 rows together."""
+def _blocks(docs: DataFrame) -> tuple[DataFrame, int, int]:
+    """(bin, block, previous block, least doc_id of the block), and the least doc_id and width of bins: neighbouring bins, some 500 rows together."""
     low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
     low, width = (0, 1) if low is None else (low, (high - low) // BINS + 1)
     bins = docs.select(_bin(low, width).alias("bin"), "doc_id").groupBy("bin").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))

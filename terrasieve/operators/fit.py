@@ -132,3 +132,42 @@ def scale_bar(spans: DataFrame, page: str) -> DataFrame:
         F.count("*").alias("n"), F.min(F.abs(F.col("value"))).alias("low"), F.regr_slope("x", "value").alias("slope"), F.min(F.abs(F.col("y") - F.col("label_y"))).alias("apart"))
     good = lines.filter("n >= 3 AND low = 0 AND slope > 0")
     return good.groupBy(page).agg(F.min_by("slope", F.struct("apart", "y")).alias("points_per_km"))
+
+
+def affine_by_centroids(pairs: DataFrame, group: str, least: int = 3) -> DataFrame:
+    """GEO-11, AGG-17: the affine map of each group by least squares on pairs (x, y) -> (u, v), from sums that Spark combines;
+    groups with too few distinct places have none."""
+    terms = {"xx": "x * x", "xy": "x * y", "yy": "y * y", "sx": "x", "sy": "y", "xu": "x * u", "yu": "y * u", "su": "u", "xv": "x * v", "yv": "y * v", "sv": "v"}
+    sums = pairs.groupBy(group).agg(F.count("*").cast("double").alias("n"), F.count_distinct("x", "y").alias("places"), *[F.sum(F.expr(e)).alias(k) for k, e in terms.items()])
+
+    @F.pandas_udf("array<double>")
+    def solved(s: pd.DataFrame) -> pd.Series:
+        out = []
+        for r in s.itertuples(index=False):
+            gram = np.array([[r.xx, r.xy, r.sx], [r.xy, r.yy, r.sy], [r.sx, r.sy, r.n]])
+            out.append(np.linalg.lstsq(gram, np.array([[r.xu, r.xv], [r.yu, r.yv], [r.su, r.sv]]), rcond=None)[0].ravel().tolist())
+        return pd.Series(out, dtype=object)
+
+    return sums.filter(F.col("places") >= least).select(group, solved(F.struct("n", *terms)).alias("coefficients"))
+
+
+def affine_by_boxes(boxes: DataFrame) -> DataFrame:
+    """GEO-11: maps the box (x0, y0, x1, y1) onto (u0, v0, u1, v1), y turned over, as pages count downwards."""
+    sx, sy = (F.col("u1") - F.col("u0")) / (F.col("x1") - F.col("x0")), (F.col("v0") - F.col("v1")) / (F.col("y1") - F.col("y0"))
+    zero = F.lit(0.0)
+    return boxes.withColumn("coefficients", F.array(sx, zero, zero, sy, F.col("u0") - F.col("x0") * sx, F.col("v1") - F.col("y0") * sy))
+
+
+def scale_plausible(coefficients, points_per_km, lat0, tolerance: float = 0.05):
+    """NUM-6: whether an affine map to degrees keeps the page's scale, to the tolerance, in both directions."""
+    km = lambda i, j: F.hypot(coefficients[i] * 111.320 * F.cos(F.radians(lat0)), coefficients[j] * 110.574)
+    near = lambda x: F.abs(x * points_per_km - 1) <= tolerance
+    return near(km(0, 1)) & near(km(2, 3))
+
+
+def fixed_scale(src: np.ndarray, ref: np.ndarray, points_per_km: float, lon0: float, lat0: float) -> np.ndarray:
+    """GEO-17: the map of page points to degrees whose scale is given; only the shift is fitted, on a plane of kilometres."""
+    kx, ky = 111.320 * np.cos(np.radians(lat0)), 110.574
+    page, ground = src * [1, -1] / points_per_km, (ref - [lon0, lat0]) * [kx, ky]
+    shift, _ = icp(page, ground, shift_by_raster(page, ground), 0)
+    return np.array([[1 / points_per_km / kx, 0.0], [0.0, -1 / points_per_km / ky], [lon0 + shift[0] / kx, lat0 + shift[1] / ky]])

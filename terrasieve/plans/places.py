@@ -254,3 +254,57 @@ def scale_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("o_orderkey") % 7
     s = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("page"), v.cast("double").alias("value"), (v * 3.5 + F.col("o_custkey") % 11).alias("x"), (F.col("o_orderkey") % 3).cast("double").alias("y"), F.lit(0.0).alias("label_y"))
     return fit.scale_bar(s, "page").select("page", F.round("points_per_km", 6).alias("points_per_km"))
+
+
+@query(f"""
+WITH p AS ({POINTS_SQL}), l AS (SELECT label, lon AS lx, lat AS ly FROM p WHERE vec_id % 50 = 0)
+SELECT vec_id FROM p WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.label = p.label AND abs(p.lon - lx) <= 0.3 AND abs(p.lat - ly) <= 0.3)
+""")
+def legend_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-12."""
+    from ..operators.pages import outside_legend
+
+    p = points(spark, sf_dir).select("vec_id", "label", F.col("lon").alias("x"), F.col("lat").alias("y"))
+    legend = p.filter("vec_id % 50 = 0").select("label", F.col("x").alias("lx"), F.col("y").alias("ly"))
+    return outside_legend(p, legend, "label", 0.3).select("vec_id")
+
+
+@query("""
+WITH t AS (SELECT o_custkey, o_orderkey, o_totalprice AS x, o_orderkey % 40 AS y FROM orders WHERE o_orderkey % 2 = 0),
+m AS (SELECT o_custkey, o_orderpriority AS color, o_totalprice AS mx, o_orderkey % 40 AS my FROM orders WHERE o_orderkey % 2 = 1)
+SELECT o_orderkey, arg_min(color, (x - mx, color)) AS color, round(min(x - mx), 4) AS left_by FROM t JOIN m USING (o_custkey) WHERE mx < x AND abs(my - y) < 6 GROUP BY 1
+""")
+def legend_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-18."""
+    from ..operators.pages import legend_marker as nearest_left
+
+    o = table(spark, sf_dir, "orders").withColumn("y", F.col("o_orderkey") % 40)
+    texts = o.filter("o_orderkey % 2 = 0").select("o_custkey", "o_orderkey", F.col("o_totalprice").alias("x"), "y")
+    markers = o.filter("o_orderkey % 2 = 1").select("o_custkey", F.col("o_orderpriority").alias("color"), F.col("o_totalprice").alias("mx"), F.col("y").alias("my"))
+    return nearest_left(texts, markers, "o_custkey", "o_orderkey", "color").withColumn("left_by", F.round("left_by", 4))
+
+
+@query(f"""
+WITH v AS (SELECT label AS ring_of, vec_id // 30 AS ring, vec_id AS pos, lon - 139 AS x, lat - 36 AS y, lead(lon - 139) OVER w AS x2, lead(lat - 36) OVER w AS y2 FROM ({POINTS_SQL}) WINDOW w AS (PARTITION BY label, vec_id // 30 ORDER BY vec_id)),
+s AS (SELECT ring_of, sum(x * y2 - x2 * y) AS a2, sum((x + x2) * (x * y2 - x2 * y)) AS sx, sum((y + y2) * (x * y2 - x2 * y)) AS sy FROM v WHERE x2 IS NOT NULL GROUP BY 1)
+SELECT ring_of, round(abs(a2) / 2, 6) AS area, round(sx / (3 * a2), 4) AS x, round(sy / (3 * a2), 4) AS y FROM s WHERE a2 <> 0
+""")
+def ring_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-13: of closed or open rings of vectors."""
+    from ..operators.pages import ring_centroids as centroids
+
+    v = points(spark, sf_dir).select(F.col("label").alias("ring_of"), F.expr("vec_id div 30").alias("ring"), F.col("vec_id").alias("pos"), (F.col("lon") - 139).alias("x"), (F.col("lat") - 36).alias("y"))
+    return centroids(v, "ring_of").select("ring_of", F.round("area", 6).alias("area"), F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
+@query("""
+WITH p AS (SELECT l_returnflag AS sheet, l_quantity AS x, l_discount * 100 AS y, 2 * l_quantity - l_discount * 100 + 3 AS u, l_quantity + 0.5 * (l_discount * 100) - 1 AS v FROM lineitem)
+SELECT sheet, unnest(['xu', 'xv', 'yu', 'yv', 'cu', 'cv']) AS name, unnest([2.0, 1.0, -1.0, 0.5, 3.0, -1.0])::DOUBLE AS value FROM p GROUP BY sheet
+""")
+def affine_by_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GEO-11: recovers the map by which pairs were made."""
+    x, y = F.col("l_quantity"), F.col("l_discount") * 100
+    p = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("sheet"), x.alias("x"), y.alias("y"), (2 * x - y + 3).alias("u"), (x + 0.5 * y - 1).alias("v"))
+    names = F.array(*[F.lit(n) for n in ("xu", "xv", "yu", "yv", "cu", "cv")])
+    found = fit.affine_by_centroids(p, "sheet").select("sheet", F.explode(F.arrays_zip(names.alias("name"), F.col("coefficients").alias("value"))).alias("z"))
+    return found.select("sheet", "z.name", F.round("z.value", 4).alias("value"))

@@ -197,3 +197,26 @@ def test_page_elements(spark):
     box = [(100.0, 100.0), (200.0, 100.0), (200.0, 200.0), (100.0, 200.0)]
     strokes = spark.createDataFrame([(1, box), (2, [(100.0, 100.0), (150.0, 180.0), (160.0, 170.0), (170.0, 120.0)]), (3, [(5.0, 100.0), (50.0, 80.0)])], "i int, p array<struct<x:double,y:double>>")
     assert {r.i: r.d for r in strokes.select("i", readers.is_decoration(F.col("p"), 600, 800).alias("d")).collect()} == {1: True, 2: False, 3: True}
+
+
+def test_sheets(spark):
+    from terrasieve.operators import pages
+
+    spans = spark.createDataFrame([(1, "12", 0.0, 5.0, 10.0), (1, ",札", 5.5, 9.0, 10.2), (1, "x", 30.0, 33.0, 10.1), (1, "y", 0.0, 3.0, 20.0)], "page int, text string, x0 double, x1 double, y double")
+    assert [r.text for r in pages.merged_spans(spans, "page").orderBy("y", "x").collect()][-1] == "y"
+    far, near = [(100.0, 100.0), (500.0, 300.0), (520.0, 130.0), (90.0, 310.0)], [(100.0, 100.0), (110.0, 120.0)]
+    strokes = spark.createDataFrame([(1, 0.5, far), (1, 0.2, near)], "page int, pen double, points array<struct<x:double,y:double>>")
+    assert {r.pen for r in pages.boundary_cloud(strokes, "page", 600.0, 800.0).collect()} == {0.5}
+    square = [("a", 1, i, x, y) for i, (x, y) in enumerate([(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (0.0, 0.0)])]
+    got = pages.ring_centroids(spark.createDataFrame(square, "code string, ring int, pos int, x double, y double"), "code").first()
+    assert (got.area, got.x, got.y) == (4.0, 1.0, 1.0)
+
+
+def test_scales(spark):
+    rng = np.random.default_rng(1)
+    ref = rng.random((200, 2)) * [2, 1.5] + [139, 35]
+    m = fit.fixed_scale((ref - [139, 36.5]) * [111.320 * np.cos(np.radians(35.7)), -110.574] * 2.0, ref, 2.0, 139.0, 35.7)
+    df = spark.createDataFrame([(m.ravel().tolist(),)], "c array<double>")
+    assert df.select(fit.scale_plausible(F.col("c"), F.lit(2.0), F.lit(35.7))).first()[0] and not df.select(fit.scale_plausible(F.col("c"), F.lit(2.5), F.lit(35.7))).first()[0]
+    boxes = spark.createDataFrame([(0.0, 0.0, 10.0, 20.0, 139.0, 35.0, 140.0, 36.0)], "x0 double, y0 double, x1 double, y1 double, u0 double, v0 double, u1 double, v1 double")
+    assert np.allclose(fit.affine_by_boxes(boxes).first().coefficients, [0.1, 0, 0, -0.05, 139.0, 36.0])

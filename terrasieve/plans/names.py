@@ -89,13 +89,13 @@ def suffix_match_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH keys AS (
-  SELECT p_brand, p_partkey, unnest(list_distinct([split_part(p_name, ' ', 2), split_part(p_name, ' ', 2) || p_size, split_part(p_name, ' ', 2) || split_part(p_name, ' ', 1)])) AS key FROM part WHERE p_partkey % 7 <> 0)
+  SELECT p_brand, p_partkey, unnest(list_distinct([split_part(p_name, ' ', 2), split_part(p_name, ' ', 2) || p_size, split_part(p_name, ' ', 2) || split_part(p_name, ' ', 1)])) AS key FROM part WHERE p_size > 5)
 SELECT p_brand, key, count(DISTINCT p_partkey) AS n FROM keys GROUP BY 1, 2
 """)
 def town_key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-6."""
     w = F.split("p_name", " ")
-    place = F.when(F.col("p_partkey") % 7 != 0, 1.0)
+    place = F.when(F.col("p_size") > 5, 1.0)
     towns = table(spark, sf_dir, "part").select("p_brand", "p_partkey", w[1].alias("oaza_cho"), F.col("p_size").cast("string").alias("chome"), w[0].alias("koaza"), place.alias("lon"), place.alias("lat"))
     return matching.town_keys(towns, lambda k: k, lambda c: c).groupBy("p_brand", "key").agg(F.count_distinct("p_partkey").alias("n"))
 
@@ -129,13 +129,13 @@ def band_join_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH p AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
-d AS (SELECT a.vec_id, b.vec_id AS ref_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance FROM p a JOIN p b ON b.vec_id % 10 = 0 AND a.vec_id % 10 <> 0)
+WITH p AS (SELECT vec_id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+d AS (SELECT a.vec_id, b.vec_id AS ref_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance FROM p a JOIN p b ON b.label = 0 AND a.label <> 0)
 SELECT vec_id, arg_min(ref_id, (distance, ref_id)) AS ref_id, round(min(distance), 9) AS distance FROM d WHERE distance <= 0.05 GROUP BY 1
 """)
 def nearest_reference_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-15: within reach of 0.05."""
     e = table(spark, sf_dir, "embeddings")
-    p = e.select("vec_id", F.get("embedding", F.lit(0)).cast("double").alias("x"), F.get("embedding", F.lit(1)).cast("double").alias("y"))
-    refs = p.filter("vec_id % 10 = 0").withColumnRenamed("vec_id", "ref_id")
-    return matching.nearest_in_grid(p.filter("vec_id % 10 <> 0"), refs, 0.05, "vec_id", "ref_id").withColumn("distance", F.round("distance", 9))
+    p = e.select("vec_id", "label", F.get("embedding", F.lit(0)).cast("double").alias("x"), F.get("embedding", F.lit(1)).cast("double").alias("y"))
+    refs = p.filter("label = 0").withColumnRenamed("vec_id", "ref_id")
+    return matching.nearest_in_grid(p.filter("label <> 0"), refs, 0.05, "vec_id", "ref_id").withColumn("distance", F.round("distance", 9))

@@ -48,7 +48,7 @@ def position_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DEPENDABLE_SQL = f"""
-SELECT label, avg(lon) AS ref_lon, avg(lat) AS ref_lat FROM ({POINTS_SQL}) WHERE vec_id % 3 = 0 GROUP BY label
+SELECT label, avg(lon) AS ref_lon, avg(lat) AS ref_lat FROM ({POINTS_SQL}) GROUP BY label
 HAVING sqrt(pow(coalesce(stddev_samp(lon), 0) * 90.0, 2) + pow(coalesce(stddev_samp(lat), 0) * 111.1, 2)) <= 90
 """
 
@@ -56,7 +56,7 @@ HAVING sqrt(pow(coalesce(stddev_samp(lon), 0) * 90.0, 2) + pow(coalesce(stddev_s
 @query(f"SELECT label, round(ref_lon, 6) AS ref_lon, round(ref_lat, 6) AS ref_lat FROM ({DEPENDABLE_SQL})")
 def ambiguity_filtered_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-6: names whose places lie close together."""
-    g = quality.dependable_places(points(spark, sf_dir).filter("vec_id % 3 = 0"), ["label"], 90)
+    g = quality.dependable_places(points(spark, sf_dir), ["label"], 90)
     return g.select("label", F.round("ref_lon", 6).alias("ref_lon"), F.round("ref_lat", 6).alias("ref_lat"))
 
 
@@ -67,7 +67,7 @@ FROM ({POINTS_SQL}) LEFT JOIN ({DEPENDABLE_SQL}) USING (label)
 def address_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEO-6, JN-13, NUM-1."""
     p = points(spark, sf_dir)
-    g = quality.dependable_places(p.filter("vec_id % 3 = 0"), ["label"], 90)
+    g = quality.dependable_places(p, ["label"], 90)
     joined = p.join(g, "label", "left")
     return joined.select("vec_id", "label", F.round(geo.haversine(F.col("lat"), F.col("lon"), F.col("ref_lat"), F.col("ref_lon")), 3).alias("adr_dist_km"))
 
@@ -87,14 +87,14 @@ def qa_disjunction_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH e AS (SELECT c_custkey, c_acctbal AS elevation FROM customer WHERE c_custkey % 4 <> 0)
+WITH e AS (SELECT c_custkey, c_acctbal AS elevation FROM customer WHERE c_acctbal > 0)
 SELECT o_orderkey, round(abs(o_totalprice / 1000 - elevation), 6) AS dem_diff FROM orders LEFT JOIN e ON o_custkey = c_custkey
 """)
 def distinct_lookup_fanback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEO-7, JN-12, SRT-4: looked up once a distinct place, then joined back."""
     o = table(spark, sf_dir, "orders")
     asked = o.select("o_custkey").distinct()
-    answers = asked.join(table(spark, sf_dir, "customer").filter("c_custkey % 4 <> 0"), F.col("o_custkey") == F.col("c_custkey")).select("o_custkey", F.col("c_acctbal").alias("elevation"))
+    answers = asked.join(table(spark, sf_dir, "customer").filter("c_acctbal > 0"), F.col("o_custkey") == F.col("c_custkey")).select("o_custkey", F.col("c_acctbal").alias("elevation"))
     return quality.elevation_difference(o, answers, ["o_custkey"], F.col("o_totalprice") / 1000).select("o_orderkey", F.round("DEM_DIFF", 6).alias("dem_diff"))
 
 
@@ -226,10 +226,10 @@ def transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def optimal_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN-16: in each group of about twenty vectors, odd ones are assigned to even ones at the least total distance."""
+    """JN-16: in each group of about twenty vectors, those of the first five labels are assigned to the others at the least total distance."""
     p = points(spark, sf_dir).withColumn("sheet", F.expr("vec_id div 20"))
-    left = p.filter("vec_id % 2 = 1").select("sheet", F.col("vec_id").alias("left_id"), F.col("lon").alias("lx"), F.col("lat").alias("ly"))
-    right = p.filter("vec_id % 2 = 0").select("sheet", F.col("vec_id").alias("right_id"), F.col("lon").alias("rx"), F.col("lat").alias("ry"))
+    left = p.filter("label < 5").select("sheet", F.col("vec_id").alias("left_id"), F.col("lon").alias("lx"), F.col("lat").alias("ly"))
+    right = p.filter("label >= 5").select("sheet", F.col("vec_id").alias("right_id"), F.col("lon").alias("rx"), F.col("lat").alias("ry"))
     pairs = left.join(right, "sheet").withColumn("cost", F.hypot(F.col("lx") - F.col("rx"), F.col("ly") - F.col("ry")))
     return fit.assign_groups(pairs, "sheet", "left_id", "right_id", "cost").withColumn("cost", F.round("cost", 9))
 
@@ -257,7 +257,7 @@ def scale_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH p AS ({POINTS_SQL}), l AS (SELECT label, lon AS lx, lat AS ly FROM p WHERE vec_id % 50 = 0)
+WITH p AS ({POINTS_SQL}), l AS (SELECT label, lon AS lx, lat AS ly FROM p WHERE lat > 36.9)
 SELECT vec_id FROM p WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.label = p.label AND abs(p.lon - lx) <= 0.3 AND abs(p.lat - ly) <= 0.3)
 """)
 def legend_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,13 +265,13 @@ def legend_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.pages import outside_legend
 
     p = points(spark, sf_dir).select("vec_id", "label", F.col("lon").alias("x"), F.col("lat").alias("y"))
-    legend = p.filter("vec_id % 50 = 0").select("label", F.col("x").alias("lx"), F.col("y").alias("ly"))
+    legend = p.filter("y > 36.9").select("label", F.col("x").alias("lx"), F.col("y").alias("ly"))
     return outside_legend(p, legend, "label", 0.3).select("vec_id")
 
 
 @query("""
-WITH t AS (SELECT o_custkey, o_orderkey, o_totalprice AS x, o_orderkey % 40 AS y FROM orders WHERE o_orderkey % 2 = 0),
-m AS (SELECT o_custkey, o_orderpriority AS color, o_totalprice AS mx, o_orderkey % 40 AS my FROM orders WHERE o_orderkey % 2 = 1)
+WITH t AS (SELECT o_custkey, o_orderkey, o_totalprice AS x, o_orderkey % 40 AS y FROM orders WHERE o_orderstatus = 'F'),
+m AS (SELECT o_custkey, o_orderpriority AS color, o_totalprice AS mx, o_orderkey % 40 AS my FROM orders WHERE o_orderstatus <> 'F')
 SELECT o_orderkey, arg_min(color, (x - mx, color)) AS color, round(min(x - mx), 4) AS left_by FROM t JOIN m USING (o_custkey) WHERE mx < x AND abs(my - y) < 6 GROUP BY 1
 """)
 def legend_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,8 +279,8 @@ def legend_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.pages import legend_marker as nearest_left
 
     o = table(spark, sf_dir, "orders").withColumn("y", F.col("o_orderkey") % 40)
-    texts = o.filter("o_orderkey % 2 = 0").select("o_custkey", "o_orderkey", F.col("o_totalprice").alias("x"), "y")
-    markers = o.filter("o_orderkey % 2 = 1").select("o_custkey", F.col("o_orderpriority").alias("color"), F.col("o_totalprice").alias("mx"), F.col("y").alias("my"))
+    texts = o.filter("o_orderstatus = 'F'").select("o_custkey", "o_orderkey", F.col("o_totalprice").alias("x"), "y")
+    markers = o.filter("o_orderstatus <> 'F'").select("o_custkey", F.col("o_orderpriority").alias("color"), F.col("o_totalprice").alias("mx"), F.col("y").alias("my"))
     return nearest_left(texts, markers, "o_custkey", "o_orderkey", "color").withColumn("left_by", F.round("left_by", 4))
 
 

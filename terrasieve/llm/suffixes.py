@@ -30,7 +30,7 @@ WIDTH = 50
 GRAM = 16
 SPAN = WIDTH - GRAM + 1  # grams in a window
 PACK_BYTES = 2 << 20
-SLICE = 1 << 20  # windows worked on at a time, so that a huge text needs little memory
+SLICE = 1 << 16  # windows worked on at a time: arrays stay in a processor's cache, and a huge text needs little memory
 SEGMENT = 32  # windows in a segment, at most
 HOT = 4096  # documents with a marker, about, above which its windows are dealt one by one, by their own hash
 PART_MARKERS, PART_BYTES = 1 << 20, 8 << 20  # what a part should hold
@@ -176,12 +176,12 @@ class Segments:
 
     def __init__(self, pack: Pack, answers: pd.DataFrame, marker_parts: int, parts: int):
         plain, hot = (np.sort(np.frombuffer(b"".join(answers[c]), np.uint64)) for c in ("plain", "hot"))
-        self.texts: dict[tuple[bool, bytes], int] = {}
-        part, least, where, start, doc = [], [], [], [], []
+        seen: tuple[dict[bytes, int], dict[bytes, int]] = {}, {}  # segments, and windows dealt one by one, with their numbers
+        found = []
         data = pack.data.tobytes()
         for marks, pos, n, docs in pack.runs():
             ids = _ids(marks, marker_parts)
-            for known, alone in ((plain, False), (hot, True)):
+            for alone, known in enumerate((plain, hot)):
                 k = np.flatnonzero(_member(ids, known))
                 if not len(k):
                     continue
@@ -190,31 +190,40 @@ class Segments:
                 src = np.repeat(k, pieces)
                 nth = np.arange(len(src)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
                 first = pos[src] + nth * size
-                windows = np.minimum(n[src] - nth * size, size)
-                route = _window_hash(pack.data, first) if alone else marks[src]
-                for s, w, r, d in zip(first.tolist(), windows.tolist(), (route % np.uint64(parts)).tolist(), docs[src].tolist()):
-                    key = (alone, data[s : s + w + WIDTH - 1])
-                    i = self.texts.setdefault(key, len(part))
-                    if i == len(part):
-                        part.append(r)
-                        least.append(pack.ids[d])
-                    elif pack.ids[d] < least[i]:
-                        least[i] = pack.ids[d]
-                    where.append(i)
-                    start.append(s)
-                    doc.append(d)
-        self.part, self.least = np.array(part, np.int64), np.array(least, np.int64)
-        self.where, self.start, self.doc = (np.array(x, np.int64) for x in (where, start, doc))
+                ends = first + np.minimum(n[src] - nth * size, size) + WIDTH - 1
+                route = (_window_hash(pack.data, first) if alone else marks[src]) % np.uint64(parts)
+                found.append((_numbered(data, first, ends, seen, alone), first, docs[src], route.astype(np.int64)))
+        where, start, doc, route = ([np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 4)
+        self.where, self.start, self.doc = where, start, doc
+        self.alone, self.texts = _in_order(seen)
+        self.part, self.least = np.zeros(len(self.texts), np.int64), np.full(len(self.texts), NONE)
+        self.part[where] = route  # the same for all of a segment
+        np.minimum.at(self.least, where, pack.ids[doc])
         self.order = np.argsort(self.part, kind="stable")
 
     def dealt(self) -> Iterator[tuple[int, bytes]]:
         """(part, its segments in order): whether windows are dealt one by one, length, smallest document, bytes."""
-        keys = list(self.texts)
         for k in np.split(self.order, np.flatnonzero(np.diff(self.part[self.order])) + 1):
             if len(k):
-                own = [keys[i] for i in k]
-                sizes = np.array([0 if alone else len(text) for alone, text in own], np.uint8)
-                yield int(self.part[k[0]]), _packed(sizes, self.least[k], b"".join(text for _, text in own))
+                own = [self.texts[i] for i in k.tolist()]
+                sizes = np.where(self.alone[k], 0, [len(text) for text in own]).astype(np.uint8)
+                yield int(self.part[k[0]]), _packed(sizes, self.least[k], b"".join(own))
+
+
+def _numbered(data: bytes, starts: np.ndarray, ends: np.ndarray, seen: tuple[dict, dict], alone: int) -> np.ndarray:
+    """The numbers of the byte strings data[start:end]; new ones get the next."""
+    number, own, other = seen[alone].setdefault, seen[alone], len(seen[1 - alone])
+    return np.array([number(data[i:j], len(own) + other) for i, j in zip(starts.tolist(), ends.tolist())], np.int64)
+
+
+def _in_order(seen: tuple[dict, dict]) -> tuple[np.ndarray, list[bytes]]:
+    """By number: whether a byte string is a window dealt alone, and the string."""
+    alone, texts = np.zeros(len(seen[0]) + len(seen[1]), bool), [b""] * (len(seen[0]) + len(seen[1]))
+    for kind, own in enumerate(seen):
+        for text, i in own.items():
+            texts[i] = text
+        alone[list(own.values())] = kind == 1
+    return alone, texts
 
 
 def _member(ids: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -273,8 +282,8 @@ def suffix_order(text: np.ndarray, reach: int, covered: int = 1) -> np.ndarray:
     return out
 
 
-def least_documents(texts: list[bytes], least: np.ndarray) -> list[np.ndarray]:
-    """For each window of each segment the smallest document among all segments that hold its WIDTH bytes."""
+def least_documents(texts: list[bytes], least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of windows of each segment, and for each window in turn the smallest document among all segments that hold its WIDTH bytes."""
     sizes = np.array([len(x) for x in texts])
     starts = np.cumsum(sizes + 1) - sizes - 1
     whole = np.frombuffer(b"\0".join(texts) + bytes(WIDTH), np.uint8)
@@ -298,7 +307,7 @@ def least_documents(texts: list[bytes], least: np.ndarray) -> list[np.ndarray]:
     low = np.minimum.reduceat(least[owner[sorted_windows]], head)
     found = np.empty(len(at), np.int64)
     found[sorted_windows] = np.repeat(low, np.diff(np.r_[head, len(at)]))
-    return np.split(found, np.cumsum(windows)[:-1])
+    return windows, found
 
 
 def answer_segments(rows: pd.DataFrame) -> pd.DataFrame:
@@ -307,27 +316,25 @@ def answer_segments(rows: pd.DataFrame) -> pd.DataFrame:
     A marker with one distinct segment needs no sorting: all its windows are in that segment, in all documents alike.
     Windows dealt one by one are distinct already.
     """
-    index: dict[tuple[bool, bytes], int] = {}
-    least: list[int] = []
-    lists = []
+    seen: tuple[dict[bytes, int], dict[bytes, int]] = {}, {}
+    lists, lows = [], []
     for data in rows["segments"]:
         sizes, low, text = _unpacked(data, np.uint8, np.int64, np.uint8)
-        text, at, own = text.tobytes(), 0, []
-        for size, doc in zip(sizes.tolist(), low.tolist()):
-            key = (size == 0, text[at : at + (size or WIDTH)])
-            at += size or WIDTH
-            i = index.setdefault(key, len(least))
-            if i == len(least):
-                least.append(doc)
-            elif doc < least[i]:
-                least[i] = doc
-            own.append(i)
+        single = sizes == 0
+        ends = np.cumsum(np.where(single, WIDTH, sizes.astype(np.int64)))
+        starts, text, own = np.r_[0, ends[:-1]], text.tobytes(), np.empty(len(sizes), np.int64)
+        for alone, k in enumerate((np.flatnonzero(~single), np.flatnonzero(single))):
+            own[k] = _numbered(text, starts[k], ends[k], seen, alone)
         lists.append(own)
-    texts, low = [text for _, text in index], np.array(least, np.int64)
-    found = [np.full(len(text) - WIDTH + 1, doc) for text, doc in zip(texts, least)]
-    dealt = np.flatnonzero([not alone for alone, _ in index])
+        lows.append(low)
+    alone, texts = _in_order(seen)
+    low = np.full(len(texts), NONE)
+    np.minimum.at(low, np.concatenate(lists), np.concatenate(lows))
+    n_runs, lengths, docs = np.ones(len(texts), np.int64), [np.array([len(x) - WIDTH + 1 for x in texts])], [low]
+    where = [np.arange(len(texts))]
+    dealt = np.flatnonzero(~alone)
     if len(dealt):
-        marks = window_markers(np.frombuffer(b"".join(texts[i][:WIDTH] for i in dealt), np.uint8))[::WIDTH]
+        marks = window_markers(np.frombuffer(b"".join([texts[i][:WIDTH] for i in dealt]), np.uint8))[::WIDTH]
         order = np.argsort(marks, kind="stable")
         _, n = np.unique(marks, return_counts=True)
         dealt = dealt[order][np.repeat(n > 1, n)]
@@ -335,17 +342,26 @@ def answer_segments(rows: pd.DataFrame) -> pd.DataFrame:
     if len(dealt):
         total = np.cumsum([len(texts[i]) + 1 for i in dealt])
         group_end = np.repeat(total[np.cumsum(n) - 1], n)  # bytes up to where the marker's segments end
+        sorted_here = np.zeros(len(texts), bool)
+        sorted_here[dealt] = True
+        lengths, docs, where = [lengths[0][~sorted_here]], [low[~sorted_here]], [where[0][~sorted_here]]
         for k in np.split(dealt, np.flatnonzero(np.diff((group_end - 1) // BLOCK)) + 1):
-            for i, docs in zip(k, least_documents([texts[i] for i in k], low[k])):
-                found[i] = docs
-    runs: list[tuple[np.ndarray, np.ndarray]] = []
-    for docs in found:
-        head = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
-        runs.append((np.diff(np.r_[head, len(docs)]), docs[head]))
+            windows, found = least_documents([texts[i] for i in k], low[k])
+            owner = np.repeat(k, windows)
+            head = np.flatnonzero(np.r_[True, (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])])
+            lengths.append(np.diff(np.r_[head, len(found)]))
+            docs.append(found[head])
+            where.append(owner[head])
+            n_runs[k] = np.unique(owner[head], return_counts=True)[1][np.argsort(np.argsort(k))]
+    lengths, docs, where = (np.concatenate(x) for x in (lengths, docs, where))
+    order = np.argsort(where, kind="stable")  # runs of the first segment, of the second, and so on
+    lengths, docs = lengths[order].astype(np.uint8), docs[order]
+    first = np.cumsum(n_runs) - n_runs
     out = []
     for tag, own in zip(rows["tag"], lists):
-        lengths, docs = np.concatenate([runs[i][0] for i in own]), np.concatenate([runs[i][1] for i in own])
-        out.append((tag, int(rows["part"].iloc[0]), _packed(np.array([len(runs[i][0]) for i in own], np.uint8), lengths.astype(np.uint8), docs)))
+        many = n_runs[own]
+        at = np.repeat(first[own], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        out.append((tag, int(rows["part"].iloc[0]), _packed(many.astype(np.uint8), lengths[at], docs[at])))
     return pd.DataFrame(out, columns=["tag", "part", "runs"])
 
 

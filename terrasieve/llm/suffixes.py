@@ -115,13 +115,17 @@ class Pack:
         """(marker, first window, windows, document's place) of the longest runs of windows with one marker, by slices."""
         for at in range(0, len(self.data) - WIDTH + 1, SLICE):
             marks = window_markers(self.data[at : at + SLICE + WIDTH - 1])
-            pos = np.arange(at, at + len(marks))
-            doc = np.searchsorted(self.ends, pos, "right")
-            inside = pos + WIDTH <= self.ends[doc]
-            marks, pos, doc = marks[inside], pos[inside], doc[inside]
-            if len(marks):
-                head = np.flatnonzero(np.r_[True, (marks[1:] != marks[:-1]) | (doc[1:] != doc[:-1])])
-                yield marks[head], pos[head], np.diff(np.r_[head, len(marks)]), doc[head]
+            upto = at + len(marks)
+            low, high = np.searchsorted(self.ends, [at, upto - 1], "right")
+            span = slice(low, high + 1)
+            doc = np.repeat(np.arange(low, high + 1), np.minimum(self.ends[span], upto) - np.maximum(self.starts[span], at))
+            inside = np.arange(at + WIDTH, upto + WIDTH) <= self.ends[doc]
+            head = np.flatnonzero(np.r_[True, (marks[1:] != marks[:-1]) | (doc[1:] != doc[:-1]) | (inside[1:] != inside[:-1])])
+            n = np.diff(np.r_[head, len(marks)])
+            kept = inside[head]
+            head, n = head[kept], n[kept]
+            if len(head):
+                yield marks[head], head + at, n, doc[head]
 
 
 def _ids(marks: np.ndarray, parts: int) -> np.ndarray:
@@ -241,6 +245,15 @@ def _window_hash(data: np.ndarray, first: np.ndarray) -> np.ndarray:
         return out * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(8)
 
 
+def _names(keys: np.ndarray) -> np.ndarray:
+    """1, 2, ... by value, equal for equal keys; a few million possible values are counted rather than sorted."""
+    if len(keys) > 1 << 16 and (most := int(keys.max())) < 1 << 25:
+        there = np.zeros(most + 1, bool)
+        there[keys] = True
+        return np.cumsum(there, dtype=np.int64)[keys]
+    return np.unique(keys, return_inverse=True)[1] + 1
+
+
 def suffix_order(text: np.ndarray, reach: int, covered: int = 1) -> np.ndarray:
     """Positions of `text` (numbers from 1) in the order of their suffixes' first `reach` letters, by a difference cover modulo 3.
 
@@ -254,15 +267,20 @@ def suffix_order(text: np.ndarray, reach: int, covered: int = 1) -> np.ndarray:
     rank = np.zeros(n + 3, np.int64)
     if len(sample):
         top = int(t.max()) + 1
-        names = np.unique((t[sample] * top + t[sample + 1]) * top + t[sample + 2], return_inverse=True)[1] + 1
+        names = _names((t[sample] * top + t[sample + 1]) * top + t[sample + 2])
         if names.max() < len(sample) and 3 * covered < reach:
             joined = np.concatenate((names[: len(one)], [0], names[len(one) :]))  # 0 ends the first half
             deeper = suffix_order(joined + 1, reach, 3 * covered)
             place = np.empty(len(joined), np.int64)
             place[deeper] = np.arange(1, len(joined) + 1)
             names = np.concatenate((place[: len(one)], place[len(one) + 1 :]))
-        rank[sample] = names
-        sample = sample[np.argsort(names, kind="stable")]
+            rank[sample] = names
+            at = np.full(len(joined) + 1, -1)
+            at[names] = sample  # ranks are places already
+            sample = at[at >= 0]
+        else:
+            rank[sample] = names
+            sample = sample[np.argsort(names, kind="stable")]
         sample = sample[sample < n]
     rest = np.arange(0, n, 3)
     wide = int(rank.max()) + 1
@@ -378,6 +396,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marker_parts, parts = max(48, total // (16 * PART_MARKERS)), max(48, total // PART_BYTES)
     marks = packs.select("tag", "pack").mapInPandas(deal_markers(marker_parts), "part int, tag long, marks binary")
     known = Stored(marks.groupBy("part").applyInPandas(answer_markers(marker_parts), "tag long, plain binary, hot binary"), "suffix-known").df
+    del marks  # what is stored needs no shuffle files any more; Spark deletes those of plans that nobody holds
 
     def deal(pack: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         rows = []
@@ -387,6 +406,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     segments = packs.groupBy("tag").cogroup(known.groupBy("tag")).applyInPandas(deal, "part int, tag long, segments binary")
     answered = Stored(segments.groupBy("part").applyInPandas(answer_segments, "tag long, part int, runs binary"), "suffix-answers").df
+    del segments
 
     def cut(pack: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         rows = []

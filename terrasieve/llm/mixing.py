@@ -16,7 +16,7 @@ from .common import stored
 DOMAINS = ("clean", "low", "toxic")
 TARGETS = {"clean": 0.95, "low": 0.04, "toxic": 0.01}
 PER_DOMAIN = 3000  # labelled documents of a domain that the classifier learns from at most
-VOCABULARY = 400  # marks that it keeps: the bound on what is broadcast
+VOCABULARY = 400  # marks that it keeps: the bound on what a plan holds as constants
 LEAST_GAIN = 10.0  # below it a mark's difference between domains may be chance
 ROUNDS, TOLERANCE, PATIENCE = 60, 1e-6, 5  # rounds without progress after which the best so far is taken
 
@@ -34,8 +34,7 @@ def _marks(text: Column) -> tuple[Column, Column]:
 
 @dataclass
 class Classifier:
-    words: DataFrame  # word, and the log of its share in the documents of each domain
-    vocabulary: list[str]
+    logs: dict[str, list[float]]  # of a mark: the logs of its shares in the documents of each domain
     priors: dict[str, float]
 
 
@@ -67,18 +66,18 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, per_domain: int = PER_DOM
     share = sum(F.col(d) for d in DOMAINS) / max(sum(sizes.values()), 1)
     gain = sum(F.col(d) * (F.col(f"log_{d}") - F.log(share)) for d in DOMAINS)  # log-likelihood ratio: how surely the mark tells domains apart
     best = per_word.withColumn("gain", F.round(gain, 6)).filter(F.col("gain") > LEAST_GAIN).orderBy(F.desc("gain"), "word").limit(vocabulary).drop("gain", *DOMAINS)
-    words = stored(best, "mix-words")
-    return Classifier(words, [r.word for r in words.select("word").collect()], priors)
+    return Classifier({r.word: [r[f"log_{d}"] for d in DOMAINS] for r in best.collect()}, priors)  # VOCABULARY rows
 
 
 def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
     """(doc_id, n_tokens, p_clean, p_low, p_toxic) for every row; words are the tokens. Null and empty texts have none and get the priors, shifted by their two buckets."""
     n, marks = _marks(F.col("text"))
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), n.alias("n_tokens"), F.array_intersect(marks, F.lit(model.vocabulary or [""])).alias("held"))
-    held = rows.select("doc_id", "row", "n_tokens", F.explode_outer("held").alias("word")).join(F.broadcast(model.words), "word", "left")
-    sums = held.groupBy("doc_id", "row", "n_tokens").agg(*[F.coalesce(F.sum(f"log_{d}"), F.lit(0.0)).alias(f"log_{d}") for d in DOMAINS])
-    for d in DOMAINS:
-        sums = sums.withColumn(f"log_{d}", F.col(f"log_{d}") + math.log(model.priors[d]))
+    logs = F.create_map(*[x for word, values in (model.logs or {"": [0.0] * len(DOMAINS)}).items() for x in (F.lit(word), F.lit(values))])
+    known = F.array(*map(F.lit, model.logs or [""]))
+    held = F.transform(F.array_intersect(marks, known), lambda w: F.try_element_at(logs, w))
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), n.alias("n_tokens"), held.alias("held"))
+    total = lambda i: F.aggregate("held", F.lit(math.log(model.priors[DOMAINS[i]])), lambda a, x: a + x[i])
+    sums = rows.select("doc_id", "row", "n_tokens", *[total(i).alias(f"log_{d}") for i, d in enumerate(DOMAINS)])
     top = F.greatest(*[F.col(f"log_{d}") for d in DOMAINS])
     raised = sums.select("doc_id", "row", "n_tokens", *[F.exp(F.col(f"log_{d}") - top).alias(f"e_{d}") for d in DOMAINS])
     total = sum(F.col(f"e_{d}") for d in DOMAINS)

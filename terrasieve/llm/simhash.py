@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -12,23 +12,33 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from .common import connected_components, stored
 
 BLOCK = 1 << 16  # shingles hashed at a time, so that a huge text needs little memory
+SLICES, SLICE = 5, 12  # short SimHashes of a set of shingles, and their bits
+APART = 24  # of 64 bits: sets that share 0.8 of their shingles differ in 10, and in more than 24 once in some millions
+ALL_PAIRS = 16  # nodes that meet in one place and are compared each with each
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)  # byte value -> its bits, high first
 
 
-def text_simhash(text: str | None, size: int = 3) -> int:
-    """The 64-bit SimHash of a text's word shingles, as a signed number; 0 for a text without words or null."""
+def _shingles(text: str | None, size: int) -> Iterator[np.ndarray]:
+    """Hashes of a text's word shingles, BLOCK at a time; a text of fewer words is one shingle."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return
     size = min(size, len(words))
     line = memoryview(b" ".join(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = len(words) - size + 1
     first, last = starts[:n].tolist(), ends[size - 1 :].tolist()
-    digest, ones = xxhash.xxh64_intdigest, np.zeros((8, 8), np.int64)
+    digest = xxhash.xxh64_intdigest
     for k in range(0, n, BLOCK):
-        hashes = np.fromiter((digest(line[i:j], 42) for i, j in zip(first[k : k + BLOCK], last[k : k + BLOCK])), np.uint64)
+        yield np.fromiter((digest(line[i:j], 42) for i, j in zip(first[k : k + BLOCK], last[k : k + BLOCK])), np.uint64)
+
+
+def _majority(blocks: Iterable[np.ndarray]) -> int:
+    """The SimHash of hashes, as a signed number; 0 for none."""
+    ones, n = np.zeros((8, 8), np.int64), 0
+    for hashes in blocks:
+        n += len(hashes)
         lanes = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
         if len(lanes) < 64:
             ones += np.unpackbits(lanes, axis=1).sum(axis=0, dtype=np.int64).reshape(8, 8)
@@ -39,14 +49,27 @@ def text_simhash(text: str | None, size: int = 3) -> int:
     return int(np.packbits(bits).view(">i8")[0])
 
 
-@F.pandas_udf(T.LongType())
-def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in batches:
-        yield pd.Series([text_simhash(t) for t in texts], dtype="int64")
+def text_simhash(text: str | None, size: int = 3) -> int:
+    """The 64-bit SimHash of a text's word shingles, as a signed number; 0 for a text without words or null."""
+    return _majority(_shingles(text, size))
+
+
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    """Hashes of the distinct word shingles, sorted."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingles(text, size)]))
+
+
+def set_digest(shingles: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), simhash(F.col(text_col)).alias("fp"))
+_MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+
+
+def least_hashes(shingles: np.ndarray) -> list[int]:
+    """For each slice, the shingle that is least under a hash of its own; two sets agree as often as they share shingles."""
+    mixed = (shingles ^ (shingles >> np.uint64(29)))[None, :] * _MULTIPLY[:, None]
+    return mixed.min(axis=1, initial=np.iinfo(np.uint64).max).view(np.int64).tolist()
 
 
 def ball_links(prints: DataFrame, radius: int = 2) -> DataFrame:
@@ -66,34 +89,120 @@ def ball_links(prints: DataFrame, radius: int = 2) -> DataFrame:
     return star.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, root, component_id) for every row: documents whose fingerprints link, directly or by others.
+def _sketched(size: int):
+    @F.pandas_udf("fp long, bits long, marks array<long>")
+    def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            sets = [shingle_set(t, size) for t in texts]
+            yield pd.DataFrame({"fp": [set_digest(s) for s in sets], "bits": [_majority([s]) for s in sets], "marks": [least_hashes(s) for s in sets]})
+
+    return sketch
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of `nodes` (fp, bits, marks) that may share most shingles.
 
-    Null and empty texts have fingerprint 0 and link like any other. Rows with equal fingerprints are one node, so a
+    The 64 bits are cut into short SimHashes, and each goes with a shingle of its own, the least under one hash. A node
+    emits each short SimHash and its variants within one bit, together with that shingle, so that nodes meet if they
+    share the shingle and differ in two or fewer bits. Up to ALL_PAIRS nodes that meet are paired each with each. Of
+    more, each is paired with two, the smallest and one that differs from place to place, so that the pairs of a large
+    group of near copies grow with its size. Pairs that differ in more than APART of all bits are dropped.
+    """
+    flips = F.array(F.lit(0), *[F.lit(1 << i) for i in range(SLICE)])
+    spread = nodes.select("fp", "bits", F.posexplode("marks").alias("slot", "mark")).select("fp", "bits", "slot", "mark", F.expr(f"shiftrightunsigned(bits, slot * {SLICE}) & {(1 << SLICE) - 1}").cast("int").alias("own"))
+    spread = spread.select("fp", "bits", "slot", "mark", "own", F.explode(flips).alias("flip"))
+    spread = spread.select(F.xxhash64("slot", "mark", F.col("own").bitwiseXOR(F.col("flip"))).alias("place"), F.struct("fp", "bits", "flip").alias("node"))
+    met = spread.groupBy("place").agg(F.collect_list("node").alias("nodes")).filter(F.size("nodes") > 1)
+    few = met.filter(F.size("nodes") <= ALL_PAIRS).select("nodes", F.explode("nodes").alias("a")).select("a", F.explode("nodes").alias("b")).filter("a.fp < b.fp")
+    other = F.array_min(F.transform("nodes", lambda x: F.struct(F.xxhash64("place", x["fp"]).alias("rank"), x.alias("node"))))["node"]
+    many = met.filter(F.size("nodes") > ALL_PAIRS).select("nodes", F.array(F.array_min("nodes"), other).alias("heads"))
+    # at its own place a node is paired with the heads there; at its variants' only with heads that differ in two bits, as
+    # others meet it there again. Filtering inside the arrays keeps the rows made in proportion to the nodes.
+    near = lambda a, b: (a["fp"] != b["fp"]) & ((b["flip"] == 0) | (a["flip"] != 0) & (a["flip"] != b["flip"])) & (F.bit_count(a["bits"].bitwiseXOR(b["bits"])) <= APART)
+    of = lambda a: F.transform(F.filter("nodes", lambda b: near(a, b)), lambda b: F.struct(a.alias("a"), b.alias("b")))
+    many = many.select(F.explode(F.flatten(F.transform("heads", of))).alias("pair")).select("pair.a", "pair.b")
+    both = few.unionByName(many).filter(F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= APART)
+    return both.select(F.least("a.fp", "b.fp").alias("a"), F.greatest("a.fp", "b.fp").alias("b")).distinct()
+
+
+def similar_links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The candidate pairs whose sets of shingles have a Jaccard similarity of `similarity` or more."""
+    pairs = stored(candidates(nodes), "simhash-pairs")
+    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    held = rows.join(wanted, "fp").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
+
+    @F.pandas_udf("fp long, shingles binary")
+    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            sets = [shingle_set(t, size) for t in texts]
+            yield pd.DataFrame({"fp": [set_digest(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
+
+    @F.pandas_udf(T.DoubleType())
+    def jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
+        out = []
+        for a, b in zip(left, right):
+            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            out.append(both / max(len(a) + len(b) - both, 1))
+        return pd.Series(out, dtype="float64")
+
+    ids = held.select(F.col("doc_id").alias("held_id")).distinct()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, F.col("id").eqNullSafe(F.col("held_id")), "left_semi")
+    texts = stored(texts.select("text"), "simhash-texts")  # else shingles of all texts are cut before the join
+    sets = stored(texts.select(whole("text").alias("s")).select("s.*").join(wanted, "fp", "left_semi").dropDuplicates(["fp"]), "simhash-sets")
+    full = pairs.join(sets.withColumnsRenamed({"fp": "a", "shingles": "of_a"}), "a").join(sets.withColumnsRenamed({"fp": "b", "shingles": "of_b"}), "b")
+    return full.filter(jaccard("of_a", "of_b") >= similarity - 1e-12).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, similarity: float | None = None) -> DataFrame:
+    """(doc_id, fp, root, component_id) for every row: documents that link, directly or by others.
+
+    Without `similarity`, documents link whose SimHashes `fp` differ in two or fewer bits. With it, `fp` stands for the
+    set of a text's shingles of `size` words, and documents link whose sets have that Jaccard similarity: short SimHashes
+    propose pairs, and the sets themselves decide.
+
+    Null and empty texts are alike and link like any other. Rows with equal fingerprints are one node, so a
     large group of copies adds no links. component_id is the smallest doc_id reachable; a null doc_id is never the
     smallest, and a component of null ids only has a null id. Repeated rows stay, each with its component. An empty
     table gives an empty result; other columns of `docs` are not read.
     """
-    rows = stored(fingerprints(docs, id_col, text_col), "simhash")
-    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-nodes")
-    roots = connected_components(ball_links(nodes.select("fp")))
+    if similarity is None:
+        rows = stored(docs.select(F.col(id_col).alias("doc_id"), _key(size, None)(text_col).alias("fp")), "simhash")
+        nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-nodes")
+        links = ball_links(nodes.select("fp"))
+    else:
+        rows = stored(docs.select(F.col(id_col).alias("doc_id"), _sketched(size)(text_col).alias("s")).select("doc_id", "s.*"), "simhash")
+        nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.first("bits").alias("bits"), F.first("marks").alias("marks")), "simhash-nodes")
+        links = similar_links(docs, rows, nodes, size, similarity, id_col, text_col)
+    roots = connected_components(links)
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_print = stored(rooted.join(named, "root").select("fp", "root", "component_id"), "simhash-classes")
-    return rows.join(of_print, "fp")
+    return rows.select("doc_id", "fp").join(of_print, "fp")
+
+
+def _key(size: int, similarity: float | None):
+    """The column function from a text to the `fp` that near_duplicates gives it."""
+
+    @F.pandas_udf(T.LongType())
+    def key(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([text_simhash(t, size) if similarity is None else set_digest(shingle_set(t, size)) for t in texts], dtype="int64")
+
+    return key
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = 3, similarity: float | None = None) -> DataFrame:
     """The documents (all columns) without near-duplicates: of each component the row with the smallest doc_id stays.
 
     Rows that repeat a doc_id count as one document: the row with the smallest text stays. A component whose ids are
-    all null keeps one row: the smallest text of its smallest fingerprint.
+    all null keeps one row: the smallest text of its smallest fingerprint. `size` and `similarity` as in near_duplicates.
     """
-    classes = near_duplicates(docs)
+    classes = near_duplicates(docs, size=size, similarity=similarity)
     best = stored(classes.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("best")).select("best.*"), "simhash-best")
     named = docs.join(best.filter("NOT none").select("doc_id").distinct(), "doc_id")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
     named = named.withColumn("__first", first).filter("__first = 1").select(*docs.columns)
-    bare = docs.filter("doc_id IS NULL").withColumn("__fp", simhash("text")).join(best.filter("none").select(F.col("fp").alias("__fp")), "__fp")
+    bare = docs.filter("doc_id IS NULL").withColumn("__fp", _key(size, similarity)("text")).join(best.filter("none").select(F.col("fp").alias("__fp")), "__fp")
     first = F.row_number().over(Window.partitionBy("__fp").orderBy("text"))
     return named.unionByName(bare.withColumn("__first", first).filter("__first = 1").select(*docs.columns))

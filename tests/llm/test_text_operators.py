@@ -321,3 +321,39 @@ def test_failed_peeling_is_retried(docs, monkeypatch):
     want = key(iblt.fingerprints(docs).collect())
     monkeypatch.setattr(iblt, "FACTORS", (1, 8192))
     assert key(iblt.fingerprints(docs).collect()) == want
+
+
+# ---- near copies by shared shingles
+
+
+def jaccard_of(a, b, size=5):
+    cut = lambda t: (lambda w: {tuple(w[i : i + min(size, len(w))]) for i in range(max(len(w) - size + 1, 1))} if w else set())((t or "").encode().lower().split())
+    a, b = cut(a), cut(b)
+    return len(a & b) / max(len(a | b), 1)
+
+
+def test_near_copies_by_shared_shingles(spark, docs, no_docs):
+    import random
+
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(3000)}"
+    rows = []
+    for i in range(300):
+        base = [word() for _ in range(rng.randrange(100, 400))]
+        copy = list(base)
+        for _ in range(len(base) // 60 if i < 250 else len(base) // 12):
+            copy[rng.randrange(len(copy))] = word()
+        rows += [(i, " ".join(base)), (1000 + i, " ".join(copy))]
+    base = rows[0][1].split()
+    rows += [(2000 + i, " ".join([*base[:i], "x", *base[i + 1 :]])) for i in range(90)]  # a large group of near copies
+    alike = {i for i in range(300) if jaccard_of(rows[2 * i][1], rows[2 * i + 1][1]) >= 0.8}
+    assert 200 < len(alike) < 290
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one(df, size=5, similarity=0.8).collect()}
+    assert set(range(300)) <= kept and not kept & set(range(2000, 2090))
+    assert kept >= {1000 + i for i in range(300) if i not in alike}  # nothing below the similarity goes
+    assert len({1000 + i for i in alike} - kept) >= 0.97 * len(alike)
+    thin = {r.doc_id for r in simhash.keep_one(df).collect()}
+    assert len({1000 + i for i in alike} - thin) < 0.5 * len(alike)  # what two of 64 bits find
+    assert simhash.keep_one(docs, 5, 0.8).columns == docs.columns and simhash.keep_one(no_docs, 5, 0.8).count() == 0
+    assert simhash.keep_one(docs.filter("doc_id IS NULL"), 5, 0.8).count() == 3

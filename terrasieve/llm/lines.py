@@ -1,7 +1,8 @@
-"""Removal of repeated multi-line chunks, whose bounds the lines themselves choose."""
+"""Removal of repeated passages of lines: chunks whose bounds the lines themselves choose, and pairs of neighbours."""
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,7 +13,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .common import pack_rows, stored, unpack_rows
 
 WINDOW = 2  # lines whose hashes roll together
-DIVISOR = 3  # a chunk ends where the rolling hash is divisible by it: three lines on average
+DIVISOR = 3  # a chunk ends where the rolling hash is divisible by it, after LEAST lines at least
+LEAST = 2
 _BASE, _WORD = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
@@ -20,8 +22,12 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def chunk_bounds(lines: list[bytes], window: int = WINDOW, divisor: int = DIVISOR) -> list[tuple[int, int]]:
-    """Line ranges [from, to) of the chunks. A bound depends on `window` lines only, so that chunks move along with shifted text."""
+def chunk_bounds(lines: list[bytes], window: int = WINDOW, divisor: int = DIVISOR, least: int = LEAST) -> list[tuple[int, int]]:
+    """Line ranges [from, to) of the chunks.
+
+    A bound depends on `window` lines and on the bounds just before, so that chunks move along with shifted text. Only
+    the last chunk may have fewer than `least` lines.
+    """
     hashes = [xxhash.xxh64_intdigest(line) for line in lines]
     lead = pow(_BASE, window, 1 << 64)
     out, start, roll = [], 0, 0
@@ -29,19 +35,24 @@ def chunk_bounds(lines: list[bytes], window: int = WINDOW, divisor: int = DIVISO
         roll = (roll * _BASE + h) & _WORD
         if i >= window:
             roll = (roll - hashes[i - window] * lead) & _WORD
-        if i + 1 == len(lines) or i + 1 >= window and (roll >> 17) % divisor == 0:
+        if i + 1 == len(lines) or i + 1 >= window and i + 1 - start >= least and (roll >> 17) % divisor == 0:
             out.append((start, i + 1))
             start = i + 1
     return out
 
 
 def multi_line(text: str | None) -> Iterator[tuple[int, int, bytes, list[bytes]]]:
-    """(from, to, chunk, lines) for the chunks of two or more lines that are not blank."""
+    """(from, to, chunk, lines) for the chunks of two or more lines that are not blank, and for every two such neighbours.
+
+    Pairs overlap and have no bounds to miss: a repeated passage is a run of repeated pairs, wherever it begins and ends.
+    """
     lines = (text or "").encode().split(b"\n")
-    if len(lines) > 1:
-        for start, end in chunk_bounds(lines):
-            if end - start > 1 and sum(1 for line in lines[start:end] if line.strip()) > 1:
-                yield start, end, b"\n".join(lines[start:end]), lines
+    full = [i for i, line in enumerate(lines) if line.strip()]
+    if len(full) > 1:
+        spans = {(i, j + 1) for i, j in zip(full, full[1:])}
+        spans |= {(i, j) for i, j in chunk_bounds(lines) if bisect_left(full, j) - bisect_left(full, i) > 1}
+        for start, end in sorted(spans):
+            yield start, end, b"\n".join(lines[start:end]), lines
 
 
 def _digest(chunk: bytes) -> int:
@@ -53,34 +64,34 @@ def _other(chunk: bytes) -> int:
 
 
 def remove(text: str | None, first: dict[tuple[int, int], int], doc: int | None) -> tuple[str | None, int, int, int]:
-    """(kept text, lines, removed chunks, removed lines): chunks that an earlier document holds first, and repeats within the text, are cut."""
+    """(kept text, lines, removed passages, removed lines): what an earlier document holds first, and repeats within the text, are cut.
+
+    A repeat within the text is cut if it begins after its first has ended, so that the first stays whole.
+    """
     if text is None:
         return None, 0, 0, 0
-    cut, seen = [], set()
+    cut, seen = set(), {}
     lines: list[bytes] = []
     for start, end, chunk, lines in multi_line(text):
-        if chunk in seen or doc is not None and first and first.get((_digest(chunk), _other(chunk)), doc) < doc:
-            cut.append((start, end))
-        seen.add(chunk)
+        if start >= seen.setdefault(chunk, end) or doc is not None and first and first.get((_digest(chunk), _other(chunk)), doc) < doc:
+            cut.update(range(start, end))
     if not cut:
         return text, text.count("\n") + 1 if text else 0, 0, 0
-    kept, at = [], 0
-    for start, end in cut:
-        kept += lines[at:start]
-        at = end
-    kept += lines[at:]
-    return b"\n".join(kept).decode(), len(lines), len(cut), len(lines) - len(kept)
+    kept = [line for i, line in enumerate(lines) if i not in cut]
+    return b"\n".join(kept).decode(), len(lines), sum(i - 1 not in cut for i in cut), len(cut)
 
 
 def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with repeated multi-line chunks cut from the text, and n_lines, n_removed_chunks, n_removed_lines.
+    """`docs` with repeated passages of two or more lines cut from the text, and n_lines, n_removed_chunks, n_removed_lines.
 
-    Of chunks equal byte for byte, the one in the document with the smallest id stays (its first, if it has several);
+    Content-defined chunks and all pairs of neighbouring lines are compared (`multi_line`); what is cut in one stretch
+    counts as one in n_removed_chunks. Of chunks or pairs equal byte for byte, the one in the document with the smallest id stays (its first, if it has several);
     all others go. Rows are packed, a few megabytes a pack, and packs are what the shuffles carry. Digests only propose:
     chunks whose digest two documents share are sent whole, once a pack, and grouped by their bytes, which Spark combines
     before the shuffle. What a pack needs to know comes back to it once, however many of its rows hold the chunk.
     Rows with a null id lose only repeats of their own; rows that repeat an id count as one document. Null texts stay
-    null. Single lines and blank lines are never chunks. A text whose chunks all go is empty. Three new columns replace
+    null. Lines that repeat without a neighbour stay, and so do blank lines outside
+    of what is cut. A text whose lines all go is empty. Three new columns replace
     columns of those names; other columns are kept.
     """
     made = ("n_lines", "n_removed_chunks", "n_removed_lines")

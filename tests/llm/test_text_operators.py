@@ -357,3 +357,24 @@ def test_near_copies_by_shared_shingles(spark, docs, no_docs):
     assert len({1000 + i for i in alike} - thin) < 0.5 * len(alike)  # what two of 64 bits find
     assert simhash.keep_one(docs, 5, 0.8).columns == docs.columns and simhash.keep_one(no_docs, 5, 0.8).count() == 0
     assert simhash.keep_one(docs.filter("doc_id IS NULL"), 5, 0.8).count() == 3
+
+
+# ---- short passages in documents that else differ
+
+
+def test_short_passages_are_cut_whole(spark):
+    import random
+
+    rng = random.Random(2)
+    line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(8))
+    rows, want = [], {}
+    for i in range(60):
+        passage, own = [line() for _ in range(2 + i % 6)], [line() for _ in range(9)]
+        rows += [(i, "\n".join([line(), line(), *passage, line()])), (1000 + i, "\n".join([*own[:4], *passage, *own[4:]]))]
+        want[1000 + i] = ("\n".join(own), 1, len(passage))
+    rows += [(3000, "\n".join([rows[0][1].split("\n")[0], "alone", rows[2][1].split("\n")[0]]))]  # single lines stay
+    want |= {i: (t, 0, 0) for i, t in rows if i not in want}
+    got = lines.drop_repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.text, r.n_removed_chunks, r.n_removed_lines) for r in got} == want
+    assert all(b - a > 1 for a, b in lines.chunk_bounds([b"%d" % i for i in range(100)])[:-1])
+    assert lines.remove("x\nx\nx\ny", {}, 1)[0] == "x\nx\nx\ny" and lines.remove("x\nx\ny\nx\nx", {}, 1)[0] == "x\nx\ny"

@@ -15,7 +15,9 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-MEMO = 400_000  # entries in a generation of a worker's memo of runs; a quarter of that for words
+from .common import small_batches
+
+MEMO = 200_000  # entries in a generation of a worker's memo of runs; a quarter of that for words
 MEMO_CHARS = 48  # longer runs are not remembered
 
 
@@ -166,6 +168,7 @@ def default_vocabulary() -> tuple[str, str]:
 
 
 def _shared(spark: SparkSession, path: str | None, pattern: str | None):
+    small_batches(spark)
     own_path, own_pattern = default_vocabulary() if path is None or pattern is None else ("", "")
     with open(path or own_path, "rb") as f:  # a vocabulary file lies beside the driver and is below 1 MB
         return spark.sparkContext.broadcast(f.read()), pattern or own_pattern
@@ -216,8 +219,9 @@ def encode_checked(docs: DataFrame, text_col: str = "text", path: str | None = N
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) for every row: encodes the whole text, decodes the ids, and digests both.
 
-    Ids and bytes stay inside the task, one document at a time. Null texts count as empty. Repeated rows and null
-    doc_ids are kept as they are; other columns are not read.
+    Ids and bytes stay inside the task, one document at a time, so a very long text needs memory for itself only. Null
+    texts count as empty. Equal ranks cannot arise, and of equal pairs the leftmost merges first. Repeated rows and null
+    doc_ids are kept as they are; an empty table gives an empty result; other columns are not read.
     """
     shared, pattern = _shared(docs.sparkSession, path, pattern)
 

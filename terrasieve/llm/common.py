@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share (`spark.checkpoint.dir`).
 
-    Only a local session may go without the setting; it then gets a folder of its own.
+    Only a local session may go without the setting; it then gets a folder of its own, on the one machine it runs on, and
+    the session's setting names it from then on. All operators that store anything come here.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where:
@@ -39,6 +40,19 @@ def _delete_quietly(spark: SparkSession, path: str) -> None:
         pass
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches that Python workers get, by bytes: long texts else make batches of many megabytes, which a
+    worker holds several times. A session that has a lower bound keeps it; the setting stays, as plans read it when they run.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, None)
+    if now is None or not now.rstrip("bB").isdigit() or int(now.rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 class Stored:
     """A DataFrame written to the shared folder: lineage ends here, so a lost executor costs a reread only."""
 
@@ -54,7 +68,7 @@ class Stored:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """`df`, written to the shared folder and read again; kept until the driver ends."""
+    """`df`, written to the shared folder and read again; kept until the driver ends, as results may be read late."""
     return Stored(df, name).df
 
 
@@ -86,6 +100,7 @@ def pack_rows(df: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["tag", "pack"])
                 at += n
 
+    small_batches(df.sparkSession)
     return stored(df.mapInArrow(pack, "tag long, pack binary"), "packs")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -59,11 +60,11 @@ def _digest(chunk: bytes) -> int:
     return _signed(xxhash.xxh3_64_intdigest(chunk))
 
 
-def _other(chunk: bytes) -> int:
-    return _signed(xxhash.xxh64_intdigest(chunk, 42))  # what Spark's xxhash64 gives
+def _name(chunk: bytes) -> bytes:
+    return hashlib.sha256(chunk).digest()
 
 
-def remove(text: str | None, first: dict[tuple[int, int], int], doc: int | None) -> tuple[str | None, int, int, int]:
+def remove(text: str | None, first: dict[bytes, int], doc: int | None) -> tuple[str | None, int, int, int]:
     """(kept text, lines, removed passages, removed lines): what an earlier document holds first, and repeats within the text, are cut.
 
     A repeat within the text is cut if it begins after its first has ended, so that the first stays whole.
@@ -73,7 +74,7 @@ def remove(text: str | None, first: dict[tuple[int, int], int], doc: int | None)
     cut, seen = set(), {}
     lines: list[bytes] = []
     for start, end, chunk, lines in multi_line(text):
-        if start >= seen.setdefault(chunk, end) or doc is not None and first and first.get((_digest(chunk), _other(chunk)), doc) < doc:
+        if start >= seen.setdefault(chunk, end) or doc is not None and first and first.get(_name(chunk), doc) < doc:
             cut.update(range(start, end))
     if not cut:
         return text, text.count("\n") + 1 if text else 0, 0, 0
@@ -122,7 +123,7 @@ def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = T.StructType([f for f in docs.schema.fields] + [T.StructField(c, T.LongType()) for c in made])
 
     def cut(pack: pa.Table, told: pa.Table) -> pa.Table:
-        first = {(d, o): f for d, o, f in zip(*(told[c].to_pylist() for c in ("digest", "other", "first")))}
+        first = dict(zip(told["name"].to_pylist(), told["first"].to_pylist()))
         out = []
         for data in pack["pack"]:
             rows = unpack_rows(data.as_py())
@@ -139,12 +140,9 @@ def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shared = held.groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("digest")
     proposed = stored(held.join(shared, "digest").select("tag", "digest"), "line-proposed")
     bytes_of = packs.groupBy("tag").cogroup(proposed.groupBy("tag")).applyInPandas(whole, "digest long, chunk binary, low long, high long")
-    equal = bytes_of.groupBy("digest", "chunk").agg(F.min("low").alias("first"), F.max("high").alias("last"))
-    # (digest, other) stands for the bytes from here on; were two chunks to share both, neither would be cut
-    named = equal.select("digest", F.xxhash64("chunk").alias("other"), "first", "last")
-    named = named.groupBy("digest", "other").agg(F.count("*").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
-    verified = stored(named.filter("n = 1 AND first < last").select("digest", "other", "first"), "line-verified")
-    told = proposed.join(verified, "digest").select("tag", "digest", "other", "first")
+    equal = bytes_of.groupBy("digest", "chunk").agg(F.min("low").alias("first"), F.max("high").alias("last")).filter("first < last")
+    verified = stored(equal.select("digest", F.unhex(F.sha2("chunk", 256)).alias("name"), "first"), "line-verified")  # a SHA-256 stands for bytes
+    told = proposed.join(verified, "digest").select("tag", "name", "first")
     return packs.groupBy("tag").cogroup(told.groupBy("tag")).applyInArrow(cut, schema)
 
 
@@ -154,7 +152,12 @@ def _columns(data: bytes, *names: str):
 
 
 def keep_lines(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` with repeated chunks cut, columns unchanged; n_chars follows the kept text."""
+    """The rows of `docs` with repeated chunks cut, columns unchanged; n_chars follows the kept text.
+
+    Null texts stay null (and n_chars too), empty ones empty; rows of equal id are one document and keep each other's
+    lines; rows with a null id lose repeats of their own only. Names used inside do not clash with columns of `docs`,
+    but for n_lines, n_removed_chunks and n_removed_lines, which an input must not have.
+    """
     done = drop_repeated(docs)
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -10,11 +10,12 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from .common import small_batches
+
 BLOCK = 1024  # bytes compressed at a time: a dictionary counts most near a block's start
 LEVEL = 3
 DICT_BYTES = 112_640
 PER_CLASS = 3000  # labelled documents of a class that the fit uses at most: the bound on what the driver gathers
-FIT_BLOCKS = 4  # blocks that a document gives to its dictionary, evenly over its whole text
 THRESHOLD = 0.7
 
 
@@ -81,8 +82,9 @@ def held_out(doc_id) -> F.Column:
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """Learns dictionaries and calibration from at most `per_class` labelled rows of each class, none of them held out.
 
-    Rows are chosen by a hash of doc_id, alternately for dictionaries and calibration. Rows with a null id or label are
-    not used. Without rows of both classes every score is 0.5.
+    Rows are chosen by a hash of doc_id, alternately for dictionaries and calibration, and learnt from with their whole
+    texts. A doc_id that `docs` repeats counts once, with its smallest text, so that what the driver gathers is bounded by
+    2 * per_class texts. Rows with a null id or label are not used. Without rows of both classes every score is 0.5.
     """
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", "quality")
     picked = None
@@ -95,19 +97,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     spark = docs.sparkSession
     chosen = spark.createDataFrame(chosen, "doc_id long, quality int, part int")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")  # 2 * per_class rows
-
-    @F.pandas_udf("array<binary>")
-    def some_blocks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            out = []
-            for text in batch:
-                every = _blocks(text)
-                out.append([every[i] for i in sorted({k * len(every) // FIT_BLOCKS for k in range(FIT_BLOCKS)})])
-            yield pd.Series(out, dtype=object)
+    texts = texts.groupBy("doc_id", "quality", "part").agg(F.min("text").alias("text"))
 
     samples: dict[int, list[bytes]] = {0: [], 1: []}
-    for row in texts.filter("part = 0").select("quality", "doc_id", some_blocks("text").alias("blocks")).collect():
-        samples[row.quality] += [bytes(b) for b in row.blocks]
+    for row in texts.filter("part = 0").select("quality", "text").toLocalIterator():
+        samples[row.quality] += _blocks(row.text)
     model = Model(*(_dictionary(sorted(samples[q])) for q in (1, 0)))
 
     @F.pandas_udf("array<double>")
@@ -131,7 +125,12 @@ def _dictionary(samples: list[bytes]) -> bytes:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
-    """`docs` with a score from 0 to 1 of each whole text, higher for better text; null and empty texts get one too."""
+    """`docs` with a score from 0 to 1 of each whole text, higher for better text; null and empty texts get one too.
+
+    A column of the name `out` is replaced; other columns are kept. Very long texts are compressed block by block. A row's
+    score depends on its text alone, so repeated rows score alike; an empty table gives an empty result.
+    """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -144,6 +143,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of `docs`, columns unchanged, whose score reaches the threshold."""
+    """The rows of `docs`, columns unchanged, whose score reaches the threshold; a score equal to it does.
+
+    Null and empty texts are scored like others. Repeated rows and rows with a null id stay or go by their texts.
+    """
     scored = score(docs, fit(docs, labels), out="__score")
     return scored.filter(F.col("__score") >= threshold).drop("__score")

@@ -7,9 +7,9 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import connected_components, stored
+from .common import connected_components, small_batches, stored
 
 BLOCK = 1 << 16  # shingles hashed at a time, so that a huge text needs little memory
 SLICES, SLICE = 5, 12  # short SimHashes of a set of shingles, and their bits
@@ -83,7 +83,8 @@ def ball_links(prints: DataFrame, radius: int = 2) -> DataFrame:
     if radius != 2:
         raise ValueError("only radius 2 is built: variants within one bit")
     flips = F.array(F.lit(0).cast("long"), *[F.lit((1 << i) - (1 << 64 if i == 63 else 0)) for i in range(64)])
-    spread = prints.select("fp", F.explode(F.transform(flips, lambda m: F.col("fp").bitwiseXOR(m))).alias("variant"))
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = prints.repartition(tasks, "fp").select("fp", F.explode(F.transform(flips, lambda m: F.col("fp").bitwiseXOR(m))).alias("variant"))
     met = spread.groupBy("variant").agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
     star = met.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a <> b").distinct()
     return star.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
@@ -125,17 +126,19 @@ def candidates(nodes: DataFrame) -> DataFrame:
     return both.select(F.least("a.fp", "b.fp").alias("a"), F.greatest("a.fp", "b.fp").alias("b")).distinct()
 
 
-def similar_links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The candidate pairs whose sets of shingles have a Jaccard similarity of `similarity` or more."""
+def similar_links(texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The candidate pairs of `nodes` whose sets of shingles have a Jaccard similarity of `similarity` or more.
+
+    Sets are cut again from the text of one row a node (`held`, a row of `texts`), for nodes in candidate pairs only.
+    """
     pairs = stored(candidates(nodes), "simhash-pairs")
     wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    held = rows.join(wanted, "fp").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
+    rows = nodes.join(wanted, "fp").select("fp", F.col("held").alias("row"))
 
-    @F.pandas_udf("fp long, shingles binary")
-    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            sets = [shingle_set(t, size) for t in texts]
-            yield pd.DataFrame({"fp": [set_digest(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
+    @F.pandas_udf("binary")
+    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([shingle_set(t, size).tobytes() for t in batch], dtype=object)
 
     @F.pandas_udf(T.DoubleType())
     def jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -146,63 +149,63 @@ def similar_links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, size: int,
             out.append(both / max(len(a) + len(b) - both, 1))
         return pd.Series(out, dtype="float64")
 
-    ids = held.select(F.col("doc_id").alias("held_id")).distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, F.col("id").eqNullSafe(F.col("held_id")), "left_semi")
-    texts = stored(texts.select("text"), "simhash-texts")  # else shingles of all texts are cut before the join
-    sets = stored(texts.select(whole("text").alias("s")).select("s.*").join(wanted, "fp", "left_semi").dropDuplicates(["fp"]), "simhash-sets")
+    picked = stored(texts.select("row", "text").join(rows, "row").select("fp", "text"), "simhash-texts")  # else shingles of all texts are cut before the join
+    sets = stored(picked.select("fp", whole("text").alias("shingles")), "simhash-sets")
     full = pairs.join(sets.withColumnsRenamed({"fp": "a", "shingles": "of_a"}), "a").join(sets.withColumnsRenamed({"fp": "b", "shingles": "of_b"}), "b")
     return full.filter(jaccard("of_a", "of_b") >= similarity - 1e-12).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, similarity: float | None = None) -> DataFrame:
-    """(doc_id, fp, root, component_id) for every row: documents that link, directly or by others.
+def _classes(texts: DataFrame, size: int, similarity: float | None) -> DataFrame:
+    """(row, doc_id, fp, root, component_id) of rows (row, doc_id, text); with a similarity, `texts` is stored."""
+    small_batches(texts.sparkSession)
+    if similarity is None:
 
-    Without `similarity`, documents link whose SimHashes `fp` differ in two or fewer bits. With it, `fp` stands for the
-    set of a text's shingles of `size` words, and documents link whose sets have that Jaccard similarity: short SimHashes
-    propose pairs, and the sets themselves decide.
+        @F.pandas_udf(T.LongType())
+        def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for batch in batches:
+                yield pd.Series([text_simhash(t, size) for t in batch], dtype="int64")
 
-    Null and empty texts are alike and link like any other. Rows with equal fingerprints are one node, so a
-    large group of copies adds no links. component_id is the smallest doc_id reachable; a null doc_id is never the
-    smallest, and a component of null ids only has a null id. Repeated rows stay, each with its component. An empty
-    table gives an empty result; other columns of `docs` are not read.
-    """
-    if similarity is None:
-        rows = stored(docs.select(F.col(id_col).alias("doc_id"), _key(size, None)(text_col).alias("fp")), "simhash")
+        rows = stored(texts.select("row", "doc_id", prints("text").alias("fp")), "simhash")
         nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-nodes")
         links = ball_links(nodes.select("fp"))
     else:
-        rows = stored(docs.select(F.col(id_col).alias("doc_id"), _sketched(size)(text_col).alias("s")).select("doc_id", "s.*"), "simhash")
-        nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.first("bits").alias("bits"), F.first("marks").alias("marks")), "simhash-nodes")
-        links = similar_links(docs, rows, nodes, size, similarity, id_col, text_col)
+        rows = stored(texts.select("row", "doc_id", _sketched(size)("text").alias("s")).select("row", "doc_id", "s.*"), "simhash")
+        nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("held"), F.first("bits").alias("bits"), F.first("marks").alias("marks")), "simhash-nodes")
+        links = similar_links(texts, nodes, size, similarity)
     roots = connected_components(links)
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_print = stored(rooted.join(named, "root").select("fp", "root", "component_id"), "simhash-classes")
-    return rows.select("doc_id", "fp").join(of_print, "fp")
+    return rows.select("row", "doc_id", "fp").join(of_print, "fp")
 
 
-def _key(size: int, similarity: float | None):
-    """The column function from a text to the `fp` that near_duplicates gives it."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, similarity: float | None = None) -> DataFrame:
+    """(doc_id, fp, root, component_id) for every row: documents that link, directly or by others.
 
-    @F.pandas_udf(T.LongType())
-    def key(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([text_simhash(t, size) if similarity is None else set_digest(shingle_set(t, size)) for t in texts], dtype="int64")
+    Without `similarity`, documents link whose SimHashes `fp` differ in two or fewer bits. With it, `fp` stands for the
+    set of a text's shingles of `size` words, and documents link whose sets have that Jaccard similarity: short SimHashes
+    propose pairs, and the sets themselves decide.
 
-    return key
+    Null and empty texts are alike and link like any other. Shingles of very long texts are hashed a block at a time. Rows
+    with equal fingerprints are one node, so a large group of copies adds no links. component_id is the smallest doc_id
+    reachable; a null doc_id is never the smallest, and a component of null ids only has a null id. Repeated rows stay,
+    each with its component. An empty table gives an empty result; other columns of `docs` are not read.
+    """
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return _classes(texts if similarity is None else stored(texts, "simhash-rows"), size, similarity).drop("row")
 
 
 def keep_one(docs: DataFrame, size: int = 3, similarity: float | None = None) -> DataFrame:
-    """The documents (all columns) without near-duplicates: of each component the row with the smallest doc_id stays.
+    """The rows (all columns) without near-duplicates: of each component one row with the smallest doc_id stays.
 
-    Rows that repeat a doc_id count as one document: the row with the smallest text stays. A component whose ids are
-    all null keeps one row: the smallest text of its smallest fingerprint. `size` and `similarity` as in near_duplicates.
+    Of several rows with that doc_id, that with the smallest fingerprint stays, and of equal ones the first as read. A
+    component whose ids are all null keeps one row. `size` and `similarity` as in near_duplicates. Rows are numbered and
+    stored first, so that what stays is decided on narrow rows and no task gathers the texts of an id or of a group.
     """
-    classes = near_duplicates(docs, size=size, similarity=similarity)
-    best = stored(classes.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("best")).select("best.*"), "simhash-best")
-    named = docs.join(best.filter("NOT none").select("doc_id").distinct(), "doc_id")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    named = named.withColumn("__first", first).filter("__first = 1").select(*docs.columns)
-    bare = docs.filter("doc_id IS NULL").withColumn("__fp", _key(size, similarity)("text")).join(best.filter("none").select(F.col("fp").alias("__fp")), "__fp")
-    first = F.row_number().over(Window.partitionBy("__fp").orderBy("text"))
-    return named.unionByName(bare.withColumn("__first", first).filter("__first = 1").select(*docs.columns))
+    name = "__row"
+    kept = stored(docs.withColumn(name, F.monotonically_increasing_id()), "simhash-rows")
+    classes = _classes(kept.select(F.col(name).alias("row"), "doc_id", "text"), size, similarity)
+    best = classes.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "row")).alias("best"))
+    best = stored(best.select(F.col("best.row").alias(name)), "simhash-best")
+    gone = stored(classes.select(F.col("row").alias(name)).join(best, name, "left_anti"), "simhash-gone")
+    return kept.join(gone, name, "left_anti").select(*docs.columns)

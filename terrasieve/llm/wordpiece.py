@@ -11,8 +11,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe import default_vocabulary, read_ranks
+from .common import small_batches
 
-MEMO = 300_000  # words whose counts a worker remembers; then it starts anew
+MEMO, MEMO_CHARS = 300_000, 48  # words whose counts a worker remembers, then it starts anew; longer words are not remembered
 
 
 class Matcher:
@@ -88,9 +89,10 @@ def count_text(own: Matcher, memo: dict[str, int], text: str) -> tuple[int, int]
         n = memo.get(word)
         if n is None:
             n = own.count(b" " + word.encode())
-            if len(memo) >= MEMO:
-                memo.clear()
-            memo[word] = n
+            if len(word) <= MEMO_CHARS:
+                if len(memo) >= MEMO:
+                    memo.clear()
+                memo[word] = n
         tokens += n * times
     return len(words), tokens
 
@@ -98,9 +100,11 @@ def count_text(own: Matcher, memo: dict[str, int], text: str) -> tuple[int, int]
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_words, n_tokens) for every row, over its whole text.
 
-    Null and empty texts count as no words. Repeated rows and null doc_ids are kept; other columns are not read. One
+    Null and empty texts count as no words; very long texts and words are gone through in one pass. Repeated rows and null
+    doc_ids are kept; an empty table gives an empty result; other columns are not read. Ties cannot arise. One
     narrow pass without a shuffle; the automaton is built once a worker from the broadcast vocabulary (below 1 MB).
     """
+    small_batches(docs.sparkSession)
     with open(path or default_vocabulary()[0], "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 

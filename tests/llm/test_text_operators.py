@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 import tiktoken
 import xxhash
+import zstandard
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -195,10 +196,19 @@ def test_quality(spark, docs, odd_docs, no_docs):
     got = quality.score(train.select("doc_id", "text", "quality"), model).withColumn("held", quality.held_out(F.col("doc_id"))).filter("held").collect()
     assert len(got) > 100 and all(r.held == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
     assert sum((r.score >= 0.7) == (r.quality == 1) for r in got) >= 0.97 * len(got)
-    odd = quality.score(docs.drop("score"), model).collect()
+    odd = quality.score(docs, model).collect()  # its own column "score" is replaced
     assert len(odd) == len(odd_docs) and all(0 <= r.score <= 1 for r in odd)
+    assert [c for c in quality.keep_good(docs, labels).columns] == docs.columns and quality.keep_good(docs, labels).filter("score <> 's'").count() == 0
+    for r in odd:  # sizes by the plain compressor with the whole dictionaries, a block at a time
+        d = (r.text or "").encode()
+        cut = [d[i : i + 1024] for i in range(0, len(d), 1024)] or [b""]
+        size = lambda k: sum(len(zstandard.ZstdCompressor(level=3, dict_data=k, write_content_size=False, write_dict_id=False, write_checksum=False).compress(b)) for b in cut)
+        m = [(size(zstandard.ZstdCompressionDict(model.bad)) - size(zstandard.ZstdCompressionDict(model.good))) / max(len(d), 1), size(None) / max(len(d), 1)]
+        z = sum(w * (x - c) / s for w, x, c, s in zip(model.weights, m, model.centre, model.scale)) + model.weights[-1]
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
     flipped = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
     assert quality.fit(train, flipped) == model  # held-out labels are never looked at
+    assert quality.fit(train.unionByName(train), labels) == model  # repeated ids count once
     kept = quality.keep_good(train, labels)
     assert kept.columns == train.columns and kept.filter("quality = 1").count() > 380
     empty = quality.fit(no_docs, labels.limit(0))
@@ -326,9 +336,13 @@ def test_failed_peeling_is_retried(docs, monkeypatch):
 # ---- near copies by shared shingles
 
 
+def shingles_of(text, size=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + min(size, len(words))]) for i in range(max(len(words) - size + 1, 1))} if words else set()
+
+
 def jaccard_of(a, b, size=5):
-    cut = lambda t: (lambda w: {tuple(w[i : i + min(size, len(w))]) for i in range(max(len(w) - size + 1, 1))} if w else set())((t or "").encode().lower().split())
-    a, b = cut(a), cut(b)
+    a, b = shingles_of(a, size), shingles_of(b, size)
     return len(a & b) / max(len(a | b), 1)
 
 

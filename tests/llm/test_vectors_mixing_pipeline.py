@@ -1,3 +1,4 @@
+import itertools
 import os
 
 import numpy as np
@@ -44,6 +45,51 @@ def test_nearest(spark):
     assert ann.search(few.limit(1), F.col("row") == 0).count() == 0
 
 
+def brute_mix(p, goal, rounds=20_000):
+    """Least squares over rates in [0, 1] by plain projected gradient on the whole matrix."""
+    weigh = np.linalg.pinv(p.T @ (p / np.maximum(p.sum(1), 1)[:, None]))
+    rate = np.ones(len(p))
+    share = p / np.maximum(p.sum(1), 1)[:, None]
+    for _ in range(rounds):
+        step = share @ (weigh @ (rate @ p - goal))
+        rate, old = np.clip(rate - step, 0, 1), rate
+        if np.abs(rate - old).max() < 1e-9:
+            break
+    return rate
+
+
+def brute_posteriors(text, model):
+    words = [w for w in (text or "").lower().replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if w]
+    import re
+
+    import xxhash
+
+    odd = len(re.sub(r"""[^\W_]|[\s.,;:?'"()-]""", "", text or ""))
+    n = len(words)
+    marks = {*words, f"\tdistinct {min(10 * len(set(words)) // max(n, 1), 10)}", f"\tsigns {min(10 * odd // max(n, 1), 20)}"} & set(model.vocabulary)
+    odds = []
+    for d in mixing.DOMAINS:
+        total = model.base[d]
+        for w in marks:
+            h = xxhash.xxh64_intdigest(w.encode(), 42)
+            total += model.weights[d][h >> model.shifts[h & (mixing.BUCKETS - 1)] & (model.places - 1)]
+        odds.append(total)
+    e = np.exp(np.array(odds) - max(odds))
+    return n, e / e.sum()
+
+
+def test_posteriors_against_brute_force(spark, docs):
+    table = common.read_table(spark, SF, "documents")
+    model = mixing.fit_classifier(table, common.read_table(spark, SF, "labels"))
+    assert len(set(mixing._laid_out(np.random.default_rng(0).integers(-(2**63), 2**63, 500).tolist())[2])) == 500
+    both = table.select("doc_id", "text").unionByName(docs.select("doc_id", "text")).withColumn("key", F.monotonically_increasing_id())
+    rows = both.select(F.col("key").alias("doc_id"), "text")
+    got = {r.doc_id: r for r in mixing.posteriors(rows, model).collect()}
+    for r in rows.collect():
+        n, p = brute_posteriors(r.text, model)
+        assert got[r.doc_id].n_tokens == n and np.allclose([got[r.doc_id][f"p_{d}"] for d in mixing.DOMAINS], p, atol=1e-9)
+
+
 def test_mixing_meets_targets(spark, docs, no_docs):
     import random
 
@@ -61,11 +107,24 @@ def test_mixing_meets_targets(spark, docs, no_docs):
     got = mixing.mix(df, marks, targets)
     sums = got.agg(*[F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p_{d}")).alias(d) for d in mixing.DOMAINS]).first().asDict()
     total = sum(sums.values())
-    assert all(abs(sums[d] / total - targets[d]) < 1e-4 for d in targets)
+    assert all(abs(sums[d] / total - targets[d]) < 1e-4 for d in targets) and got.first().residual < 1e-4
     assert got.filter("rate < 0 OR copies < floor(rate) OR copies > ceil(rate)").count() == 0
+    boxed = mixing.mix(df, marks, targets, most=1.0)
+    rows = boxed.collect()
+    p = np.array([[r[f"p_{d}"] * r.n_tokens for d in mixing.DOMAINS] for r in rows])
+    rate = np.array([r.rate for r in rows])
+    assert rate.min() >= 0 and rate.max() <= 1
+    goal = np.minimum(p.sum(0), [targets[d] * p[:, 0].sum() / targets["clean"] for d in mixing.DOMAINS])
+    assert np.abs(rate @ p - brute_mix(p, goal) @ p).max() < 0.01 * goal.sum() and np.abs(rate @ p - goal).max() < 0.01 * goal.sum()
     kept = mixing.keep_mixed(df, marks, targets)
     by = {r.kind: r.n for r in kept.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     assert kept.columns == df.columns and by["clean"] >= 590 and by.get("toxic", 0) < 40
+    # taking whole documents moves totals by chance only: within four standard deviations of what the rates say
+    tokens = {r.doc_id: r for r in rows}
+    got_p = sum(np.array([tokens[r.doc_id][f"p_{d}"] * tokens[r.doc_id].n_tokens for d in mixing.DOMAINS]) for r in kept.select("doc_id").collect())
+    assert (np.abs(got_p - rate @ p) <= 4 * np.sqrt((p**2 * (rate * (1 - rate))[:, None]).sum(0)) + 1).all()
+    clash = df.withColumns({"rate": F.lit("x"), "row": F.lit("x"), "copies": F.lit("x")})
+    assert sorted(r.doc_id for r in mixing.keep_mixed(clash, marks, targets).collect()) == sorted(r.doc_id for r in kept.collect())
     assert mixing.mix(docs, marks.limit(0)).count() == docs.count()  # no labels: priors alone
     assert mixing.mix(no_docs, marks).count() == 0 and mixing.keep_mixed(docs, marks).columns == docs.columns
     plan = got._jdf.queryExecution().executedPlan().toString()
@@ -88,7 +147,7 @@ def test_pipeline_against_its_steps(spark):
     import corpus_pipeline
     from terrasieve.llm import bpe, lines, quality
 
-    from .test_text_operators import brute_components, brute_simhash
+    from .test_text_operators import shingles_of
 
     docs, labels = (common.read_table(spark, SF, t) for t in ("documents", "labels"))
     model = quality.fit(docs, labels)
@@ -100,12 +159,15 @@ def test_pipeline_against_its_steps(spark):
             first.setdefault(chunk, doc)
     cut = []
     for doc, text in good:
-        told = {(lines._digest(c), lines._other(c)): d for c, d in first.items()}
+        told = {lines._name(c): d for c, d in first.items()}
         cut.append((doc, lines.remove(text, told, doc)[0]))
-    prints = {doc: brute_simhash(text) for doc, text in cut}
-    root = brute_components(prints.values())
-    keep = {min(d for d in prints if root[prints[d]] == r) for r in set(root.values())}
-    kept = [(d, t) for d, t in cut if d in keep]
+    sets = {doc: shingles_of(text) for doc, text in cut}
+    root = {doc: doc for doc in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):  # all pairs, and not those that short SimHashes propose
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            low, high = sorted((root[a], root[b]))
+            root = {d: low if r == high else r for d, r in root.items()}
+    kept = [(d, t) for d, t in cut if root[d] == d]
     mixed = mixing.keep_mixed(spark.createDataFrame(kept, "doc_id long, text string"), labels)
     codec = bpe.Codec(open(bpe.default_vocabulary()[0], "rb").read(), bpe.default_vocabulary()[1])
     want = {r.doc_id: codec.encode(r.text).tolist() for r in mixed.collect()}

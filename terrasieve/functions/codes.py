@@ -10,9 +10,12 @@ ERAS = {"昭": 1925, "平": 1988}  # fixed values: the year before an era's firs
 
 
 def municipality_code(pref: Column, city: Column) -> Column:
-    """PRJ-3: five digits from a prefecture and a city number that may repeat the prefecture or carry a check digit."""
+    """PRJ-3: five digits from a prefecture and a city number that may repeat the prefecture or carry a check digit.
+
+    A city number of one or two digits says nothing certain and gives no code, as does any other length.
+    """
     p, c = zero_fill(F.trim(F.coalesce(pref, F.lit(""))), 2), F.trim(F.coalesce(city, F.lit("")))
-    short = F.when((F.length(c) == 5) & c.startswith(p), F.substring(c, 3, 3)).when(F.length(c) == 4, F.substring(c, 1, 3)).otherwise(zero_fill(c, 3))
+    short = F.when((F.length(c) == 5) & c.startswith(p), F.substring(c, 3, 3)).when(F.length(c) == 4, F.substring(c, 1, 3)).otherwise(c)
     usable = (F.trim(F.coalesce(pref, F.lit(""))) != "") & c.rlike("^[0-9]+$") & (F.length(short) == 3)
     return F.when(usable, F.concat(p, short)).otherwise("")
 

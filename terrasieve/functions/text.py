@@ -104,7 +104,12 @@ def without_prefix(cands: Column, prefix: Column) -> Column:
 
 def name_key(c: Column) -> Column:
     """STR-7: the key under which names of towns match."""
-    s = F.regexp_replace(nfkc(F.coalesce(c, F.lit(""))), r"(?U)\s+", "")
+    return folded(nfkc(F.coalesce(c, F.lit(""))))
+
+
+def folded(c: Column) -> Column:
+    """STR-7 on text that is in NFKC already, as candidates are: without Python, so inside arrays too."""
+    s = F.regexp_replace(c, r"(?U)\s+", "")
     return F.translate(F.regexp_replace(F.replace(s, F.lit("大字"), F.lit("")), "字", ""), "ケガ之ノ", "ヶヶのの")
 
 

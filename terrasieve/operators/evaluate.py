@@ -5,10 +5,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+CLOSE = 10_000  # 1 / the share of a group's values that the approximate quantiles may be off by
+
+
+def exact_percentiles(df: DataFrame, group: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """(group, one column a share): exact quantiles of each group, interpolated between neighbours; nulls do not count.
+
+    No task gathers the values of a group. Mergeable approximate quantiles give an interval of values around each rank,
+    whose error they bound; rows below it are counted, and only what lies inside it, some ten-thousandths of the group,
+    with equal values counted as one, is ranked. Groups of fewer than 10,000 values are ranked whole.
+    """
+    rows = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
+    names, slack = list(shares), 2 / CLOSE
+    ends = [min(max(q + side * slack, 0.0), 1.0) for q in shares.values() for side in (-1, 1)]
+    near = rows.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.percentile_approx("v", ends, CLOSE).alias("ends"))
+    small = F.col("n") < CLOSE
+    bounds = [F.struct(F.lit(i).alias("i"), F.when(small, F.col("low")).otherwise(F.col("ends")[2 * i]).alias("a"), F.when(small, F.col("high")).otherwise(F.col("ends")[2 * i + 1]).alias("b")) for i in range(len(names))]
+    near = near.select(F.col("g").alias("of"), "n", F.array(*bounds).alias("bounds"))
+    joined = rows.join(near, F.col("g").eqNullSafe(F.col("of"))).select("g", "n", "v", "bounds")
+    below = F.transform("bounds", lambda b: F.struct(b["i"].alias("i"), F.when(F.col("v") < b["a"], -1).when(F.col("v") <= b["b"], 0).otherwise(1).alias("side")))
+    sides = joined.select("g", "n", "v", F.explode(below).alias("s")).filter("s.side <= 0")
+    counted = sides.groupBy("g", "n", "s.i", F.when(F.col("s.side") == 0, F.col("v")).alias("v")).agg(F.count("*").alias("k"))
+    upto = F.sum("k").over(Window.partitionBy("g", "i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.withColumn("upto", upto).filter("v IS NOT NULL")
+    q = F.get(F.array(*[F.lit(float(x)) for x in shares.values()]), F.col("i"))
+    place = ranked.withColumn("at", (F.col("n") - 1) * q)
+    has = lambda k: (F.col("upto") > k) & (F.col("upto") - F.col("k") <= k)
+    ends = place.groupBy("g", "i").agg(F.max("at").alias("at"), F.max(F.when(has(F.floor("at")), F.col("v"))).alias("x"), F.max(F.when(has(F.ceil("at")), F.col("v"))).alias("y"))
+    share = F.col("at") - F.floor("at")
+    exact = ends.withColumn("z", F.when(F.col("x") == F.col("y"), F.col("x")).otherwise(F.col("x") * (1 - share) + F.col("y") * share))
+    return exact.groupBy("g").agg(*[F.max(F.when(F.col("i") == i, F.col("z"))).alias(name) for i, name in enumerate(names)]).withColumnRenamed("g", group)
+
+
 def error_stats(df: DataFrame, level: str, error: str) -> DataFrame:
-    """AGG-7: n, median, mean, 90th percentile and maximum of each level, and of all."""
-    stats = [F.count("*").alias("n"), F.round(F.median(error), 3).alias("median"), F.round(F.avg(error), 3).alias("mean"), F.round(F.percentile(error, F.lit(0.9)), 3).alias("p90"), F.max(error).alias("worst")]
-    return df.groupingSets([[F.col(level)], []], level).agg(*stats, F.grouping(level).alias("is_total")).select(F.when(F.col("is_total") == 1, "overall").otherwise(F.col(level)).alias("level"), "n", "median", "mean", "p90", "worst")
+    """AGG-7, AGG-9: n, median, mean, 90th percentile and maximum of each level, and of all as `overall`."""
+    both = df.select(F.explode(F.array(F.col(level), F.lit("overall"))).alias("level"), F.col(error).alias("__error"))
+    plain = both.groupBy("level").agg(F.count("*").alias("n"), F.round(F.avg("__error"), 3).alias("mean"), F.max("__error").alias("worst"))
+    exact = exact_percentiles(both, "level", "__error", {"median": 0.5, "p90": 0.9}).withColumnRenamed("level", "__level")
+    joined = plain.join(exact, F.col("level").eqNullSafe(F.col("__level")), "left")
+    return joined.select("level", "n", F.round("median", 3).alias("median"), "mean", F.round("p90", 3).alias("p90"), "worst")
 
 
 def threshold_shares(df: DataFrame, error: str, limits: tuple[float, ...] = (0.2, 0.5, 1.0, 2.0, 5.0)) -> DataFrame:
@@ -25,7 +60,7 @@ def worst(df: DataFrame, error: str, tie: str, n: int = 10) -> DataFrame:
 
 def trimmed_mean(df: DataFrame, group: str, value: str, keep: float = 0.9) -> DataFrame:
     """AGG-18: the mean of the values below each group's quantile."""
-    edge = df.groupBy(group).agg(F.percentile(value, F.lit(keep)).alias("edge"))
+    edge = exact_percentiles(df, group, value, {"edge": keep})
     kept = df.join(edge, group).filter(F.col(value) < F.col("edge"))
     return kept.groupBy(group).agg(F.count("*").alias("n"), F.round(F.avg(value), 6).alias("trimmed_mean"))
 
@@ -49,6 +84,11 @@ def accepted_groups(df: DataFrame, group: str, distance: str, near: float = 1.0,
     return g.withColumn("share", F.round(F.col("n_near") / F.col("n"), 6)).filter(F.col("n_near") >= share * F.col("n"))
 
 
+def by_frequency(df: DataFrame, column: str) -> DataFrame:
+    """SRT-7: values and how many rows have them, most frequent first, equals by value."""
+    return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
+
+
 def islands(df: DataFrame, group: str, order: list, gap: Column) -> DataFrame:
     """WIN-8: numbers the runs of a group in order; `gap` tells where a row begins a new one."""
     by = Window.partitionBy(group).orderBy(*order)

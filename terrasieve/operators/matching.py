@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .rounds import settled
+
 
 def town_keys(towns: DataFrame, key, arabic) -> DataFrame:
     """JN-6: a row for each distinct key of a town with a place: its name, with its block (as written and in digits), with its small area."""
@@ -59,13 +63,18 @@ def suffix_keys(names: DataFrame, name: str, least_key: int = 2, least_before: i
     return names.withColumn("key", F.explode(ends))
 
 
-def suffix_unique(units: DataFrame, names: DataFrame, unit: str, scope: str, group: str, name: str, least: int = 2) -> DataFrame:
-    """JN-9: the first candidate that ends names of one group only; candidates that end several groups' are passed over."""
+def suffix_unique(units: DataFrame, names: DataFrame, unit: str, scope: str, group: str, name: str, aggregates: list[Column] | None = None, least: int = 2) -> DataFrame:
+    """JN-9, GEO-3: the first candidate that ends names of one group only; candidates that end several groups' are passed over.
+
+    Every row of `names` is an entry, also where entries share a name: one entry makes the level town, several make it
+    oaza. `aggregates` run over the entries hit (a mean place, its spread).
+    """
     tried = units.select(unit, scope, F.posexplode("cands").alias("pos", "key"))
     hits = tried.join(suffix_keys(names, name, least, 2), [scope, "key"]).groupBy(unit, "pos", "key").agg(
-        F.count_distinct(group).alias("n_groups"), F.min(group).alias("match"), F.count_distinct(name).alias("n_names"))
-    best = hits.filter("n_groups = 1").groupBy(unit).agg(F.min(F.struct("pos", "key", "match", "n_names")).alias("b"))
-    return best.select(unit, "b.pos", "b.key", "b.match", "b.n_names", F.when(F.col("b.n_names") == 1, "town").otherwise("oaza").alias("level"))
+        F.min(group).alias("match"), F.max(group).alias("__other"), F.count("*").alias("n_entries"), *(aggregates or []))
+    one = hits.filter(F.col("match") == F.col("__other")).drop("__other")
+    best = one.groupBy(unit).agg(F.min_by(F.struct(*[c for c in one.columns if c != unit]), "pos").alias("b"))
+    return best.select(unit, "b.*", F.when(F.col("b.n_entries") == 1, "town").otherwise("oaza").alias("level"))
 
 
 def zip_by_position(left: DataFrame, right: DataFrame, group: str, left_order: list, right_order: list) -> DataFrame:
@@ -89,7 +98,7 @@ def band_nearest(left: DataFrame, right: DataFrame, equal: list[str], bands: lis
 
 
 def nearest_in_grid(points: DataFrame, refs: DataFrame, cell: float, point_id: str, ref_id: str) -> DataFrame:
-    """JN-15: of each point the nearest reference within `cell` on the plane (x, y); none farther is looked for.
+    """Of each point the nearest reference within `cell` on the plane (x, y); `nearest` looks farther.
 
     References are sent to the nine cells around them, so that one equi-join on the cell finds all within reach.
     """
@@ -101,6 +110,27 @@ def nearest_in_grid(points: DataFrame, refs: DataFrame, cell: float, point_id: s
     return pairs.groupBy(point_id).agg(F.min(F.struct("distance", ref_id)).alias("m")).select(point_id, f"m.{ref_id}", "m.distance")
 
 
+def nearest(points: DataFrame, refs: DataFrame, cell: float, point_id: str, ref_id: str) -> DataFrame:
+    """JN-15: of each point the nearest reference, however far, ties to the smaller id.
+
+    `cell` is where the search begins; points without a reference that near are searched again with four times the reach,
+    until none is left. Most points are found in the first round, so the wide rounds have few points. Points and
+    references with null or non-finite coordinates take no part.
+    """
+    finite = lambda c: F.coalesce(F.abs(c) < float("inf"), F.lit(False)) & ~F.isnan(c)
+    left, refs = points.filter(finite(F.col("x")) & finite(F.col("y"))).select(point_id, "x", "y"), refs.filter(finite(F.col("x")) & finite(F.col("y")))
+    found = settled(nearest_in_grid(left, refs, cell, point_id, ref_id))
+    if refs.isEmpty():
+        return found
+    parts = [found]
+    while True:
+        left = settled(left.join(parts[-1].select(point_id), point_id, "left_anti"))
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, parts)
+        cell *= 4
+        parts.append(settled(nearest_in_grid(left, refs, cell, point_id, ref_id)))
+
+
 def resume(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """JN-14, SET-4: what has not been gone through; failures count as gone through."""
     return todo.join(done.select(key).distinct(), key, "left_anti")

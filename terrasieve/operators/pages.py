@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.readers import is_decoration
 from .evaluate import islands
@@ -10,20 +10,38 @@ from .evaluate import islands
 
 def outside_legend(spans: DataFrame, legend: DataFrame, page: str, reach: float) -> DataFrame:
     """FLT-12: spans (x, y) that no legend text (lx, ly) of their page has within reach in both directions."""
+    at = lambda c: F.floor(F.col(c) / reach)
+    around = F.explode(F.array(*[F.struct((at("lx") + i).alias("cx"), (at("ly") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    boxes = legend.select(F.col(page).alias("__page"), "lx", "ly", around.alias("__cell"))  # a span meets only the legend of its own cells
     near = (F.abs(F.col("x") - F.col("lx")) <= reach) & (F.abs(F.col("y") - F.col("ly")) <= reach)
-    boxes = legend.select(F.col(page).alias("__page"), "lx", "ly")
-    return spans.join(boxes, (F.col(page) == F.col("__page")) & near, "left_anti")
+    same = (F.col(page) == F.col("__page")) & (at("x") == F.col("__cell.cx")) & (at("y") == F.col("__cell.cy"))
+    return spans.join(boxes, same & near, "left_anti")
 
 
 def merged_spans(spans: DataFrame, page: str) -> DataFrame:
-    """WIN-8: text of neighbouring spans (text, x0, x1, y) on one line as one: (page, island, x, y, text)."""
-    order = ["y", "x0"]
-    by = Window.partitionBy(page).orderBy(*order)
+    """WIN-8: text of neighbouring spans (text, x0, x1, y) on one line as one: (page, chain, run, x, x1, y, text).
+
+    Spans go by (y to one digit, x0). A span joins the run before it if its y is less than 1 from that of the run's first
+    span and it begins from -1 up to 2 after the last one's end. Windows cut a page into chains that cannot reach across;
+    the few spans of a chain are then gone through in order.
+    """
+    line = F.round("y", 1)
+    by = Window.partitionBy(page).orderBy(line, "x0", "y", "x1", "text")
     gap = F.col("x0") - F.lag("x1").over(by)
-    fresh = (F.abs(F.col("y") - F.lag("y").over(by)) >= 1) | (gap < -1) | (gap >= 2)
-    rows = islands(spans.withColumn("__fresh", fresh), page, order, F.col("__fresh"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "text"))), lambda s: s["text"]), "")
-    return rows.groupBy(page, "island").agg(F.min("x0").alias("x"), F.min("y").alias("y"), text.alias("text"))
+    fresh = (F.abs(F.col("y") - F.lag("y").over(by)) >= 1.2) | (gap < -1) | (gap >= 2)  # 1.2: y to one digit may hide some
+    rows = islands(spans.withColumns({"__fresh": fresh, "__line": line}), page, ["__line", "x0", "y", "x1", "text"], F.col("__fresh"))
+    parts = F.array_sort(F.collect_list(F.struct("__line", "x0", "y", "x1", "text")))
+    item = lambda x, x1, y, text: F.struct(x.alias("x"), x1.alias("x1"), y.alias("y"), text.alias("text"))
+
+    def joined(runs: Column, s: Column) -> Column:
+        last = F.try_element_at(runs, F.lit(-1))
+        apart = s["x0"] - last["x1"]
+        meets = F.coalesce((F.abs(s["y"] - last["y"]) < 1) & (apart >= -1) & (apart < 2), F.lit(False))
+        return F.when(meets, F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(item(last["x"], s["x1"], last["y"], F.concat(last["text"], s["text"]))))).otherwise(F.concat(runs, F.array(item(s["x0"], s["x1"], s["y"], s["text"]))))
+
+    none = F.array().cast("array<struct<x:double,x1:double,y:double,text:string>>")
+    runs = rows.groupBy(page, F.col("island").alias("chain")).agg(F.aggregate(parts, none, joined).alias("runs"))
+    return runs.select(page, "chain", F.posexplode("runs").alias("run", "r")).select(page, "chain", "run", "r.*")
 
 
 def legend_marker(texts: DataFrame, markers: DataFrame, page: str, text_id: str, kind: str, apart: float = 6.0) -> DataFrame:

@@ -44,6 +44,12 @@ def needs_check(dem: str = "DEM_DIFF", spread: str = "SPREAD_KM", confidence: st
     return F.coalesce(F.col(dem) > 50, F.lit(False)) | F.coalesce(F.col(spread) > 1, F.lit(False)) | F.coalesce((F.col(confidence) == "low") & (F.col(level) != "city"), F.lit(False))
 
 
+def comparable(df: DataFrame, level: str | None = None, column: str = "LEVEL", height: str = "HEIGHT") -> DataFrame:
+    """FLT-5: rows of one level, or of all, whose height is known."""
+    known = df.filter(F.col(height).isNotNull())
+    return known if level is None else known.filter(F.col(column) == level)
+
+
 def numeric(df: DataFrame, columns: list[str], tolerated: float = 0.0) -> DataFrame:
     """PRJ-11: text columns as numbers; an error if more than the tolerated share of rows would lose a value."""
     lost = [F.count_if((F.col(c) != "") & number_of(F.col(c)).isNull()).alias(c) for c in columns]

@@ -10,7 +10,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.geo import tile
 
 MISSING = -1e9  # stands for a missing value in steps and depths; distances use -1
-DISTANCE_STOPS = (0.1, 0.2, 0.3, 0.5, 0.7, 1, 1.5, 2, 2.5, 3, 4, 5, 6, 8, 10, 15, 20, 25, 30, 40, 50)
+# Where the distance slider stops, in km.
+DISTANCE_STOPS = (0.1, 0.2, 0.3, 0.5, 0.75, 1, 1.25, 1.5, 2, 2.5, 3, 4, 5, 6, 8, 10, 12, 15, 20, 30, 50)
+
+
+def distance_at(stop: int) -> float | None:
+    """PRJ-27: the limit at a place of the slider; past the last stop there is none."""
+    return DISTANCE_STOPS[stop] if stop < len(DISTANCE_STOPS) else None
 
 
 @dataclass(frozen=True)

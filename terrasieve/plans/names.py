@@ -73,18 +73,25 @@ def exact_then_prefix_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH names AS (SELECT DISTINCT p_brand || '/' || p_size AS scope, p_type AS grp, p_name FROM part),
+WITH pts AS (SELECT vec_id, 139 + 5 * embedding[1]::DOUBLE AS lon, 36 + 5 * embedding[2]::DOUBLE AS lat FROM embeddings),
+entries AS (SELECT p_brand || '/' || p_size AS scope, p_type AS grp, p_name, lon, lat FROM part JOIN pts ON vec_id = p_partkey % (SELECT count(*) FROM embeddings)),
 units AS (SELECT DISTINCT p_brand || '/' || p_size AS scope, split_part(p_name, ' ', 2) AS noun FROM part),
-h AS (SELECT u.scope, noun, count(DISTINCT grp) AS n_groups, min(grp) AS match, count(DISTINCT p_name) AS n_names FROM units u JOIN names n ON u.scope = n.scope AND ends_with(p_name, noun) AND length(p_name) - length(noun) >= 2 AND length(noun) >= 2 GROUP BY 1, 2)
-SELECT scope, noun, match, n_names, CASE WHEN n_names = 1 THEN 'town' ELSE 'oaza' END AS level FROM h WHERE n_groups = 1
+h AS (SELECT u.scope, noun, grp, lon, lat FROM units u JOIN entries e ON u.scope = e.scope AND ends_with(p_name, noun) AND length(p_name) - length(noun) >= 2 AND length(noun) >= 2)
+SELECT scope, noun, min(grp) AS match, count(*) AS n_entries, CASE WHEN count(*) = 1 THEN 'town' ELSE 'oaza' END AS level, round(avg(lon), 6) AS lon, round(avg(lat), 6) AS lat,
+  round(CASE WHEN count(*) = 1 THEN 0 ELSE sqrt(var_pop(lon) * pow(111.320 * cos(radians(avg(lat))), 2) + var_pop(lat) * 110.574 * 110.574) END, 4) AS spread_km
+FROM h GROUP BY scope, noun HAVING count(DISTINCT grp) = 1
 """)
 def suffix_match_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN-9, FLT-7, GEO-3."""
-    p = table(spark, sf_dir, "part").withColumn("scope", F.concat_ws("/", "p_brand", "p_size"))
-    names = p.select("scope", F.col("p_type").alias("grp"), "p_name").distinct()
+    """JN-9, FLT-7, GEO-3: every part is an entry with the place of a vector, also where parts share a name."""
+    from ..functions.geo import centroid_spread
+    from .registry import points
+
+    at = points(spark, sf_dir).select(F.col("vec_id").alias("at"), "lon", "lat")
+    p = table(spark, sf_dir, "part").withColumns({"scope": F.concat_ws("/", "p_brand", "p_size"), "at": F.col("p_partkey") % F.lit(at.count())})
+    names = p.join(at, "at").select("scope", F.col("p_type").alias("grp"), "p_name", "lon", "lat")
     units = p.select("scope", F.split("p_name", " ")[1].alias("noun")).distinct().withColumns({"unit": F.concat_ws("|", "scope", "noun"), "cands": F.array("noun")})
-    found = matching.suffix_unique(units.select("unit", "scope", "cands"), names, "unit", "scope", "grp", "p_name")
-    return units.join(found, "unit").select("scope", "noun", "match", "n_names", "level")
+    found = matching.suffix_unique(units.select("unit", "scope", "cands"), names, "unit", "scope", "grp", "p_name", centroid_spread("lon", "lat"))
+    return units.select("unit", "scope", "noun").join(found, "unit").select("scope", "noun", "match", "n_entries", "level", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), F.round("spread_km", 4).alias("spread_km"))
 
 
 @query("""
@@ -131,11 +138,11 @@ def band_join_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH p AS (SELECT vec_id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
 d AS (SELECT a.vec_id, b.vec_id AS ref_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance FROM p a JOIN p b ON b.label = 0 AND a.label <> 0)
-SELECT vec_id, arg_min(ref_id, (distance, ref_id)) AS ref_id, round(min(distance), 9) AS distance FROM d WHERE distance <= 0.05 GROUP BY 1
+SELECT vec_id, arg_min(ref_id, (distance, ref_id)) AS ref_id, round(min(distance), 9) AS distance FROM d GROUP BY 1
 """)
 def nearest_reference_point(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN-15: within reach of 0.05."""
+    """JN-15: however far."""
     e = table(spark, sf_dir, "embeddings")
     p = e.select("vec_id", "label", F.get("embedding", F.lit(0)).cast("double").alias("x"), F.get("embedding", F.lit(1)).cast("double").alias("y"))
     refs = p.filter("label = 0").withColumnRenamed("vec_id", "ref_id")
-    return matching.nearest_in_grid(p.filter("label <> 0"), refs, 0.05, "vec_id", "ref_id").withColumn("distance", F.round("distance", 9))
+    return matching.nearest(p.filter("label <> 0"), refs, 0.05, "vec_id", "ref_id").withColumn("distance", F.round("distance", 9))

@@ -33,9 +33,8 @@ WITH raw AS (
     CASE c_custkey % 5 WHEN 0 THEN (c_custkey % 1000)::VARCHAR WHEN 1 THEN lpad((c_nationkey + 1)::VARCHAR, 2, '0') || lpad((c_custkey % 1000)::VARCHAR, 3, '0')
       WHEN 2 THEN lpad((c_custkey % 10000)::VARCHAR, 4, '0') WHEN 3 THEN (c_custkey % 100)::VARCHAR || 'A' ELSE '' END AS city FROM customer),
 p AS (SELECT *, CASE WHEN length(pref) < 2 THEN lpad(pref, 2, '0') ELSE pref END AS pp FROM raw),
-s AS (SELECT *, CASE WHEN length(city) = 5 AND starts_with(city, pp) THEN substr(city, 3, 3) WHEN length(city) = 4 THEN substr(city, 1, 3)
-  WHEN length(city) < 3 THEN lpad(city, 3, '0') ELSE city END AS short FROM p)
-SELECT c_custkey, pref, city, CASE WHEN pref <> '' AND regexp_full_match(city, '[0-9]+') AND length(short) = 3 THEN pp || short ELSE '' END AS code FROM s
+s AS (SELECT *, CASE length(city) WHEN 5 THEN CASE WHEN substr(city, 1, 2) = pp THEN substr(city, 3) END WHEN 4 THEN substr(city, 1, 3) WHEN 3 THEN city END AS short FROM p)
+SELECT c_custkey, pref, city, CASE WHEN pref <> '' AND regexp_full_match(city, '[0-9]+') AND short IS NOT NULL THEN pp || short ELSE '' END AS code FROM s
 """)
 def code_repair_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-3."""
@@ -51,13 +50,13 @@ def code_repair_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""
 SELECT doc_id, regexp_replace(regexp_replace(chr(12288) || ' ' || text || chr(12288), '^[\s\x{3000}]+', ''), '[\s\x{3000}]+$', '') AS cleaned,
-  lower(regexp_replace(substr(text, 1, 40), '[\s\x{3000}]+', '', 'g')) AS header FROM documents
+  lower(regexp_replace(text, '[\s\x{3000}]+', '', 'g')) AS header FROM documents
 """)
 def unicode_trim_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-1, STR-14: white space of every width."""
     d = table(spark, sf_dir, "documents")
     wide = F.concat(F.lit("　 "), "text", F.lit("　"))
-    return d.select("doc_id", text.clean(wide).alias("cleaned"), text.header_key(F.substring("text", 1, 40)).alias("header"))
+    return d.select("doc_id", text.clean(wide).alias("cleaned"), text.header_key(F.col("text")).alias("header"))
 
 
 @query("""
@@ -167,13 +166,13 @@ def numeric_safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN '###' WHEN 2 THEN '0-5|' || substr(text, 1, 5) ELSE regexp_replace(substr(text, 1, 5), '[|#]', '', 'g') END AS v FROM documents)
+WITH t AS (SELECT CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN '#' || text ELSE '' END AS v FROM documents)
 SELECT CASE WHEN v = '' THEN '' WHEN starts_with(v, '#') THEN 'overflow' WHEN contains(v, '|') THEN 'geology' ELSE 'temp' END AS kind, count(*) AS n FROM t GROUP BY 1
 """)
 def content_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-16."""
-    k, head = F.col("doc_id") % 4, F.substring("text", 1, 5)
-    v = F.when(k == 0, "").when(k == 1, "###").when(k == 2, F.concat(F.lit("0-5|"), head)).otherwise(F.regexp_replace(head, "[|#]", ""))
+    k = F.col("doc_id") % 3
+    v = F.when(k == 0, F.col("text")).when(k == 1, F.concat(F.lit("#"), F.col("text"))).otherwise("")
     return table(spark, sf_dir, "documents").groupBy(codes.content_kind(v).alias("kind")).agg(F.count("*").alias("n"))
 
 
@@ -259,7 +258,10 @@ def csv_cell_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_cells(c).groupBy(F.col("file").alias("conv_id")).agg(F.count_distinct("row_no").alias("n_rows"), (F.max("col_no") + 1).cast("long").alias("width"), F.count_if(F.col("value").rlike("[0-9]")).alias("n_with_digits"))
 
 
-@query()
+@query("""
+SELECT 'f' || label AS file, count(*) AS n_rows, label % 3 <> 0 AS has_place, false AS has_lot, label % 4 <> 0 AS has_depth, label % 3 <> 0 AND label % 4 <> 0 AS usable
+FROM embeddings GROUP BY label
+""")
 def csv_role_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HOF-1, FLT-15: verdicts on files made of the vectors' places; every third without values, every fourth without depth."""
     from ..operators.profile import usable

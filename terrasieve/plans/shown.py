@@ -51,10 +51,10 @@ def filter_state_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir).filter(state.predicate()).select("p_partkey")
 
 
-@query(f"SELECT p_partkey FROM ({VIEW_SQL}) WHERE pos_quality IN ('unique', 'site', 'fallback') AND (dist < 0 OR dist <= 5) AND dep >= 15")
+@query(f"SELECT p_partkey FROM ({VIEW_SQL}) WHERE pos_quality IN ('unique', 'site', 'fallback') AND (dist < 0 OR dist <= 1.25) AND dep >= 15")
 def filter_state_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-9, PRJ-27."""
-    state = views.FilterState(frozenset({"unique", "site", "fallback"}), max_distance=5, include_unknown=True, min_depth=15)
+    state = views.FilterState(frozenset({"unique", "site", "fallback"}), max_distance=views.distance_at(6), include_unknown=True, min_depth=15)
     return _view(spark, sf_dir).filter(state.predicate()).select("p_partkey")
 
 

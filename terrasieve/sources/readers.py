@@ -161,6 +161,12 @@ def csv_cells(raw: DataFrame) -> DataFrame:
     return raw.mapInPandas(rows, "file string, row_no long, cells array<string>")
 
 
+def judged_files(files: DataFrame, path: str = "path") -> DataFrame:
+    """FLT-14: files with what becomes of them: absent (no size), skipped (archives hold another population), or read."""
+    kind = F.when(F.col("size").isNull(), "absent").when(F.lower(path).endswith(".zip"), "skipped").otherwise("read")
+    return files.withColumn("verdict", kind)
+
+
 def link_codes(html: Column, pattern: str) -> Column:
     """SRC-15: the distinct codes in a page's links, in order."""
     return F.array_sort(F.array_distinct(F.regexp_extract_all(html, F.lit(pattern), F.lit(1))))

@@ -29,8 +29,10 @@ def test_ranked_matching(spark):
     assert got[3].status == "unmatched" and got[4].status == "no_candidate"
     late = spark.createDataFrame([(3, "P", ["聚富"]), (5, "P", ["町本"]), (6, "P", ["中町本"])], "unit int, scope string, cands array<string>")
     names = spark.createDataFrame([("P", m, n) for m, n in towns], "scope string, muni string, name string")
-    found = {r.unit: (r.match, r.level) for r in matching.suffix_unique(late, names, "unit", "scope", "muni", "name").collect()}
-    assert found == {3: ("M3", "town"), 5: ("M1", "town")}
+    found = {r.unit: (r.match, r.level, r.n_entries) for r in matching.suffix_unique(late, names, "unit", "scope", "muni", "name").collect()}
+    assert found == {3: ("M3", "town", 1), 5: ("M1", "town", 1)}
+    twice = names.unionByName(names.filter("name = '厚田区聚富'"))  # two entries of one name
+    assert {r.unit: (r.level, r.n_entries) for r in matching.suffix_unique(late, twice, "unit", "scope", "muni", "name").collect()}[3] == ("oaza", 2)
 
 
 def test_exact_before_prefix(spark):
@@ -55,6 +57,29 @@ def test_offsets_of_known_pairs(spark):
     assert tuple(round(x) for x in df.select(n, e, d).first()) == (130, 91, 158)
 
 
+def test_exact_percentiles(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    groups = {"a": rng.normal(size=3000), "b": rng.integers(0, 4, 2500).astype(float), "c": np.array([3.0]), None: rng.exponential(size=40)}
+    df = spark.createDataFrame([(g, float(v)) for g, values in groups.items() for v in values] + [("a", None)], "g string, v double")
+    for close in (evaluate.CLOSE, 200):  # at 200 the groups are large enough to be ranked around the quantiles only
+        monkeypatch.setattr(evaluate, "CLOSE", close)
+        got = {r.g: (r.low, r.mid, r.high) for r in evaluate.exact_percentiles(df, "g", "v", {"low": 0.0, "mid": 0.5, "high": 0.93}).collect()}
+        assert got.keys() == groups.keys()
+        for g, values in groups.items():
+            assert got[g] == pytest.approx(tuple(np.quantile(values, [0, 0.5, 0.93])))
+
+
+def test_nearest_however_far(spark):
+    rng = np.random.default_rng(6)
+    refs, points = rng.normal(size=(200, 2)), np.vstack([rng.normal(size=(300, 2)), [[50.0, -80.0], [1000.0, 3.0]]])
+    p = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(points)] + [(999, None, 1.0), (998, float("nan"), 1.0)], "i int, x double, y double")
+    r = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(refs)], "ref int, x double, y double")
+    far = np.hypot(points[:, None, 0] - refs[None, :, 0], points[:, None, 1] - refs[None, :, 1])
+    got = {x.i: (x.ref, x.distance) for x in matching.nearest(p, r, 0.1, "i", "ref").collect()}
+    assert got == {i: (int(far[i].argmin()), pytest.approx(far[i].min())) for i in range(len(points))}
+    assert matching.nearest(p, r.limit(0), 0.1, "i", "ref").count() == 0
+
+
 def test_external_answers(spark):
     tries = spark.createDataFrame([(1, 0, 2, 1.0, 1.0), (1, 1, 3, 2.0, 2.0), (1, 2, 8, 9.0, 9.0), (2, 0, 2, 3.0, 3.0), (2, 1, 2, 4.0, 4.0)], "unit int, pos int, point_level int, lon double, lat double")
     assert {(r.unit, r.status, r.lon) for r in resolve.external_best(tries, "unit").collect()} == {(1, "town", 2.0), (2, "city", 3.0)}
@@ -204,6 +229,20 @@ def test_sheets(spark):
 
     spans = spark.createDataFrame([(1, "12", 0.0, 5.0, 10.0), (1, ",札", 5.5, 9.0, 10.2), (1, "x", 30.0, 33.0, 10.1), (1, "y", 0.0, 3.0, 20.0)], "page int, text string, x0 double, x1 double, y double")
     assert [r.text for r in pages.merged_spans(spans, "page").orderBy("y", "x").collect()][-1] == "y"
+    rng = np.random.default_rng(4)
+    rows = [(2, "12", 0.0, 5.0, 10.04), (2, ",A", 5.5, 9.0, 10.01), (2, ",3", 9.5, 12.0, 10.9), (2, ",4", 12.0, 15.0, 11.3)]  # the fourth is too far below the first
+    rows += [(int(p), f"t{i}", float(x), float(x) + 5, float(y)) for i, (p, x, y) in enumerate(zip(rng.integers(3, 6, 300), rng.integers(0, 40, 300) * 2.6, rng.integers(0, 60, 300) * 0.37))]
+    want = []
+    for page in sorted({r[0] for r in rows}):
+        run = None
+        for _, text, x0, x1, y in sorted((r for r in rows if r[0] == page), key=lambda r: (round(r[4], 1), r[2], r[4], r[3], r[1])):
+            if run and abs(y - run[3]) < 1 and -1 <= x0 - run[2] < 2:
+                run[1], run[2] = run[1] + text, x1
+            else:
+                run = [page, text, x1, y]
+                want.append(run)
+    got = pages.merged_spans(spark.createDataFrame(rows, "page int, text string, x0 double, x1 double, y double"), "page").collect()
+    assert sorted((r.page, r.text, r.x1, r.y) for r in got) == sorted(map(tuple, want)) and "12,A,3" in {r.text for r in got}
     far, near = [(100.0, 100.0), (500.0, 300.0), (520.0, 130.0), (90.0, 310.0)], [(100.0, 100.0), (110.0, 120.0)]
     strokes = spark.createDataFrame([(1, 0.5, far), (1, 0.2, near)], "page int, pen double, points array<struct<x:double,y:double>>")
     assert {r.pen for r in pages.boundary_cloud(strokes, "page", 600.0, 800.0).collect()} == {0.5}

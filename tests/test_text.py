@@ -40,7 +40,7 @@ def test_scalars(spark, make, cases):
 
 
 def test_codes(spark):
-    cases = {("1", "101"): "01101", ("39", "39201"): "39201", ("38", "2015"): "38201", ("22", "13"): "22013", ("", "101"): "", ("1", "1A1"): ""}
+    cases = {("1", "101"): "01101", ("39", "39201"): "39201", ("38", "2015"): "38201", ("22", "13"): "", ("", "101"): "", ("1", "1A1"): "", ("2", "7"): "", ("13", "113"): "13113"}
     df = spark.createDataFrame([(i, *k) for i, k in enumerate(cases)], "i int, p string, c string")
     assert [r.out for r in df.select("i", codes.municipality_code(F.col("p"), F.col("c")).alias("out")).orderBy("i").collect()] == list(cases.values())
 

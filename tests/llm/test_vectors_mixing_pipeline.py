@@ -90,6 +90,32 @@ def test_posteriors_against_brute_force(spark, docs):
         assert got[r.doc_id].n_tokens == n and np.allclose([got[r.doc_id][f"p_{d}"] for d in mixing.DOMAINS], p, atol=1e-9)
 
 
+def test_recall_on_a_whole_table(spark):
+    table = common.read_table(spark, SF.replace("0.001", "0.01"), "embeddings")
+    rows = table.select("vec_id", "embedding").collect()
+    got = {}
+    for r in ann.search(table, F.col("row") % 50 == 0).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = r
+    x = ann.unit(np.array([r.embedding for r in rows], float))
+    ids = np.array([r.vec_id for r in rows])
+    hit = seen = 0
+    for q in got:
+        score = x @ x[ids == q][0]
+        best = [i for i in ids[np.lexsort((ids, -score))] if i != q][:5]
+        hit += len(set(best) & {r.vec_id for r in got[q].values()})
+        seen += got[q][1].n_candidates
+        assert [r.score for _, r in sorted(got[q].items())] == sorted((r.score for r in got[q].values()), reverse=True)
+    assert len(got) == 10 and hit >= 0.9 * 5 * len(got)
+    assert seen < 0.15 * len(got) * len(ids)  # 500 rows only; 5 % of all pairs on a table of 10,256
+    rng = np.random.default_rng(2)
+    codes = rng.integers(0, 256, (300, ann.BITS // 8), np.uint8)
+    codes[200:] = codes[:100] ^ np.packbits(rng.random((100, ann.BITS)) < 0.1, axis=1)
+    shard = ann.Shard(codes)
+    apart = np.bitwise_count(codes[:, None, :] ^ codes[None, :, :]).sum(axis=2)
+    for radius in (0, 7, 25, 33, 130, ann.BITS):
+        assert all(shard.within(codes[i], radius).tolist() == np.flatnonzero(apart[i] <= radius).tolist() for i in range(0, 300, 7))
+
+
 def test_mixing_meets_targets(spark, docs, no_docs):
     import random
 

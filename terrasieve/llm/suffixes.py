@@ -24,7 +24,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Stored
+from .common import Stored, small_batches
 
 WIDTH = 50
 GRAM = 16
@@ -32,10 +32,10 @@ SPAN = WIDTH - GRAM + 1  # grams in a window
 PACK_BYTES = 2 << 20
 SLICE = 1 << 16  # windows worked on at a time: arrays stay in a processor's cache, and a huge text needs little memory
 SEGMENT = 32  # windows in a segment, at most
-HOT = 4096  # documents with a marker, about, above which its windows are dealt one by one, by their own hash
+HOT = 4096  # occurrences of a marker from which its windows are dealt one by one, by their own hash
 PART_MARKERS, PART_BYTES = 1 << 20, 8 << 20  # what a part should hold
 BLOCK = 1_500_000  # bytes whose suffixes are sorted together; a marker's segments are never split
-NONE = np.iinfo(np.int64).max  # stands for a null id: no document comes after it
+NONE = np.iinfo(np.int64).max  # stands for a null id: no document comes after it; ids make room for it (free_id)
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -53,7 +53,15 @@ def _unpacked(data: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-def make_packs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def free_id(docs: DataFrame, id_col: str) -> int:
+    """A number that no row has as its id: the largest long, if it is free. Ids above it are held one lower inside, so that the largest long stands for null."""
+    own, free = F.col(id_col).cast("long"), NONE
+    while not docs.filter(own == free).isEmpty():
+        free = (free * 6364136223846793005 + 1442695040888963407) % (1 << 63)
+    return free
+
+
+def make_packs(docs: DataFrame, id_col: str, text_col: str, free: int = NONE) -> DataFrame:
     """(tag, n_bytes, pack): documents in rows of about PACK_BYTES; a tag names its row once it is stored."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -65,7 +73,7 @@ def make_packs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         for batch in batches:
             for doc, text in zip(batch["doc_id"], batch["text"]):
-                ids.append(NONE if pd.isna(doc) else int(doc))
+                ids.append(NONE if pd.isna(doc) else int(doc) - (int(doc) > free))
                 texts.append((text or "").encode())
                 size += len(texts[-1])
                 if size >= PACK_BYTES or len(ids) >= 20_000:
@@ -145,11 +153,12 @@ def deal_markers(parts: int):
                 order = np.lexsort((docs, ids))
                 ids, docs = ids[order], docs[order]
                 fresh = np.r_[True, (ids[1:] != ids[:-1]) | (docs[1:] != docs[:-1])]
-                ids, n = np.unique(ids[fresh], return_counts=True)  # documents of the pack with each marker
+                times = np.unique(ids, return_counts=True)[1]  # occurrences of each marker in the pack
+                ids, n = np.unique(ids[fresh], return_counts=True)  # and its documents
                 part = (ids % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 cuts = np.flatnonzero(np.diff(part[order])) + 1
-                rows = [(int(part[k[0]]), tag, _packed((ids[k] // np.uint64(parts)).astype(np.uint32), np.minimum(n[k], 255).astype(np.uint8))) for k in np.split(order, cuts)]
+                rows = [(int(part[k[0]]), tag, _packed((ids[k] // np.uint64(parts)).astype(np.uint32), np.minimum(n[k], 2).astype(np.uint8), times[k].astype(np.uint32))) for k in np.split(order, cuts)]
                 yield pd.DataFrame(rows, columns=["part", "tag", "marks"])
 
     return deal
@@ -160,15 +169,15 @@ def answer_markers(parts: int):
 
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
         part = np.uint64(rows["part"].iloc[0])
-        lists = [_unpacked(x, np.uint32, np.uint8) for x in rows["marks"]]
-        of, inverse = np.unique(np.concatenate([a for a, _ in lists]), return_inverse=True)
-        n = np.bincount(inverse, weights=np.concatenate([c for _, c in lists]))
+        lists = [_unpacked(x, np.uint32, np.uint8, np.uint32) for x in rows["marks"]]
+        of, inverse = np.unique(np.concatenate([a for a, _, _ in lists]), return_inverse=True)
+        n, times = (np.bincount(inverse, weights=np.concatenate(c)) for c in list(zip(*lists))[1:])
         out, at = [], 0
-        for tag, (marks, _) in zip(rows["tag"], lists):
-            total = n[inverse[at : at + len(marks)]]
+        for tag, (marks, _, _) in zip(rows["tag"], lists):
+            own = inverse[at : at + len(marks)]
             at += len(marks)
-            full = marks.astype(np.uint64) * np.uint64(parts) + part
-            out.append((tag, full[(total > 1) & (total < HOT)].tobytes(), full[total >= HOT].tobytes()))
+            full, shared, hot = marks.astype(np.uint64) * np.uint64(parts) + part, n[own] > 1, times[own] >= HOT
+            out.append((tag, full[shared & ~hot].tobytes(), full[shared & hot].tobytes()))
         out = [x for x in out if x[1] or x[2]]
         return pd.DataFrame(out, columns=["tag", "plain", "hot"])
 
@@ -388,10 +397,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A byte goes if a WIDTH-byte string that covers it also starts in a document with a smaller id; strings are judged on
     the input. Null texts count as empty, texts below WIDTH bytes lose nothing. Rows that share an id do not remove each
-    other's text; a null id counts as larger than all others, so such rows lose what any other row has. An empty table
-    gives an empty result; other columns are not read.
+    other's text; a null id counts as larger than all others, so such rows lose what any other row has. Very long texts
+    are gone through a slice at a time. An empty table gives an empty result; other columns are not read.
+
+    Not all windows are decided by sorting suffixes. A marker with one distinct segment needs no order, and windows of a
+    marker that occurs HOT times or more are grouped by their bytes, as no task could take all its segments.
     """
-    packs = Stored(make_packs(docs, id_col, text_col), "suffix-packs").df
+    small_batches(docs.sparkSession)
+    free = free_id(docs, id_col)
+    packs = Stored(make_packs(docs, id_col, text_col, free), "suffix-packs").df
     total = packs.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     marker_parts, parts = max(48, total // (16 * PART_MARKERS)), max(48, total // PART_BYTES)
     marks = packs.select("tag", "pack").mapInPandas(deal_markers(marker_parts), "part int, tag long, marks binary")
@@ -411,7 +425,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def cut(pack: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for data in pack["pack"]:
-            rows += _cut(Pack(data), answers, marker_parts, parts, spans)
+            rows += _cut(Pack(data), answers, marker_parts, parts, spans, free)
         return pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
 
     both = known.unionByName(answered, allowMissingColumns=True)
@@ -420,7 +434,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return done if spans else done.drop("spans", "kept")
 
 
-def _cut(pack: Pack, answers: pd.DataFrame, marker_parts: int, parts: int, spans: bool) -> list[tuple]:
+def _cut(pack: Pack, answers: pd.DataFrame, marker_parts: int, parts: int, spans: bool, free: int) -> list[tuple]:
     gone = np.zeros(len(pack.data) + 1, np.int32)
     known, runs = answers[answers["plain"].notna()], answers[answers["runs"].notna()].sort_values("part")
     if len(runs):
@@ -448,6 +462,6 @@ def _cut(pack: Pack, answers: pd.DataFrame, marker_parts: int, parts: int, spans
         n = int(mask.sum())
         edge = np.flatnonzero(np.diff(np.r_[False, mask, False])) if n else np.zeros(0, np.int64)
         kept = data[~mask].tobytes() if n else data.tobytes()
-        name = None if doc == NONE else str(doc)
+        name = None if doc == NONE else str(doc + (doc >= free))
         out.append((name, end - start, n, len(edge) // 2, hashlib.sha256(kept).hexdigest(), edge.reshape(-1, 2).tolist() if spans else None, kept if spans else None))
     return out

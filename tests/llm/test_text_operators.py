@@ -260,13 +260,13 @@ def brute_repeats(rows, width=50):
         b = (text or "").encode()
         for i in range(len(b) - width + 1):
             s = b[i : i + width]
-            d = suffixes.NONE if doc is None else doc
+            d = 2**63 if doc is None else doc
             least[s] = min(d, least.get(s, d))
     for doc, text, *_ in rows:
         b = (text or "").encode()
         gone = bytearray(len(b))
         for i in range(len(b) - width + 1):
-            if least[b[i : i + width]] < (suffixes.NONE if doc is None else doc):
+            if least[b[i : i + width]] < (2**63 if doc is None else doc):
                 gone[i : i + width] = b"\1" * width
         kept = bytes(x for x, g in zip(b, gone) if not g)
         out[(doc, len(b), sum(gone), sum(1 for i in range(len(b)) if gone[i] and (i == 0 or not gone[i - 1])), hashlib.sha256(kept).hexdigest())] += 1
@@ -290,6 +290,10 @@ def test_suffixes_with_common_markers(spark, monkeypatch):
     rows = [(i, noise(rng.randrange(80)) + passage + noise(rng.randrange(80)) + noise(60)) for i in range(30)]
     got = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert key(got) == brute_repeats(rows)
+    monkeypatch.setattr(suffixes, "HOT", 4096)
+    far = [(2**63 - 1, passage + noise(70)), (None, passage + noise(40)), (-(2**63), noise(60)), (2**63 - 2, noise(30) + passage), (5, "".join(passage[:40] + noise(30) for _ in range(6000))), (6, passage)]
+    got = suffixes.remove_repeats(spark.createDataFrame(far, "doc_id long, text string")).collect()  # the largest id, and one text with one marker in thousands of contexts
+    assert key(got) == brute_repeats(far)
 
 
 @settings(max_examples=200, deadline=None)

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import connected_components, small_batches, stored
 
 BLOCK = 1 << 16  # shingles hashed at a time, so that a huge text needs little memory
 SLICES, SLICE = 5, 12  # short SimHashes of a set of shingles, and their bits
 APART = 24  # of 64 bits: sets that share 0.8 of their shingles differ in 10, and in more than 24 once in some millions
-ALL_PAIRS = 16  # nodes that meet in one place and are compared each with each
+ALL_PAIRS = 16  # nodes that meet in one place and are compared each with each at once; of more, what their heads leave open follows
+IN_BLOCK = 256  # nodes of a larger place that are compared in one group, with as many others
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)  # byte value -> its bits, high first
 
 
@@ -91,47 +92,92 @@ def ball_links(prints: DataFrame, radius: int = 2) -> DataFrame:
 
 
 def _sketched(size: int):
-    @F.pandas_udf("fp long, bits long, marks array<long>")
+    @F.pandas_udf("fp long, bits long, size long, marks array<long>")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             sets = [shingle_set(t, size) for t in texts]
-            yield pd.DataFrame({"fp": [set_digest(s) for s in sets], "bits": [_majority([s]) for s in sets], "marks": [least_hashes(s) for s in sets]})
+            yield pd.DataFrame({"fp": [set_digest(s) for s in sets], "bits": [_majority([s]) for s in sets], "size": [len(s) for s in sets], "marks": [least_hashes(s) for s in sets]})
 
     return sketch
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of `nodes` (fp, bits, marks) that may share most shingles.
+def meetings(nodes: DataFrame) -> DataFrame:
+    """(place, n, node) for the places where n = 2 or more of `nodes` (fp, bits, size, marks) meet; stored.
 
     The 64 bits are cut into short SimHashes, and each goes with a shingle of its own, the least under one hash. A node
     emits each short SimHash and its variants within one bit, together with that shingle, so that nodes meet if they
-    share the shingle and differ in two or fewer bits. Up to ALL_PAIRS nodes that meet are paired each with each. Of
-    more, each is paired with two, the smallest and one that differs from place to place, so that the pairs of a large
-    group of near copies grow with its size. Pairs that differ in more than APART of all bits are dropped.
+    share the shingle and differ in two or fewer bits. Shingles that one node alone has are left out before. Places are
+    counted, not gathered, as a large group of near copies meets in one.
     """
     flips = F.array(F.lit(0), *[F.lit(1 << i) for i in range(SLICE)])
-    spread = nodes.select("fp", "bits", F.posexplode("marks").alias("slot", "mark")).select("fp", "bits", "slot", "mark", F.expr(f"shiftrightunsigned(bits, slot * {SLICE}) & {(1 << SLICE) - 1}").cast("int").alias("own"))
-    spread = spread.select("fp", "bits", "slot", "mark", "own", F.explode(flips).alias("flip"))
-    spread = spread.select(F.xxhash64("slot", "mark", F.col("own").bitwiseXOR(F.col("flip"))).alias("place"), F.struct("fp", "bits", "flip").alias("node"))
-    met = spread.groupBy("place").agg(F.collect_list("node").alias("nodes")).filter(F.size("nodes") > 1)
-    few = met.filter(F.size("nodes") <= ALL_PAIRS).select("nodes", F.explode("nodes").alias("a")).select("a", F.explode("nodes").alias("b")).filter("a.fp < b.fp")
-    other = F.array_min(F.transform("nodes", lambda x: F.struct(F.xxhash64("place", x["fp"]).alias("rank"), x.alias("node"))))["node"]
-    many = met.filter(F.size("nodes") > ALL_PAIRS).select("nodes", F.array(F.array_min("nodes"), other).alias("heads"))
-    # at its own place a node is paired with the heads there; at its variants' only with heads that differ in two bits, as
-    # others meet it there again. Filtering inside the arrays keeps the rows made in proportion to the nodes.
-    near = lambda a, b: (a["fp"] != b["fp"]) & ((b["flip"] == 0) | (a["flip"] != 0) & (a["flip"] != b["flip"])) & (F.bit_count(a["bits"].bitwiseXOR(b["bits"])) <= APART)
-    of = lambda a: F.transform(F.filter("nodes", lambda b: near(a, b)), lambda b: F.struct(a.alias("a"), b.alias("b")))
-    many = many.select(F.explode(F.flatten(F.transform("heads", of))).alias("pair")).select("pair.a", "pair.b")
-    both = few.unionByName(many).filter(F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= APART)
-    return both.select(F.least("a.fp", "b.fp").alias("a"), F.greatest("a.fp", "b.fp").alias("b")).distinct()
+    slots = nodes.select("fp", "bits", "size", F.posexplode("marks").alias("slot", "mark"))
+    shared = slots.groupBy("slot", "mark").agg(F.count("*").alias("n")).filter("n > 1").select("slot", "mark")
+    own = F.expr(f"shiftrightunsigned(bits, slot * {SLICE}) & {(1 << SLICE) - 1}").cast("int")
+    slots = stored(slots.join(shared, ["slot", "mark"]).select("fp", "bits", "size", F.xxhash64("slot", "mark").alias("mark"), own.alias("own")), "simhash-slots")
+    spread = slots.select("fp", "bits", "size", "mark", "own", F.explode(flips).alias("flip"))
+    spread = spread.select(F.xxhash64("mark", F.col("own").bitwiseXOR(F.col("flip"))).alias("place"), F.struct("fp", "bits", "size", "flip").alias("node"))
+    sized = spread.groupBy("place").agg(F.count("*").alias("n")).filter("n > 1")
+    return stored(spread.join(sized, "place").select("place", "n", "node"), "simhash-met")
 
 
-def similar_links(texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The candidate pairs of `nodes` whose sets of shingles have a Jaccard similarity of `similarity` or more.
+def _near(a: Column, b: Column, similarity: float) -> Column:
+    """Whether two nodes may reach the similarity by their bits and by the sizes of their sets."""
+    alike = F.least(a["size"], b["size"]) >= F.greatest(a["size"], b["size"]) * (similarity - 1e-9)
+    return alike & (F.bit_count(a["bits"].bitwiseXOR(b["bits"])) <= APART)
+
+
+def _once(a: Column, b: Column) -> Column:
+    """One order of two nodes, at one of the places where their short SimHashes meet: a is the smaller."""
+    return (a["fp"] < b["fp"]) & ((a["flip"] == 0) | (a["flip"] < b["flip"]))
+
+
+def _pairs_in(nodes: str, good: Callable[[Column, Column], Column]) -> Column:
+    """The pairs (a, b) of an array of nodes that are `good`; others are never made."""
+    of = lambda a: F.transform(F.filter(nodes, lambda b: good(a, b)), lambda b: F.struct(a["fp"].alias("a"), b["fp"].alias("b")))
+    return F.flatten(F.transform(nodes, of))
+
 
-    Sets are cut again from the text of one row a node (`held`, a row of `texts`), for nodes in candidate pairs only.
+def candidates(met: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes that may be similar: of up to ALL_PAIRS that meet all, of more those of two heads only.
+
+    Heads are the smallest node and one that differs from place to place: a large group of near copies is linked by pairs
+    that grow with its size. What heads leave open is for `unsettled`.
+    """
+    few = met.filter(F.col("n") <= ALL_PAIRS).groupBy("place").agg(F.collect_list("node").alias("nodes"))
+    few = few.select(F.explode(_pairs_in("nodes", lambda a, b: _once(a, b) & _near(a, b, similarity))).alias("pair")).select("pair.*")
+    many = met.filter(F.col("n") > ALL_PAIRS)
+    heads = many.groupBy("place").agg(F.min("node").alias("least"), F.min(F.struct(F.xxhash64("place", "node.fp").alias("rank"), "node")).alias("other"))
+    many = many.join(heads.select("place", F.explode(F.array("least", "other.node")).alias("head")), "place")
+    a, b = F.col("head"), F.col("node")
+    # at its own place a node is paired with the heads there; at its variants' only with heads that differ in two bits
+    many = many.filter((a["fp"] != b["fp"]) & ((b["flip"] == 0) | (a["flip"] != 0) & (a["flip"] != b["flip"])) & _near(a, b, similarity))
+    return few.unionByName(many.select(F.least("head.fp", "node.fp").alias("a"), F.greatest("head.fp", "node.fp").alias("b"))).distinct()
+
+
+def unsettled(met: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) that may be similar, meet among more than ALL_PAIRS nodes, and lie in different components by `roots`.
+
+    Pairs within a component change nothing. Places whose nodes are all in one component, as those of near copies mostly
+    are, are done. Nodes of other places are dealt to blocks of some IN_BLOCK, and each two blocks are compared in a group
+    of their own, so that no task holds a place.
+    """
+    many = met.filter(F.col("n") > ALL_PAIRS).select("place", "n", "node.*").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    open_ = many.groupBy("place").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("place")
+    blocks = F.ceil(F.col("n") / IN_BLOCK)
+    dealt = many.join(open_, "place").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("fp", "place"), "blocks"))
+    node = F.struct("fp", "bits", "size", "flip", "root", "block").alias("node")
+    dealt = dealt.select("place", node, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("to"))
+    cells = dealt.groupBy("place", F.least("node.block", "to").alias("i"), F.greatest("node.block", "to").alias("j")).agg(F.collect_list("node").alias("nodes"))
+    here = lambda a, b: (F.least(a["block"], b["block"]) == F.col("i")) & (F.greatest(a["block"], b["block"]) == F.col("j"))
+    good = lambda a, b: _once(a, b) & (a["root"] != b["root"]) & here(a, b) & _near(a, b, similarity)
+    return cells.select(F.explode(_pairs_in("nodes", good)).alias("pair")).select("pair.*").distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Those `pairs` (a, b) of nodes whose sets of shingles have a Jaccard similarity of `similarity` or more; stored.
+
+    Sets are cut again from the text of one row a node (`held`, a row of `texts`), for nodes in pairs only.
     """
-    pairs = stored(candidates(nodes), "simhash-pairs")
     wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
     rows = nodes.join(wanted, "fp").select("fp", F.col("held").alias("row"))
 
@@ -152,7 +198,17 @@ def similar_links(texts: DataFrame, nodes: DataFrame, size: int, similarity: flo
     picked = stored(texts.select("row", "text").join(rows, "row").select("fp", "text"), "simhash-texts")  # else shingles of all texts are cut before the join
     sets = stored(picked.select("fp", whole("text").alias("shingles")), "simhash-sets")
     full = pairs.join(sets.withColumnsRenamed({"fp": "a", "shingles": "of_a"}), "a").join(sets.withColumnsRenamed({"fp": "b", "shingles": "of_b"}), "b")
-    return full.filter(jaccard("of_a", "of_b") >= similarity - 1e-12).select("a", "b")
+    return stored(full.filter(jaccard("of_a", "of_b") >= similarity - 1e-12).select("a", "b"), "simhash-links")
+
+
+def similar_links(texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Links (a, b) of `nodes` that join all that meet and have a Jaccard similarity of `similarity` or more."""
+    met = meetings(nodes)
+    pairs = stored(candidates(met, similarity), "simhash-pairs")
+    links = verified(pairs, texts, nodes, size, similarity)
+    rest = unsettled(met, connected_components(links), similarity).join(pairs, ["a", "b"], "left_anti")
+    rest = stored(rest, "simhash-rest")
+    return links if rest.isEmpty() else links.unionByName(verified(rest, texts, nodes, size, similarity))
 
 
 def _classes(texts: DataFrame, size: int, similarity: float | None) -> DataFrame:
@@ -170,7 +226,7 @@ def _classes(texts: DataFrame, size: int, similarity: float | None) -> DataFrame
         links = ball_links(nodes.select("fp"))
     else:
         rows = stored(texts.select("row", "doc_id", _sketched(size)("text").alias("s")).select("row", "doc_id", "s.*"), "simhash")
-        nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("held"), F.first("bits").alias("bits"), F.first("marks").alias("marks")), "simhash-nodes")
+        nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("held"), F.first("bits").alias("bits"), F.first("size").alias("size"), F.first("marks").alias("marks")), "simhash-nodes")
         links = similar_links(texts, nodes, size, similarity)
     roots = connected_components(links)
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))

@@ -469,6 +469,45 @@ def test_near_copies_by_shared_shingles(spark, docs, no_docs):
     assert simhash.keep_one(docs.filter("doc_id IS NULL"), 5, 0.8).count() == 3
 
 
+def test_large_groups_lose_no_link(spark, monkeypatch):
+    import random
+
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(300)]
+    rows = []
+    for i in range(120):  # edits that put pairs on both sides of 0.8: no text links to all, and some to few
+        copy = list(base)
+        for _ in range(rng.randrange(2, 9)):
+            copy[rng.randrange(len(copy))] = f"x{i}"
+        rows.append((i, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if jaccard_of(rows[i][1], rows[j][1]) >= 0.8:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert 1 < len(set(root)) < 100
+    sketched = df.select("doc_id", simhash._sketched(5)("text").alias("s")).select("doc_id", "s.*")
+
+    def run():
+        found = {r.doc_id: r.component_id for r in simhash.near_duplicates(df, size=5, similarity=0.8).collect()}
+        return [found[i] for i in range(len(rows))]
+
+    monkeypatch.setattr(simhash, "ALL_PAIRS", 10**6)
+    whole = run()
+    met = simhash.meetings(sketched)
+    all_pairs = {tuple(r) for r in simhash.candidates(met, 0.8).collect()}
+    monkeypatch.setattr(simhash, "ALL_PAIRS", 3)
+    monkeypatch.setattr(simhash, "IN_BLOCK", 5)
+    none = spark.createDataFrame([], "node long, root long")
+    by_heads = {tuple(r) for r in simhash.candidates(met, 0.8).collect()}
+    left = {tuple(r) for r in simhash.unsettled(met, none, 0.8).collect()}
+    assert by_heads < all_pairs and by_heads | left == all_pairs
+    assert run() == whole
+    assert sum(a != b for a, b in zip(whole, root)) <= 2 and all(root[i] == root[r] for i, r in enumerate(whole))
+
+
 # ---- short passages in documents that else differ
 
 

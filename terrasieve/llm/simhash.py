@@ -13,6 +13,7 @@ from .common import connected_components, small_batches, stored
 
 BLOCK = 1 << 16  # shingles hashed at a time, so that a huge text needs little memory
 SLICES, SLICE = 5, 12  # short SimHashes of a set of shingles, and their bits
+SIGNS = 256
 APART = 24  # of 64 bits: sets that share 0.8 of their shingles differ in 10, and in more than 24 once in some millions
 ALL_PAIRS = 16  # nodes that meet in one place and are compared each with each at once; of more, what their heads leave open follows
 IN_BLOCK = 256  # nodes of a larger place that are compared in one group, with as many others
@@ -73,6 +74,18 @@ def least_hashes(shingles: np.ndarray) -> list[int]:
     return mixed.min(axis=1, initial=np.iinfo(np.uint64).max).view(np.int64).tolist()
 
 
+_MANY = np.random.default_rng(0).integers(0, 1 << 63, SIGNS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def signs(shingles: np.ndarray) -> list[int]:
+    """SIGNS bits, as longs: one of the least shingle under each of as many hashes; sets differ in half their distance of them."""
+    least = np.full(SIGNS, np.iinfo(np.uint64).max, np.uint64)
+    mixed = shingles ^ (shingles >> np.uint64(29))
+    for k in range(0, len(mixed), 4096):
+        np.minimum(least, (mixed[k : k + 4096, None] * _MANY).min(axis=0), out=least)
+    return np.packbits(((least >> np.uint64(20)) & np.uint64(1)).astype(np.uint8)).view(np.int64).tolist()
+
+
 def ball_links(prints: DataFrame, radius: int = 2) -> DataFrame:
     """Links (a, b) between distinct fingerprints `fp` at `radius` or fewer differing bits, enough to join all that touch.
 
@@ -154,32 +167,50 @@ def candidates(met: DataFrame, similarity: float) -> DataFrame:
     return few.unionByName(many.select(F.least("head.fp", "node.fp").alias("a"), F.greatest("head.fp", "node.fp").alias("b"))).distinct()
 
 
-def unsettled(met: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+def texts_of(wanted: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(fp, text) of the nodes `wanted` (fp), from one row each (`held`, a row of `texts`); stored, else a function of the
+    text would run on all texts before the join."""
+    rows = nodes.join(wanted.distinct(), "fp").select("fp", F.col("held").alias("row"))
+    return stored(texts.select("row", "text").join(rows, "row").select("fp", "text"), "simhash-texts")
+
+
+def unsettled(met: DataFrame, roots: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
     """Pairs (a, b) that may be similar, meet among more than ALL_PAIRS nodes, and lie in different components by `roots`.
 
     Pairs within a component change nothing. Places whose nodes are all in one component, as those of near copies mostly
     are, are done. Nodes of other places are dealt to blocks of some IN_BLOCK, and each two blocks are compared in a group
-    of their own, so that no task holds a place.
+    of their own, so that no task holds a place. Only there nodes get SIGNS bits, as texts that share less than the
+    similarity may be many: pairs are left out whose bits differ by some 4.7 deviations more than at the similarity, which
+    loses one in some 100,000 of those that have it.
     """
+
+    @F.pandas_udf("array<long>")
+    def signed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([signs(shingle_set(t, size)) for t in batch], dtype=object)
+
     many = met.filter(F.col("n") > ALL_PAIRS).select("place", "n", "node.*").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     open_ = many.groupBy("place").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("place")
     blocks = F.ceil(F.col("n") / IN_BLOCK)
-    dealt = many.join(open_, "place").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("fp", "place"), "blocks"))
-    node = F.struct("fp", "bits", "size", "flip", "root", "block").alias("node")
+    many = stored(many.join(open_, "place"), "simhash-open")
+    lanes = stored(texts_of(many.select("fp"), texts, nodes).select("fp", signed("text").alias("signs")), "simhash-signs")
+    odds = (1 - similarity) / 2
+    most = int(SIGNS * odds + 4.7 * (SIGNS * odds * (1 - odds)) ** 0.5)
+    dealt = many.join(lanes, "fp").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("fp", "place"), "blocks"))
+    node = F.struct("fp", "bits", "size", "flip", "root", "block", "signs").alias("node")
     dealt = dealt.select("place", node, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("to"))
     cells = dealt.groupBy("place", F.least("node.block", "to").alias("i"), F.greatest("node.block", "to").alias("j")).agg(F.collect_list("node").alias("nodes"))
     here = lambda a, b: (F.least(a["block"], b["block"]) == F.col("i")) & (F.greatest(a["block"], b["block"]) == F.col("j"))
-    good = lambda a, b: _once(a, b) & (a["root"] != b["root"]) & here(a, b) & _near(a, b, similarity)
+    differ = lambda a, b: sum((F.bit_count(a["signs"][i].bitwiseXOR(b["signs"][i])) for i in range(SIGNS // 64)), F.lit(0))
+    good = lambda a, b: _once(a, b) & (a["root"] != b["root"]) & here(a, b) & _near(a, b, similarity) & (differ(a, b) <= most)
     return cells.select(F.explode(_pairs_in("nodes", good)).alias("pair")).select("pair.*").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
     """Those `pairs` (a, b) of nodes whose sets of shingles have a Jaccard similarity of `similarity` or more; stored.
 
-    Sets are cut again from the text of one row a node (`held`, a row of `texts`), for nodes in pairs only.
+    Sets are cut again from texts, for nodes in pairs only.
     """
-    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    rows = nodes.join(wanted, "fp").select("fp", F.col("held").alias("row"))
 
     @F.pandas_udf("binary")
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -195,7 +226,7 @@ def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, si
             out.append(both / max(len(a) + len(b) - both, 1))
         return pd.Series(out, dtype="float64")
 
-    picked = stored(texts.select("row", "text").join(rows, "row").select("fp", "text"), "simhash-texts")  # else shingles of all texts are cut before the join
+    picked = texts_of(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")), texts, nodes)
     sets = stored(picked.select("fp", whole("text").alias("shingles")), "simhash-sets")
     full = pairs.join(sets.withColumnsRenamed({"fp": "a", "shingles": "of_a"}), "a").join(sets.withColumnsRenamed({"fp": "b", "shingles": "of_b"}), "b")
     return stored(full.filter(jaccard("of_a", "of_b") >= similarity - 1e-12).select("a", "b"), "simhash-links")
@@ -206,7 +237,7 @@ def similar_links(texts: DataFrame, nodes: DataFrame, size: int, similarity: flo
     met = meetings(nodes)
     pairs = stored(candidates(met, similarity), "simhash-pairs")
     links = verified(pairs, texts, nodes, size, similarity)
-    rest = unsettled(met, connected_components(links), similarity).join(pairs, ["a", "b"], "left_anti")
+    rest = unsettled(met, connected_components(links), texts, nodes, size, similarity).join(pairs, ["a", "b"], "left_anti")
     rest = stored(rest, "simhash-rest")
     return links if rest.isEmpty() else links.unionByName(verified(rest, texts, nodes, size, similarity))
 

@@ -502,8 +502,11 @@ def test_large_groups_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(simhash, "IN_BLOCK", 5)
     none = spark.createDataFrame([], "node long, root long")
     by_heads = {tuple(r) for r in simhash.candidates(met, 0.8).collect()}
-    left = {tuple(r) for r in simhash.unsettled(met, none, 0.8).collect()}
-    assert by_heads < all_pairs and by_heads | left == all_pairs
+    texts, nodes = df.withColumnRenamed("doc_id", "row"), sketched.withColumnRenamed("doc_id", "held")
+    left = {tuple(r) for r in simhash.unsettled(met, none, texts, nodes, 5, 0.8).collect()}
+    text_of = {r.fp: rows[r.doc_id][1] for r in sketched.collect()}
+    alike = {(a, b) for a, b in all_pairs if jaccard_of(text_of[a], text_of[b]) >= 0.8}
+    assert by_heads < all_pairs and alike - by_heads and alike <= by_heads | left <= all_pairs
     assert run() == whole
     assert sum(a != b for a, b in zip(whole, root)) <= 2 and all(root[i] == root[r] for i, r in enumerate(whole))
 

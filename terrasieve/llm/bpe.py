@@ -88,7 +88,7 @@ def read_ranks(ranks_file: bytes) -> dict[int, bytes]:
 
 
 class Codec:
-    def __init__(self, ranks_file: bytes, pattern: str):
+    def __init__(self, ranks_file: bytes, pattern: str, memo: int = MEMO):
         self.pieces = read_ranks(ranks_file)
         self.names = {rank: str(rank) for rank in self.pieces}
         self.whole = PerfectHash(list(self.pieces.values()))
@@ -104,8 +104,8 @@ class Codec:
         spaced = pattern.replace(r"[^\s", f"[^{SPACES}").replace(r"\S", f"[^{SPACES}]").replace(r"\s", f"[{SPACES}]")
         self.split = regex.compile(spaced).findall
         self.by_word = pattern.startswith("'s|'t|'re|'ve|'m|'ll|'d| ?")  # then a match holds a space as its first character only
-        self.words, self.runs = Memo(self._word, MEMO // 4), Memo(self._run, MEMO // 40)
-        self.later = Memo(lambda run: self._run(" " + run), MEMO)
+        self.words, self.runs = Memo(self._word, memo // 4), Memo(self._run, memo // 40)
+        self.later = Memo(lambda run: self._run(" " + run), memo)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a pre-token that is no token itself: lowest rank first, leftmost on ties, from a heap over linked parts."""
@@ -151,13 +151,13 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
-_CODECS: dict[tuple[bytes, str], Codec] = {}  # one for each Python worker
+_CODECS: dict[tuple[bytes, str, int], Codec] = {}  # one for each Python worker
 
 
-def codec(ranks_file: bytes, pattern: str) -> Codec:
-    key = (hashlib.sha256(ranks_file).digest(), pattern)
+def codec(ranks_file: bytes, pattern: str, memo: int = MEMO) -> Codec:
+    key = (hashlib.sha256(ranks_file).digest(), pattern, memo)
     if key not in _CODECS:
-        _CODECS[key] = Codec(ranks_file, pattern)
+        _CODECS[key] = Codec(ranks_file, pattern, memo)
     return _CODECS[key]
 
 
@@ -200,13 +200,16 @@ def decode(rows: DataFrame, ids_col: str = "ids", out: str = "decoded", path: st
     return rows.withColumn(out, back(F.col(ids_col)))
 
 
-def encode_checked(docs: DataFrame, text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """`docs` with n_tokens, ids and exact: whether decoding the ids gives the text's bytes again. Null texts have no ids."""
+def encode_checked(docs: DataFrame, text_col: str = "text", path: str | None = None, pattern: str | None = None, memo: int = MEMO) -> DataFrame:
+    """`docs` with n_tokens, ids and exact: whether decoding the ids gives the text's bytes again. Null texts have no ids.
+
+    `memo` bounds what a worker remembers: fewer entries cost time and change no result.
+    """
     shared, pattern = _shared(docs.sparkSession, path, pattern)
 
     @F.pandas_udf("ids array<int>, exact boolean")
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = codec(shared.value, pattern)
+        own = codec(shared.value, pattern, memo)
         for texts in batches:
             ids = [own.encode(t or "").astype(np.int32) for t in texts]
             exact = [own.decode(x.tolist()) == (t or "").encode() for x, t in zip(ids, texts)]

@@ -13,7 +13,7 @@ from .common import connected_components, small_batches, stored
 
 BLOCK = 1 << 16  # shingles hashed at a time, so that a huge text needs little memory
 SLICES, SLICE = 5, 12  # short SimHashes of a set of shingles, and their bits
-SIGNS = 256
+SIGNS = 1024  # pairs are compared by the first 256, then by all
 APART = 24  # of 64 bits: sets that share 0.8 of their shingles differ in 10, and in more than 24 once in some millions
 ALL_PAIRS = 16  # nodes that meet in one place and are compared each with each at once; of more, what their heads leave open follows
 IN_BLOCK = 256  # nodes of a larger place that are compared in one group, with as many others
@@ -81,8 +81,8 @@ def signs(shingles: np.ndarray) -> list[int]:
     """SIGNS bits, as longs: one of the least shingle under each of as many hashes; sets differ in half their distance of them."""
     least = np.full(SIGNS, np.iinfo(np.uint64).max, np.uint64)
     mixed = shingles ^ (shingles >> np.uint64(29))
-    for k in range(0, len(mixed), 4096):
-        np.minimum(least, (mixed[k : k + 4096, None] * _MANY).min(axis=0), out=least)
+    for k in range(0, len(mixed), 1024):
+        np.minimum(least, (mixed[k : k + 1024, None] * _MANY).min(axis=0), out=least)
     return np.packbits(((least >> np.uint64(20)) & np.uint64(1)).astype(np.uint8)).view(np.int64).tolist()
 
 
@@ -174,38 +174,81 @@ def texts_of(wanted: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame
     return stored(texts.select("row", "text").join(rows, "row").select("fp", "text"), "simhash-texts")
 
 
-def unsettled(met: DataFrame, roots: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) that may be similar, meet among more than ALL_PAIRS nodes, and lie in different components by `roots`.
+def opened(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of `large` (place, fp, ...) with `root`, of those places whose nodes lie in different components by `roots`."""
+    rooted = large.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    open_ = rooted.groupBy("place").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("place")
+    return rooted.join(open_, "place")
+
+
+def large_places(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """Nodes of the open places where more than ALL_PAIRS meet; stored."""
+    return stored(opened(met.filter(F.col("n") > ALL_PAIRS).select("place", "n", "node.*"), roots), "simhash-open")
 
-    Pairs within a component change nothing. Places whose nodes are all in one component, as those of near copies mostly
-    are, are done. Nodes of other places are dealt to blocks of some IN_BLOCK, and each two blocks are compared in a group
-    of their own, so that no task holds a place. Only there nodes get SIGNS bits, as texts that share less than the
-    similarity may be many: pairs are left out whose bits differ by some 4.7 deviations more than at the similarity, which
-    loses one in some 100,000 of those that have it.
-    """
+
+def with_signs(large: DataFrame, texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """`large` with the SIGNS bits of each node; stored. Only nodes that need them get them, as they are cut from texts."""
 
     @F.pandas_udf("array<long>")
     def signed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([signs(shingle_set(t, size)) for t in batch], dtype=object)
 
-    many = met.filter(F.col("n") > ALL_PAIRS).select("place", "n", "node.*").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    open_ = many.groupBy("place").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("place")
-    blocks = F.ceil(F.col("n") / IN_BLOCK)
-    many = stored(many.join(open_, "place"), "simhash-open")
-    lanes = stored(texts_of(many.select("fp"), texts, nodes).select("fp", signed("text").alias("signs")), "simhash-signs")
+    lanes = stored(texts_of(large.select("fp"), texts, nodes).select("fp", signed("text").alias("signs")), "simhash-signs")
+    return stored(large.join(lanes, "fp"), "simhash-signed")
+
+
+def _differ_by(similarity: float) -> Callable[[Column, Column], Column]:
+    """Whether SIGNS bits differ by no more than some 4.7 deviations above what they do at the similarity, which loses one
+    in some 100,000 of the pairs that have it."""
     odds = (1 - similarity) / 2
-    most = int(SIGNS * odds + 4.7 * (SIGNS * odds * (1 - odds)) ** 0.5)
-    dealt = many.join(lanes, "fp").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("fp", "place"), "blocks"))
+
+    def within(a: Column, b: Column, n: int) -> Column:
+        most = int(n * odds + 4.7 * (n * odds * (1 - odds)) ** 0.5)
+        return sum((F.bit_count(a["signs"][i].bitwiseXOR(b["signs"][i])) for i in range(n // 64)), F.lit(0)) <= most
+
+    return lambda a, b: within(a, b, 256) & within(a, b, SIGNS)
+
+
+def central(large: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of each place's central node with those of other components that may be similar to it.
+
+    Central is the node whose first 64 signs are nearest to the majority of its place: of near copies of one text mostly that
+    text, which links most of them by pairs that grow with the place's size.
+    """
+    low = F.col("signs")[0]
+    ones = [F.sum(F.shiftrightunsigned(low, i).bitwiseAND(F.lit(1))) for i in range(64)]
+    middles = large.groupBy("place").agg(F.array(*[(2 * x > F.count("*")).cast("long") for x in ones]).alias("ones"))
+    middles = middles.select("place", F.aggregate(F.reverse("ones"), F.lit(0).cast("long"), lambda x, bit: F.shiftleft(x, 1).bitwiseOR(bit)).alias("middle"))
+    node = F.struct("fp", "bits", "size", "root", "signs").alias("node")
+    ranked = large.join(middles, "place").select("place", node, F.bit_count(low.bitwiseXOR(F.col("middle"))).alias("off"))
+    heads = ranked.groupBy("place").agg(F.min(F.struct("off", "node")).alias("best")).select("place", F.col("best.node").alias("head"))
+    a, b = F.col("head"), F.col("node")
+    met = ranked.join(heads, "place").filter((a["root"] != b["root"]) & _near(a, b, similarity) & _differ_by(similarity)(a, b))
+    return met.select(F.least("head.fp", "node.fp").alias("a"), F.greatest("head.fp", "node.fp").alias("b")).distinct()
+
+
+def open_pairs(large: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of `large` that may be similar, and lie in different components.
+
+    Pairs within a component change nothing. Nodes of a place are dealt to blocks of some IN_BLOCK, and each two blocks are
+    compared in a group of their own, so that no task holds a place.
+    """
+    blocks = F.ceil(F.col("n") / IN_BLOCK)
+    dealt = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("fp", "place"), "blocks"))
     node = F.struct("fp", "bits", "size", "flip", "root", "block", "signs").alias("node")
     dealt = dealt.select("place", node, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("to"))
     cells = dealt.groupBy("place", F.least("node.block", "to").alias("i"), F.greatest("node.block", "to").alias("j")).agg(F.collect_list("node").alias("nodes"))
     here = lambda a, b: (F.least(a["block"], b["block"]) == F.col("i")) & (F.greatest(a["block"], b["block"]) == F.col("j"))
-    differ = lambda a, b: sum((F.bit_count(a["signs"][i].bitwiseXOR(b["signs"][i])) for i in range(SIGNS // 64)), F.lit(0))
-    good = lambda a, b: _once(a, b) & (a["root"] != b["root"]) & here(a, b) & _near(a, b, similarity) & (differ(a, b) <= most)
+    good = lambda a, b: _once(a, b) & (a["root"] != b["root"]) & here(a, b) & _near(a, b, similarity) & _differ_by(similarity)(a, b)
     return cells.select(F.explode(_pairs_in("nodes", good)).alias("pair")).select("pair.*").distinct()
 
 
+def unsettled(met: DataFrame, roots: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) that may be similar, meet among more than ALL_PAIRS nodes, and lie in different components by `roots`."""
+    return open_pairs(with_signs(large_places(met, roots), texts, nodes, size), similarity)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
     """Those `pairs` (a, b) of nodes whose sets of shingles have a Jaccard similarity of `similarity` or more; stored.
 
@@ -233,13 +276,25 @@ def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, si
 
 
 def similar_links(texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Links (a, b) of `nodes` that join all that meet and have a Jaccard similarity of `similarity` or more."""
+    """Links (a, b) of `nodes` that join all that meet and have a Jaccard similarity of `similarity` or more.
+
+    Places of more than ALL_PAIRS nodes are compared by two heads, those that this leaves in several components by their
+    central node, and those that are still not joined by all pairs of nodes in different components.
+    """
     met = meetings(nodes)
     pairs = stored(candidates(met, similarity), "simhash-pairs")
     links = verified(pairs, texts, nodes, size, similarity)
-    rest = unsettled(met, connected_components(links), texts, nodes, size, similarity).join(pairs, ["a", "b"], "left_anti")
-    rest = stored(rest, "simhash-rest")
-    return links if rest.isEmpty() else links.unionByName(verified(rest, texts, nodes, size, similarity))
+    large = large_places(met, connected_components(links))
+    if large.isEmpty():
+        return links
+    large = with_signs(large, texts, nodes, size)
+    for further in (central, open_pairs):
+        new = stored(further(large, similarity).join(pairs, ["a", "b"], "left_anti"), f"simhash-{further.__name__}")
+        if not new.isEmpty():
+            pairs, links = pairs.unionByName(new), links.unionByName(verified(new, texts, nodes, size, similarity))
+        if further is central:
+            large = stored(opened(large.drop("root"), connected_components(links)), "simhash-open")
+    return links
 
 
 def _classes(texts: DataFrame, size: int, similarity: float | None) -> DataFrame:

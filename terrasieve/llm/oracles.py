@@ -46,4 +46,25 @@ FROM s0 JOIN (SELECT id, p FROM s WHERE walk = 1 AND p < n) USING (id)
 """
 
 
-ORACLES = {"op4_suffix_array": SUFFIXES, "op7_sharding": sharding(24)}
+#: Every run of one to three words of a piece, by their texts; scores in 128 bits.
+COLLOCATIONS = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM w, (SELECT unnest([1, 2, 3]) AS k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 10),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS cut FROM c),
+s AS (SELECT c.lang, c.k, c.phrase, c.a, cut, x.f AS l, y.f AS r, (1000000 * a::HUGEINT * a) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:c.k], ' ')),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+held AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE k = 3) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INT AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM best LEFT JOIN held USING (lang, phrase) JOIN total USING (lang)
+WHERE longer IS NULL OR k = 3 OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
+
+ORACLES = {"op4_suffix_array": SUFFIXES, "op7_sharding": sharding(24), "op11_collocations": COLLOCATIONS}

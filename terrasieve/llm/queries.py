@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, iblt, lines, mixing, quality, shards, simhash, suffixes, wordpiece
+from . import ann, bpe, collocations, iblt, lines, mixing, quality, shards, simhash, suffixes, wordpiece
 from .common import read_table
 from .oracles import ORACLES  # noqa: F401  registered beside the queries
 
@@ -58,4 +58,8 @@ def op10_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_ann, op4_suffix_array, op5_token_counts, op6_byte_bpe, op7_sharding, op8_quality, op9_simhash, op10_iblt)}
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_ann, op4_suffix_array, op5_token_counts, op6_byte_bpe, op7_sharding, op8_quality, op9_simhash, op10_iblt, op11_collocations)}

@@ -67,4 +67,18 @@ QUALIFY rank <= 2000
 """
 
 
-ORACLES = {"op4_suffix_array": SUFFIXES, "op7_sharding": sharding(24), "op11_collocations": COLLOCATIONS}
+#: All inner products of the anchors, in 128 bits.
+NEGATIVES = """
+WITH u AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, a.label AS own, b.id, b.label, list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1]::HUGEINT * z[2]))::BIGINT AS score
+  FROM u a JOIN u b ON a.id <> b.id WHERE a.id % 100 = 0),
+p AS (SELECT anchor_id, own, id AS positive_id, score AS positive_score FROM s WHERE own = label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id, own) WHERE s.label <> own AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
+ORACLES = {"op4_suffix_array": SUFFIXES, "op7_sharding": sharding(24), "op11_collocations": COLLOCATIONS, "op12_hard_negatives": NEGATIVES}

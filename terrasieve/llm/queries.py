@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, collocations, iblt, lines, mixing, quality, shards, simhash, suffixes, wordpiece
+from . import ann, bpe, collocations, extraction, iblt, lines, mixing, negatives, quality, shards, simhash, suffixes, wordpiece
 from .common import read_table
 from .oracles import ORACLES  # noqa: F401  registered beside the queries
 
@@ -62,4 +62,12 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_ann, op4_suffix_array, op5_token_counts, op6_byte_bpe, op7_sharding, op8_quality, op9_simhash, op10_iblt, op11_collocations)}
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(read_table(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_ann, op4_suffix_array, op5_token_counts, op6_byte_bpe, op7_sharding, op8_quality, op9_simhash, op10_iblt, op11_collocations, op12_hard_negatives, op13_html_extraction)}

@@ -76,6 +76,14 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """`name`, with underscores after it until no column of `df` is called so, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 PACK_BYTES = 2 << 20
 
 

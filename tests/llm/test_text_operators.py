@@ -218,30 +218,54 @@ def test_quality(spark, docs, odd_docs, no_docs):
 # ---- repeated lines
 
 
-def test_line_dedup(spark, docs, odd_docs, no_docs):
-    holders = {}
-    for doc, text, *_ in odd_docs:
-        for _, _, chunk, _ in lines.multi_line(text):
-            if doc is not None:
-                holders.setdefault(chunk, set()).add(doc)
-
-    def brute(doc, text):
-        if text is None:
-            return None
-        gone, seen = set(), set()
-        for a, b, chunk, _ in lines.multi_line(text):
-            if chunk in seen or doc is not None and min(holders[chunk]) < doc:
-                gone |= set(range(a, b))
+def told_by(rows):
+    """By a chunk's name: the smallest document that has it and the lines beside it there, if two documents have it."""
+    found, docs_of = {}, {}
+    for doc, text in rows:
+        seen = set()
+        for spans, i, chunk in lines.chunks_of(text) if doc is not None else ():
+            if chunk not in seen:
+                found.setdefault(chunk, []).append((doc, *lines.beside(text.encode().split(b"\n"), spans, i)))
+                docs_of.setdefault(chunk, set()).add(doc)
             seen.add(chunk)
-        return "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+    return {lines._name(c): min(v) for c, v in found.items() if len(docs_of[c]) > 1}
 
+
+def test_line_dedup(spark, docs, odd_docs, no_docs):
+    told = told_by([(d, t) for d, t, *_ in odd_docs])
     got = lines.drop_repeated(docs)
-    assert got.columns == [*docs.columns, "n_lines", "n_removed_chunks", "n_removed_lines"]
-    assert key(got.select("doc_id", "text").collect()) == Counter((d, brute(d, t)) for d, t, *_ in odd_docs)
+    assert got.columns == [*docs.columns, *lines.MADE]
+    assert key(got.select("doc_id", "text", *lines.MADE).collect()) == Counter((d, *lines.remove(t, told, d)) for d, t, *_ in odd_docs)
     assert got.agg(F.sum("n_removed_lines")).first()[0] > 25
     assert lines.drop_repeated(no_docs).count() == 0
-    kept = lines.keep_lines(docs)
-    assert kept.columns == docs.columns and kept.filter("n_chars <> length(text)").count() == 0
+    clash = docs.withColumns({"n_lines": F.lit(-1), "N_removed_chunks": F.lit("x"), "n_removed_lines": F.lit(None).cast("int")})
+    kept = lines.keep_lines(clash)
+    assert kept.columns == clash.columns and kept.filter("n_chars <> length(text)").count() == 0
+    assert kept.filter("n_lines <> -1 OR N_removed_chunks <> 'x' OR n_removed_lines IS NOT NULL").count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "c", "", " "]) | st.integers(0, 99).map(str), max_size=14), st.lists(st.integers(0, 99).map(str), min_size=2, max_size=12), st.lists(st.integers(0, 99).map(str), max_size=14))
+def test_passages_are_cut_to_their_ends(before, shared, after):
+    """Whatever chunk two texts share, the cut reaches as far as they agree around it, and never farther."""
+    one, two = ["first", *shared, "last"], [*before, *shared, *after]
+    told = told_by([(1, "\n".join(one)), (2, "\n".join(two))])
+    kept = [x for x in lines.remove("\n".join(two), told, 2)[0].split("\n") if x or "" in two]
+    gone = Counter(two) - Counter(kept)
+    assert not Counter(kept) - Counter(two)
+    if len(set(shared) | set(before) | set(after)) == len(shared) + len(before) + len(after) and all(x.strip() for x in before + after):
+        assert not gone or gone == Counter(shared)  # all lines differ: the passage goes whole or not at all
+    text, others = "\n".join(f"{i} {x}" for i, x in enumerate(shared * 6)), "\n".join(f"own {i}" for i in range(9))
+    told = told_by([(1, "head\n" + text + "\ntail"), (2, others + "\n" + text)])
+    assert lines.remove(others + "\n" + text, told, 2)[0] == (others if told else others + "\n" + text)
+
+
+def test_chunks_decide(monkeypatch):
+    passage = "\n".join(f"line {i} of a passage" for i in range(12))
+    rows = [(1, "a\nb\n" + passage + "\nc"), (2, "d\n" + passage + "\ne\nf")]
+    assert lines.remove(rows[1][1], told_by(rows), 2) == ("d\ne\nf", 15, 1, 12)
+    monkeypatch.setattr(lines, "chunk_bounds", lambda found, family: [(0, len(found))])  # without content-defined bounds nothing is found
+    assert lines.remove(rows[1][1], told_by(rows), 2)[0] == rows[1][1]
 
 
 def test_line_chunks_move_with_text():
@@ -514,14 +538,14 @@ def test_large_groups_lose_no_link(spark, monkeypatch):
 # ---- short passages in documents that else differ
 
 
-def test_short_passages_are_cut_whole(spark):
+def test_passages_are_cut_whole(spark):
     import random
 
     rng = random.Random(2)
     line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(8))
     rows, want = [], {}
     for i in range(60):
-        passage, own = [line() for _ in range(2 + i % 6)], [line() for _ in range(9)]
+        passage, own = [line() for _ in range(14 + i % 6)], [line() for _ in range(9)]
         rows += [(i, "\n".join([line(), line(), *passage, line()])), (1000 + i, "\n".join([*own[:4], *passage, *own[4:]]))]
         want[1000 + i] = ("\n".join(own), 1, len(passage))
     rows += [(3000, "\n".join([rows[0][1].split("\n")[0], "alone", rows[2][1].split("\n")[0]]))]  # single lines stay
@@ -529,4 +553,6 @@ def test_short_passages_are_cut_whole(spark):
     got = lines.drop_repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.text, r.n_removed_chunks, r.n_removed_lines) for r in got} == want
     assert all(b - a > 1 for a, b in lines.chunk_bounds([b"%d" % i for i in range(100)])[:-1])
-    assert lines.remove("x\nx\nx\ny", {}, 1)[0] == "x\nx\nx\ny" and lines.remove("x\nx\ny\nx\nx", {}, 1)[0] == "x\nx\ny"
+    assert lines.remove("x\nx\nx\ny", {}, 1)[0] == "x\nx\nx\ny"
+    long = "\n".join(f"{i} {i * i}" for i in range(20))
+    assert lines.remove(f"a\n{long}\nb\n{long}\nc", {}, 1) == (f"a\n{long}\nb\nc", 43, 1, 20)

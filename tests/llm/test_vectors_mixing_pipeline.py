@@ -173,20 +173,14 @@ def test_pipeline_against_its_steps(spark):
     import corpus_pipeline
     from terrasieve.llm import bpe, lines, quality
 
-    from .test_text_operators import shingles_of
+    from .test_text_operators import shingles_of, told_by
 
     docs, labels = (common.read_table(spark, SF, t) for t in ("documents", "labels"))
     model = quality.fit(docs, labels)
     rows = docs.select("doc_id", "text").collect()
     good = [(r.doc_id, r.text) for r, s in zip(rows, model.calibrated(model.measures([r.text for r in rows]))) if s >= quality.THRESHOLD]
-    first = {}
-    for doc, text in sorted(good):
-        for _, _, chunk, _ in lines.multi_line(text):
-            first.setdefault(chunk, doc)
-    cut = []
-    for doc, text in good:
-        told = {lines._name(c): d for c, d in first.items()}
-        cut.append((doc, lines.remove(text, told, doc)[0]))
+    told = told_by(good)
+    cut = [(doc, lines.remove(text, told, doc)[0]) for doc, text in good]
     sets = {doc: shingles_of(text) for doc, text in cut}
     root = {doc: doc for doc in sets}
     for a, b in itertools.combinations(sorted(sets), 2):  # all pairs, and not those that short SimHashes propose

@@ -49,6 +49,7 @@ NOISE_PARTS = words(
     "disqus dropdown footer gdpr masthead menu menubar modal nav navbar navigation newsletter notice notices notification outbrain overlay pager pagination popup promo promoted promotion recommendation "
     "recommendations recommended related replies reply respond rss share sharing shoutbox sidebar sidebars signup skip skyscraper social sponsor sponsored sponsors subscribe subscription taboola tags toolbar topbar widget widgets"
 )
+BARE = words("address center div fieldset section table tbody td th tr")  # that say nothing of their text: without blocks in them, they must be as dense as the core
 MENU_LINKS = 3  # so many links with nine tenths of the characters are a menu, wherever they stand
 COMMENT_PARTS = words("comment comments disqus replies reply respond")
 NEGATIONS = words("has with no without is")
@@ -207,7 +208,8 @@ class Page:
         reached, marks = [False] * n, {core, *(titles if len(titles) == 1 else ())}
         reached[body] = True
         for i in range(body + 1, n):
-            if block[i] and reached[above[i]] and density[i] >= threshold and density[i] > 0:
+            least = density[core] if self.tags[i] in BARE and total[i] == 0 else threshold
+            if block[i] and reached[above[i]] and density[i] >= least and density[i] > 0:
                 reached[i] = True
                 marks.add(best[i])
         kept = [False] * n

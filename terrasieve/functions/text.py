@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Word lists that results depend on.
 LOCATION_SUFFIXES = ("敷地内", "団地内", "工業団地内", "構内", "地内", "地先", "付近", "近傍", "隣接地", "の[東西南北](?:側|方)?", "[東西南北]側", "地区内")
@@ -41,17 +41,21 @@ def repaired_fields(line: Column, width: int = 47, at: int = 32) -> Column:
     return F.when(F.size(parts) == width, parts).when(F.size(parts) == width + 1, joined).otherwise(bad)
 
 
-def base_normalize(c: Column) -> Column:
-    """STR-1: NFKC, no notes in brackets, no strays, one space between parts."""
-    s = nfkc(F.coalesce(c, F.lit("")))
+def without_notes(s: Column) -> Column:
+    """STR-1 on text that is in NFKC: no notes in brackets, no strays, one space between parts."""
     opened = F.length(s) - F.length(F.replace(s, F.lit("("), F.lit("")))
     rounds = F.sequence(F.lit(1), F.greatest(opened, F.lit(1)))  # each round takes the innermost pairs
     s = F.aggregate(rounds, s, lambda acc, _: F.regexp_replace(acc, r"\([^()]*\)", ""))
-    s = F.regexp_replace(F.regexp_replace(s, r"(?s)\(.*$", ""), r"\)", "")
+    s = F.regexp_replace(F.regexp_replace(s, r"\(.*$", ""), r"\)", "")
     s = F.regexp_replace(F.translate(s, "、〜", " -"), "・", "")
     return clean(F.regexp_replace(s, r"(?U)\s+", " "))
 
 
+def base_normalize(c: Column) -> Column:
+    """STR-1."""
+    return without_notes(nfkc(F.coalesce(c, F.lit(""))))
+
+
 def strip_repeat(c: Column, pattern: str, limit: int = 3) -> Column:
     """STR-2: cuts an end pattern up to `limit` times, but never leaves nothing."""
 
@@ -72,28 +76,31 @@ def trim_candidates(parts: Column) -> Column:
     return F.array_distinct(F.filter(tidy, lambda v: v != ""))
 
 
-def staged_candidates(s: Column, location: str = _ends(LOCATION_SUFFIXES), facility: str = _ends(FACILITY_SUFFIXES)) -> Column:
-    """The first stages of STR-6 on normalised text: whole, first word, without location, lot number and facility."""
-    head = lambda x: F.split(x, " ", 2)[0]
-    no_place = strip_repeat(s, location)
-    no_lot = clean(F.regexp_replace(no_place, LOT_NUMBER, ""))
-    bare = strip_repeat(no_lot, facility)
-    return trim_candidates(F.array(s, head(s), no_place, no_lot, head(no_lot), bare, clean(F.regexp_replace(bare, LOT_NUMBER, ""))))
-
-
-def candidates(adr: Column) -> Column:
-    """STR-6: names to try, careful ones first; each stage's later variants drop 大字, 字 and what follows 丁目."""
-    first = staged_candidates(base_normalize(adr))
-
-    def variants(v: Column) -> Column:
-        block = F.regexp_extract(v, "^(.*?[0-9]+)丁目", 0)
-        plain = F.regexp_replace(v, "(?<!大)字", "")
-        return F.array(
-            F.when(v.contains("大字"), F.replace(v, F.lit("大字"), F.lit(""))).otherwise(""), F.when(plain != v, plain).otherwise(""),
-            block, F.when(block != "", F.regexp_replace(v, "[0-9]+丁目.*$", "")).otherwise(""),
-        )
-
-    return trim_candidates(F.concat(first, F.flatten(F.transform(first, variants))))
+def _variants(v: Column) -> Column:
+    block = F.regexp_extract(v, "^(.*?[0-9]+)丁目", 0)
+    plain = F.regexp_replace(v, "(?<!大)字", "")
+    return F.array(
+        F.when(v.contains("大字"), F.replace(v, F.lit("大字"), F.lit(""))).otherwise(""), F.when(plain != v, plain).otherwise(""),
+        block, F.when(block != "", F.regexp_replace(v, "[0-9]+丁目.*$", "")).otherwise(""),
+    )
+
+
+def with_candidates(df: DataFrame, adr: str, out: str = "cands", location: str = _ends(LOCATION_SUFFIXES), facility: str = _ends(FACILITY_SUFFIXES)) -> DataFrame:
+    """STR-6: `df` with the names to try for an address, careful ones first: whole, first word, without location, lot number
+    and facility, and of each the variants that drop 大字, 字 and what follows 丁目.
+
+    Every stage is a column of its own that later ones read, so that Spark computes it once; Python is called once a row.
+    """
+    head = lambda c: F.split(c, " ", 2)[0]
+    stages = {
+        "__nfkc": nfkc(F.coalesce(adr, F.lit(""))), "__whole": without_notes(F.col("__nfkc")), "__placed": strip_repeat(F.col("__whole"), location),
+        "__unlotted": clean(F.regexp_replace("__placed", LOT_NUMBER, "")), "__bare": strip_repeat(F.col("__unlotted"), facility), "__last": clean(F.regexp_replace("__bare", LOT_NUMBER, "")),
+        "__first": trim_candidates(F.array("__whole", head("__whole"), "__placed", "__unlotted", head("__unlotted"), "__bare", "__last")),
+        "__wide": F.concat("__first", F.flatten(F.transform("__first", _variants))),
+    }
+    for name, stage in stages.items():
+        df = df.withColumn(name, stage)
+    return df.withColumn(out, trim_candidates(F.col("__wide"))).drop(*stages)
 
 
 def without_prefix(cands: Column, prefix: Column) -> Column:

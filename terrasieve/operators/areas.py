@@ -61,8 +61,8 @@ def cell_cover(edges: DataFrame, cell: float, ids: list[str]) -> tuple[DataFrame
     The parity is a running count, along one row of cells, of the edges that cross its lower side; a window holds one row of
     one area.
     """
-    crossing = edges.filter(_cell(F.least("y1", "y2"), cell) < _cell(F.greatest("y1", "y2"), cell))
-    lines = crossing.withColumn("row", _rows(_cell(F.least("y1", "y2"), cell) + 1, _cell(F.greatest("y1", "y2"), cell)))
+    low, high = F.ceil(F.least("y1", "y2") / cell), _cell(F.greatest("y1", "y2"), cell)
+    lines = edges.filter(low <= high).withColumn("row", _rows(low, high))
     y = F.col("row") * cell
     lines = lines.filter((F.col("y1") > y) != (F.col("y2") > y))
     x = F.col("x1") + (y - F.col("y1")) / (F.col("y2") - F.col("y1")) * (F.col("x2") - F.col("x1"))

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .areas import nearest_cells
 from .rounds import settled
 
 
@@ -87,14 +86,19 @@ def zip_by_position(left: DataFrame, right: DataFrame, group: str, left_order: l
     return placed(left, left_order).join(placed(right, right_order), [group, "n", "nth"])
 
 
-def band_nearest(left: DataFrame, right: DataFrame, equal: list[str], bands: list[tuple[Column, float]], distance: Column, left_id: str, tie: list[str]) -> DataFrame:
-    """JN-11, SRT-3: rows of equal key within all bands; of each left row the nearest, first by `tie`."""
-    near = left.join(right, equal)
-    for apart, most in bands:
-        near = near.filter(F.abs(apart) <= most)
+def band_nearest(left: DataFrame, right: DataFrame, equal: list[str], bands: list[tuple[Column, Column, float]], distance: Column, left_id: str, tie: list[str]) -> DataFrame:
+    """JN-11, SRT-3: rows of equal key within all bands; of each left row the nearest, first by `tie`.
+
+    A band is a column of the left side, one of the right side, and how far apart they may be. The first band's buckets are
+    part of the join key (right rows go to three), so rows of a hot key meet those near them only.
+    """
+    of_left, of_right, most = bands[0]
+    spread = right.withColumn("__bucket", F.explode(F.array(*[F.floor(of_right / most) + i for i in (-1, 0, 1)])))
+    near = left.withColumn("__bucket", F.floor(of_left / most)).join(spread, [*equal, "__bucket"]).drop("__bucket")
+    for a, b, most in bands:
+        near = near.filter(F.abs(a - b) <= most)
     near = near.withColumn("distance", distance)
-    nth = F.row_number().over(Window.partitionBy(left_id).orderBy("distance", *tie))
-    return near.withColumn("nth", nth).filter("nth = 1").drop("nth")
+    return near.groupBy(left_id).agg(F.min(F.struct("distance", *tie, *[c for c in near.columns if c not in ("distance", left_id, *tie)])).alias("m")).select(left_id, "m.*")
 
 
 def nearest_in_grid(points: DataFrame, refs: DataFrame, cell: float, point_id: str, ref_id: str) -> DataFrame:
@@ -110,25 +114,32 @@ def nearest_in_grid(points: DataFrame, refs: DataFrame, cell: float, point_id: s
     return pairs.groupBy(point_id).agg(F.min(F.struct("distance", ref_id)).alias("m")).select(point_id, f"m.{ref_id}", "m.distance")
 
 
+CROWD = 8  # references in a cell that are compared without finer cells
+
+
 def nearest(points: DataFrame, refs: DataFrame, cell: float, point_id: str, ref_id: str) -> DataFrame:
     """JN-15: of each point the nearest reference, however far, ties to the smaller id.
 
-    `cell` is where the search begins; points without a reference that near are searched again with four times the reach,
-    until none is left. Most points are found in the first round, so the wide rounds have few points. Points and
-    references with null or non-finite coordinates take no part.
+    `cell` is where the search begins. Points without a reference that near go down a pyramid of occupied cells, whose
+    lowest level is as fine as the fullest cell asks for, so a far crowd of references is never one key. Points and
+    references with null or non-finite coordinates take no part; references at one place are one, with the smallest id.
     """
     finite = lambda c: F.coalesce(F.abs(c) < float("inf"), F.lit(False)) & ~F.isnan(c)
-    left, refs = points.filter(finite(F.col("x")) & finite(F.col("y"))).select(point_id, "x", "y"), refs.filter(finite(F.col("x")) & finite(F.col("y")))
+    left = points.filter(finite(F.col("x")) & finite(F.col("y"))).select(point_id, "x", "y")
+    refs = settled(refs.filter(finite(F.col("x")) & finite(F.col("y"))).groupBy("x", "y").agg(F.min(ref_id).alias(ref_id)))
     found = settled(nearest_in_grid(left, refs, cell, point_id, ref_id))
-    if refs.isEmpty():
+    left = settled(left.join(found.select(point_id), point_id, "left_anti"))
+    if left.isEmpty():
         return found
-    parts = [found]
-    while True:
-        left = settled(left.join(parts[-1].select(point_id), point_id, "left_anti"))
-        if left.isEmpty():
-            return reduce(DataFrame.unionByName, parts)
-        cell *= 4
-        parts.append(settled(nearest_in_grid(left, refs, cell, point_id, ref_id)))
+    at = lambda c, side: F.floor(F.col(c) / side)
+    fullest = refs.groupBy(at("x", cell), at("y", cell)).count().agg(F.max("count")).first()[0] or 1
+    fine = cell / (1 << max(0, (fullest // CROWD).bit_length() + 1) // 2)
+    placed = refs.withColumns({"row": at("y", fine), "col": at("x", fine)})
+    near = nearest_cells(left, placed, fine, point_id, [])
+    pairs = left.join(near, point_id).join(placed.select("row", "col", F.col("x").alias("rx"), F.col("y").alias("ry"), ref_id), ["row", "col"])
+    pairs = pairs.withColumn("distance", F.hypot(F.col("x") - F.col("rx"), F.col("y") - F.col("ry")))
+    far = pairs.groupBy(point_id).agg(F.min(F.struct("distance", ref_id)).alias("m")).select(point_id, f"m.{ref_id}", "m.distance")
+    return found.unionByName(far)
 
 
 def resume(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:

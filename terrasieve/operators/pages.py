@@ -45,8 +45,9 @@ def merged_spans(spans: DataFrame, page: str) -> DataFrame:
 
 
 def legend_marker(texts: DataFrame, markers: DataFrame, page: str, text_id: str, kind: str, apart: float = 6.0) -> DataFrame:
-    """JN-18: of each legend text (x, y) the nearest marker (mx, my) to its left on about its line."""
-    pairs = texts.join(markers, page).filter((F.col("mx") < F.col("x")) & (F.abs(F.col("my") - F.col("y")) < apart))
+    """JN-18: of each legend text (x, y) the nearest marker (mx, my) to its left on about its line; they meet by page and line."""
+    lines = markers.withColumn("__line", F.explode(F.array(*[F.floor(F.col("my") / apart) + i for i in (-1, 0, 1)])))
+    pairs = texts.withColumn("__line", F.floor(F.col("y") / apart)).join(lines, [page, "__line"]).filter((F.col("mx") < F.col("x")) & (F.abs(F.col("my") - F.col("y")) < apart))
     return pairs.groupBy(text_id).agg(F.min(F.struct((F.col("x") - F.col("mx")).alias("left_by"), kind)).alias("m")).select(text_id, f"m.{kind}", "m.left_by")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import numbers_in
-from ..operators import views
+from ..operators import tiles, views
 from ..sources.sinks import compact_properties
 from .places import QUALITY_SQL, parts_with_quality
 from .registry import POINTS_SQL, points, query, table
@@ -124,6 +124,40 @@ def tile_density_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.join(views.tiles(p, "lon", "lat", 7, []).groupBy("tx", "ty").agg(F.count("*").alias("n")), ["tx", "ty"])
 
 
+def _curve(x: str, y: str, order: int = tiles.ORDER) -> str:
+    """The place of a cell along the Hilbert curve, a subquery a bit; the innermost reads `t`."""
+    full, sql = (1 << order) - 1, f"(SELECT *, {x} AS hx, {y} AS hy, 0::BIGINT AS place FROM t)"
+    for bit in reversed(range(order)):
+        rx, ry = f"((hx >> {bit}) & 1)", f"((hy >> {bit}) & 1)"
+        ax, ay = (f"(CASE WHEN {rx} = 1 AND {ry} = 0 THEN {full} - {v} ELSE {v} END)" for v in ("hx", "hy"))
+        sql = f"(SELECT * EXCLUDE (hx, hy, place), CASE WHEN {ry} = 0 THEN {ay} ELSE {ax} END AS hx, CASE WHEN {ry} = 0 THEN {ax} ELSE {ay} END AS hy, place + xor({rx} * 3, {ry})::BIGINT * {1 << 2 * bit} AS place FROM {sql})"
+    return sql
+
+
+CAP, ZOOMS = 6000, range(4, 10)
+
+
+@query(f"""
+WITH p AS (SELECT o_orderkey, 139 + (o_orderkey * 7919 % 10007) / 20000.0::DOUBLE * (o_custkey % 5) AS lon, 36 + (o_custkey * 104729 % 9973) / 20000.0::DOUBLE * (o_custkey % 3) AS lat, 40 + length(o_orderpriority) + o_orderkey % 7 AS bytes, (o_orderkey * 2654435761 % 16777216)::BIGINT AS tie FROM orders),
+t AS (SELECT *, floor((lon + 180) / 360 * 65536)::BIGINT AS tx, floor((1 - ln(tan(radians(lat)) + 1 / cos(radians(lat))) / pi()) / 2 * 65536)::BIGINT AS ty FROM p),
+c AS (SELECT * FROM {_curve('tx', 'ty')}),
+s AS (SELECT place, least(4294967295, coalesce(place - lag(place) OVER (ORDER BY place), 4294967295)) AS gap FROM (SELECT DISTINCT place FROM c)),
+r AS (SELECT *, CASE WHEN tie = max(tie) OVER (PARTITION BY place) THEN gap ELSE 0 END * 16777216 + tie AS rank FROM c JOIN s USING (place)),
+z AS (SELECT z, tx >> (16 - z) AS zx, ty >> (16 - z) AS zy, rank, bytes FROM r, (SELECT unnest([4, 5, 6, 7, 8, 9]) AS z)),
+w AS (SELECT *, sum(bytes) OVER (PARTITION BY z, zx, zy ORDER BY rank DESC RANGE UNBOUNDED PRECEDING) AS total FROM z)
+SELECT z::INT AS z, zx::INT AS tx, zy::INT AS ty, count(*) FILTER (total <= {CAP}) AS n_kept, coalesce(sum(bytes) FILTER (total <= {CAP}), 0)::BIGINT AS n_bytes FROM w GROUP BY 1, 2, 3 HAVING count(*) FILTER (total <= {CAP}) > 0
+""")
+def tile_pyramid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-8, GEO-12: orders as places, a fifth of them at few longitudes; rows and bytes that each tile of each zoom keeps."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    lon = F.lit(139.0) + (k * 7919 % 10007) / F.lit(20000.0) * (c % 5)
+    lat = F.lit(36.0) + (c * 104729 % 9973) / F.lit(20000.0) * (c % 3)
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", lon.alias("lon"), lat.alias("lat"))
+    size = F.lit(40) + F.length("o_orderpriority") + F.col("o_orderkey") % 7
+    kept = tiles.pyramid(rows, "lon", "lat", ZOOMS, size, F.col("o_orderkey") * 2654435761 % 16777216, CAP)
+    return kept.groupBy("z", "tx", "ty").agg(F.count("*").alias("n_kept"), F.sum("bytes").alias("n_bytes"))
+
+
 @query("""
 SELECT p_partkey, round(CASE WHEN z <= 4 THEN 1.6 WHEN z < 8 THEN 1.6 + (z - 4) * 1.4 / 4 WHEN z < 12 THEN 3 + (z - 8) * 2.5 / 4 WHEN z < 16 THEN 5.5 + (z - 12) * 3.5 / 4 ELSE 9 END, 6) AS radius
 FROM (SELECT p_partkey, p_size / 3.0 AS z FROM part)

@@ -18,10 +18,15 @@ def one(spark, rows, make):
     return [r.out for r in df.select("i", make(F.col("v")).alias("out")).orderBy("i").collect()]
 
 
+def names_to_try(spark, rows):
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, v string")
+    return [r.cands for r in text.with_candidates(df, "v").orderBy("i").collect()]
+
+
 def test_candidates(spark):
-    assert one(spark, list(CASES), text.candidates) == [v.split() for v in CASES.values()]
-    assert one(spark, ["宮前町 国鉄旭川工場内"], text.candidates) == [["宮前町 国鉄旭川工場内", "宮前町"]]
-    assert one(spark, ["字福永　　（道北食肉施設№", None], text.candidates) == [["字福永", "福永"], []]
+    assert names_to_try(spark, CASES) == [v.split() for v in CASES.values()]
+    assert names_to_try(spark, ["宮前町 国鉄旭川工場内"]) == [["宮前町 国鉄旭川工場内", "宮前町"]]
+    assert names_to_try(spark, ["字福永　　（道北食肉施設№", None]) == [["字福永", "福永"], []]
 
 
 @pytest.mark.parametrize("make, cases", [
@@ -60,7 +65,7 @@ def test_parts(spark):
 def test_properties(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     key = text.name_key(F.col("v"))
-    rows = df.select(text.candidates(F.col("v")).alias("c"), key.alias("k"), text.name_key(key).alias("kk"), text.strip_repeat(F.col("v"), "(?:内|地先)$").alias("s"), "v").collect()
+    rows = text.with_candidates(df, "v", "c").select("c", key.alias("k"), text.name_key(key).alias("kk"), text.strip_repeat(F.col("v"), "(?:内|地先)$").alias("s"), "v").collect()
     for r in rows:
         assert len(set(r.c)) == len(r.c) and all(r.c)
         assert r.s or not r.v.strip(" 　")

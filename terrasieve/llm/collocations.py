@@ -14,15 +14,18 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import DataFrame, functions as F, Window
 
 from .common import small_batches, stored
 
-PACK_BYTES = 4 << 20  # of text that is counted at a time; a longer text is cut between words
+PACK_BYTES = 8 << 20  # of text that is counted at a time; a longer text is cut between words
+CHUNK = 1 << 19  # bytes of a prefix polynomial
+SPANS = 1 << 15  # whose bytes are compared at a time
+BITS = 48  # of a fingerprint: what collides is told apart by its text
 BUCKET_ENTRIES, LEAST_BUCKETS = 1 << 20, 64  # fingerprints a task gets at a time, about, and the fewest such tasks
 SALTS = 64  # parts of a language that are ranked before the language is
 LONGEST = 3  # words of a phrase
-BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+BASE = 0x9E3779B97F4A7C15  # of the polynomials; odd, so it has an inverse modulo 2**64
 
 OTHER, BLANK, BREAK = 0, 1, 2  # kinds of bytes
 KIND = np.zeros(256, np.uint8)
@@ -75,33 +78,53 @@ def gather(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
 def differ(text: np.ndarray, s1: np.ndarray, s2: np.ndarray, n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
     """Whether the bytes of two spans differ, span by span."""
     out = n1 != n2
-    same = np.flatnonzero(~out & (s1 != s2))
-    if len(same):
+    every = np.flatnonzero(~out & (s1 != s2))
+    for k in range(0, len(every), SPANS):
+        same = every[k : k + SPANS]
         n = n1[same]
         wrong = gather(text, s1[same], n) != gather(text, s2[same], n)
         out[same[np.repeat(np.arange(len(same)), n)[wrong]]] = True
     return out
 
 
-def count_grams(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, piece: np.ndarray, own: int, seed: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
+    """For n of 1 to LONGEST: the hash of the n words from each word on, with the blanks between them.
+
+    The prefix polynomial is kept for CHUNK bytes at a time; hashes do not depend on where a chunk begins.
+    """
+    out = [np.zeros(len(starts), np.uint64) for _ in range(LONGEST)]
+    at = 0
+    while at < len(starts):
+        stop = max(at + 1, int(np.searchsorted(ends, starts[at] + CHUNK, "right")))
+        far = min(stop + LONGEST - 1, len(starts))
+        origin = starts[at]
+        part = text[origin : ends[far - 1]]
+        power, inverse = powers(1 << max(20, len(part).bit_length()))
+        prefix = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: len(part)], out=prefix[1:])
+        for n, h in enumerate(out, 1):
+            own = np.arange(at, min(stop, far - n + 1))
+            begin = starts[own] - origin
+            h[own] = (prefix[ends[own + n - 1] - origin] - prefix[begin]) * inverse[begin]
+        at = stop
+    yield from out
+
+
+def count_grams(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, piece: np.ndarray, own: int, seed: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(fingerprints, counts, pointers), sorted, of the n-grams that start at the first `own` words.
 
-    A pointer is the place of an occurrence's first byte times four, plus its number of words. Occurrences that share a
-    fingerprint are compared with the first: words by their bytes, longer ones word by word. Where that fails, each text has
-    an entry of its own. `bits` shortens fingerprints (for tests of collisions).
+    A pointer is the number of an occurrence's first word times four, plus its number of words. Occurrences that share a
+    fingerprint of so many bits are compared with the first: words by their bytes, longer ones word by word. Where that
+    fails, each text has an entry of its own.
     """
-    power, inverse = powers(max(1 << 16, 1 << int(len(text)).bit_length()))
-    prefix = np.zeros(len(text) + 1, np.uint64)
-    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * power[: len(text)], out=prefix[1:])
     word = np.zeros(len(starts), np.int64)
     found = []
-    for n in range(1, LONGEST + 1):
+    for n, every in enumerate(hashes(text, starts, ends), 1):
         first = np.arange(max(0, len(starts) - n + 1))
         first = first[piece[first] == piece[first + n - 1]]
         if n > 1:  # words past the own ones are compared too, but n-grams there belong to the next part
             first = first[first < own]
-        h = (prefix[ends[first + n - 1]] - prefix[starts[first]]) * inverse[starts[first]]
-        h = mixed(h + np.uint64(seed * (2 * n + 1) % (1 << 64))) >> np.uint64(64 - bits)
+        h = mixed(every[first] + np.uint64(seed * (2 * n + 1) % (1 << 64))) >> np.uint64(64 - bits)
         order = np.argsort(h, kind="stable")
         h, first = h[order], first[order]
         new = np.append(True, h[1:] != h[:-1])[: len(h)]
@@ -132,7 +155,7 @@ def count_grams(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, piece: n
             mine = slice(None)
         counts = np.bincount(group[mine], minlength=int(new.sum())) if len(group) else np.zeros(0, np.int64)
         there = counts > 0
-        found.append((h[new][there], counts[there], (starts[first[new]] * 4 + n)[there]))
+        found.append((h[new][there], counts[there], (first[new] * 4 + n)[there]))
     prints, counts, pointers = (np.concatenate(x) for x in zip(*found))
     order = np.argsort(prints, kind="stable")
     return prints[order], counts[order].astype(np.uint32), pointers[order].astype(np.uint32)
@@ -178,7 +201,7 @@ def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
             held.setdefault(lang, []).append(text)
             size[lang] = size.get(lang, 0) + len(text) + 1
-            if size[lang] >= PACK_BYTES or sum(size.values()) >= 8 * PACK_BYTES:
+            if size[lang] >= PACK_BYTES or sum(size.values()) >= 2 * PACK_BYTES:
                 yield from out(max(size, key=size.get))
     for lang in list(held):
         yield from out(lang)
@@ -202,7 +225,7 @@ def _fingerprints(buckets: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                text = np.frombuffer(zstandard.decompress(row["text"]), np.uint8)
+                text = np.frombuffer(zstandard.decompress(row.pop("text")), np.uint8)
                 prints, counts, pointers = count_grams(text, *words_of(text), row["own"], seed_of(row["lang"]), bits)
                 cuts = np.searchsorted(prints, np.array([(b << bits) // buckets for b in range(1, buckets)], np.uint64))
                 edges = np.concatenate([[0], cuts, [len(prints)]])
@@ -243,35 +266,26 @@ def _frequent(least: int):
 
 
 PHRASES = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
-HELD_PHRASES = 1 << 19  # that a task sums before it hands them on
 
 
 def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Phrases behind the pointers, read from the text; packs of a task are summed before they leave it."""
-    held: pa.Table | None = None
+    """Phrases behind the pointers, read from the text, with their counts in the pack."""
     for batch in batches:
         for row in batch.to_pylist():
             text = np.frombuffer(zstandard.decompress(row["text"]), np.uint8)
-            ends = words_of(text)[1]
-            pointers = np.concatenate([loosened(r["pointers"], np.uint32) for r in row["replies"]]).astype(np.int64)
-            counts = np.concatenate([loosened(r["counts"], np.uint32) for r in row["replies"]]).astype(np.int64)
-            starts, k = pointers >> 2, pointers & 3
-            lengths = ends[np.searchsorted(ends, starts) + k - 1] - starts
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-            phrases = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(gather(text, starts, lengths).tobytes())).cast(pa.string())
-            fresh = pa.table({"lang": pa.array([row["lang"]] * len(k), pa.string()), "k": pa.array(k, pa.int32()), "phrase": phrases, "f": counts}, PHRASES)
-            held = fresh if held is None else pa.concat_tables([held, fresh])
-            if held.num_rows > HELD_PHRASES:
-                held = held.group_by(["lang", "k", "phrase"]).aggregate([("f", "sum")]).rename_columns(["lang", "k", "phrase", "f"]).select(PHRASES.names)
-                if held.num_rows > HELD_PHRASES // 2:
-                    yield from held.cast(PHRASES).combine_chunks().to_batches(1 << 16)
-                    held = None
-    if held is not None:
-        held = held.group_by(["lang", "k", "phrase"]).aggregate([("f", "sum")]).rename_columns(["lang", "k", "phrase", "f"]).select(PHRASES.names)
-        yield from held.cast(PHRASES).combine_chunks().to_batches(1 << 16)
-
-
-def phrase_counts(docs: DataFrame, least: int = 10, text_col: str = "text", lang_col: str = "lang", bits: int = 64) -> tuple[DataFrame, DataFrame]:
+            begins, ends, _ = words_of(text)
+            for reply in row["replies"]:
+                pointers, counts = loosened(reply["pointers"], np.uint32).astype(np.int64), loosened(reply["counts"], np.uint32).astype(np.int64)
+                first, k = pointers >> 2, pointers & 3
+                starts = begins[first]
+                lengths = ends[first + k - 1] - starts
+                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                phrases = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(gather(text, starts, lengths).tobytes()))
+                lang = pa.DictionaryArray.from_arrays(np.zeros(len(k), np.int32), [row["lang"]]).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([lang, pa.array(k, pa.int32()), phrases, pa.array(counts)], schema=PHRASES)
+
+
+def phrase_counts(docs: DataFrame, least: int = 10, text_col: str = "text", lang_col: str = "lang", bits: int = BITS) -> tuple[DataFrame, DataFrame]:
     """((lang, k, phrase, f), (lang, n)): phrases of one to three words that occur `least` times, and all words of a language.
 
     Null texts are empty, a null language is `und`. Both results are exact, whatever fingerprints collide. No phrase of
@@ -309,7 +323,7 @@ def scores(counts: DataFrame) -> DataFrame:
     return best.select("lang", "k", "phrase", "a", "b.l", "b.r", "b.score")
 
 
-def mine(docs: DataFrame, least: int = 10, top: int = 2000, text_col: str = "text", lang_col: str = "lang", bits: int = 64) -> DataFrame:
+def mine(docs: DataFrame, least: int = 10, top: int = 2000, text_col: str = "text", lang_col: str = "lang", bits: int = BITS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best phrases of two or three words.
 
     Order: score, then count a, both descending, then the phrase's bytes. A phrase that a longer one holds, with half of

@@ -1,16 +1,49 @@
-"""What operators that go on in rounds share."""
+"""What operators that go on in rounds share, and where they and round trips keep things."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import atexit
+import tempfile
+import uuid
 
+from pyspark.sql import DataFrame, SparkSession
 
-def settled(df: DataFrame) -> DataFrame:
-    """`df` without the plans of earlier rounds, which would else be run again each round: written to `spark.checkpoint.dir`.
 
-    A session without that folder (a local one) keeps the rows in memory and on its own disk instead.
+def _alone(spark: SparkSession) -> bool:
+    """Whether the driver is all there is: no executor of its own that could be lost."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new name in the folder that all executors share, `spark.checkpoint.dir`; only a local session may go without it."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if not _alone(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        where = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    path = f"{where.rstrip('/')}/{uuid.uuid4().hex}"
+    atexit.register(_delete, spark, path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:  # at exit the session may be gone already
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # noqa: BLE001
+        pass
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """`df` without the plans of earlier rounds, which would else be run again each round: written to the shared folder, and
+    read from there until the driver ends. A local session, which has no executor to lose, keeps the rows in memory and on
+    its own disk.
     """
     spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        return df.checkpoint()
-    return df.persist()
+    if _alone(spark):
+        return df.persist()
+    path = shared_dir(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

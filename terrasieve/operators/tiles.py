@@ -6,7 +6,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.geo import tile
+from ..functions.geo import hilbert, tile
 from .rounds import settled
 
 ORDER = 16  # bits of each coordinate along the curve: cells of the 16th zoom
@@ -15,21 +15,6 @@ BITS = 2 * ORDER + TIE  # of a rank
 ROUND = 14  # bits of the rank that a round settles: a window sees so many sums of a tile, never its points
 
 
-def hilbert(x: Column, y: Column, order: int = ORDER) -> Column:
-    """The place of the cell (x, y) along the Hilbert curve; tiles of any zoom are stretches of it."""
-    full = (1 << order) - 1
-    state = F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), F.lit(0).cast("long").alias("at"))
-
-    def step(s: Column, side: Column) -> Column:
-        right, up = F.when(s["x"].bitwiseAND(side) != 0, 1).otherwise(0), F.when(s["y"].bitwiseAND(side) != 0, 1).otherwise(0)
-        flip, turn = (right == 1) & (up == 0), up == 0
-        a, b = F.when(flip, full - s["x"]).otherwise(s["x"]), F.when(flip, full - s["y"]).otherwise(s["y"])
-        return F.struct(F.when(turn, b).otherwise(a).alias("x"), F.when(turn, a).otherwise(b).alias("y"), (s["at"] + (right * 3).bitwiseXOR(up) * side * side).alias("at"))
-
-    sides = F.array(*[F.lit(1 << bit).cast("long") for bit in reversed(range(order))])
-    return F.aggregate(sides, state, step)["at"]
-
-
 def gaps(df: DataFrame, place: str, out: str) -> DataFrame:
     """`df` with how far behind the one before it each row lies along `place`; 2 ** (2 * ORDER) - 1 for the first.
 
@@ -78,7 +63,7 @@ def pyramid(df: DataFrame, lon: str, lat: str, zooms: range, size: Column, tie:
     placed = df.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
     x, y = tile(F.col(lon), F.col(lat), ORDER)
     placed = placed.withColumns({"__tx": x, "__ty": y, "__tie": tie.cast("long"), "bytes": size.cast("long")})
-    placed = settled(placed.withColumn("__place", hilbert(F.col("__tx"), F.col("__ty"))))
+    placed = settled(placed.withColumn("__place", hilbert(F.col("__tx"), F.col("__ty"), ORDER)))
     first = placed.groupBy("__place").agg(F.max("__tie").alias("__first"))
     ranked = gaps(placed.join(first, "__place"), "__place", "__gap")
     rank = F.when(F.col("__tie") == F.col("__first"), F.col("__gap")).otherwise(0) * (1 << TIE) + F.col("__tie")

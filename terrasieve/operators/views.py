@@ -105,6 +105,23 @@ def stats(df: DataFrame, cls: str, distance: str) -> DataFrame:
     return df.groupBy(F.col(cls).alias("cls")).agg(F.count("*").alias("n"), F.count_if(F.col(distance) >= 0).alias("n_resolved"))
 
 
+def viewer_stats(df: DataFrame, cls: str, use: str, distance: str, year: str, zooms: range) -> DataFrame:
+    """SNK-9: (stat, item, value): all counts a viewer needs, from one aggregate by class and use; year 0 is unknown.
+
+    The total and the range of years and zooms have no item or min and max.
+    """
+    cube = df.groupBy(F.col(cls).cast("string").alias("cls"), F.col(use).cast("string").alias("use")).agg(
+        F.count("*").alias("n"), F.count_if(F.col(distance) >= 0).alias("known"), F.min(F.nullif(F.col(year), F.lit(0))).alias("first"), F.max(year).alias("last"))
+    row = lambda stat, item, value: F.struct(F.lit(stat).alias("stat"), item.cast("string").alias("item"), value.cast("long").alias("value"))
+    none = F.lit(None)
+    sums = cube.groupingSets([[], ["cls"], ["use"]], "cls", "use").agg(F.grouping_id().alias("of"), F.sum("n").alias("n"), F.sum("known").alias("known"), F.min("first").alias("first"), F.max("last").alias("last"))
+    whole = F.array(row("total", none, F.col("n")), row("distResolved", none, F.col("known")), row("nenRange", F.lit("min"), F.col("first")), row("nenRange", F.lit("max"), F.col("last")),
+                    row("minzoom", none, F.lit(zooms[0])), row("maxzoom", none, F.lit(zooms[-1])), row("completeFromZoom", none, F.lit(zooms[-1])))
+    of_class = F.array(row("posQuality", F.col("cls"), F.col("n")), row("posQualityDistResolved", F.col("cls"), F.col("known")))
+    shown = F.when(F.col("of") == 3, whole).when(F.col("of") == 1, of_class).otherwise(F.array(row("use", F.col("use"), F.col("n"))))
+    return sums.select(F.explode(shown).alias("s")).select("s.*")
+
+
 def selected_total(cube: DataFrame, state: FilterState) -> DataFrame:
     """AGG-16: rows shown, from the counts alone, and whether that is exact."""
     counted = F.col("n") if state.include_unknown else F.col("n_resolved")

@@ -102,7 +102,10 @@ def test_views_and_selected_total(spark):
     cube = spark.createDataFrame([("unique", 36415, 15452), ("site", 5351, 3241), ("fallback", 16081, 5662)], "cls string, n long, n_resolved long")
     assert tuple(views.selected_total(cube, views.FilterState()).first()) == (15452, True)
     assert tuple(views.selected_total(cube, views.FilterState(include_unknown=True, min_depth=1)).first()) == (36415, False)
-    assert json.loads(sinks.stats_json(cube))["total"] == 57847
+    known = df.withColumns({"cls": F.lit("unique"), "use": F.col("k"), "year": F.when(F.col("k") == "a", 0).otherwise(1981)})
+    stats = json.loads(sinks.stats_json(views.viewer_stats(known, "cls", "use", "ADR_DIST_KM_N", "year", range(4, 10))))
+    assert stats["total"] == 4 and stats["posQuality"] == {"unique": 4} and sum(stats["use"].values()) == 4 and (stats["minzoom"], stats["maxzoom"]) == (4, 9)
+    assert stats["nenRange"] == [1981, 1981] and stats["distResolved"] == stats["posQualityDistResolved"]["unique"]
 
 
 def test_profile_and_placed_rows(spark):
@@ -184,13 +187,21 @@ def test_csv_json_and_geoparquet(spark, tmp_path):
 
 
 def test_resume_stream(spark, tmp_path):
-    src, out = tmp_path / "in", f"{tmp_path}/out"
+    src, out, tried = tmp_path / "in", f"{tmp_path}/out", tmp_path / "tried"
     src.mkdir()
-    work = lambda df: df.withColumn("done", F.col("k") * 2)
-    for n, keys in enumerate(([1, 2], [2, 3])):
+    tried.mkdir()
+
+    def work(row):
+        (tried / f"{row['k']}-{len(list(tried.glob(str(row['k']) + '-*')))}").touch()
+        if row["k"] == 9:
+            raise ValueError("a service is down")
+        return None if row["k"] == 8 else {"done": row["k"] * 2}
+
+    for n, keys in enumerate(([1, 2, 8, None], [2, 3, 9, 1], [9, 8])):
         (src / f"{n}.json").write_text("\n".join(json.dumps({"k": k}) for k in keys))
-        incremental.run_available(spark, str(src), "k long", out, f"{tmp_path}/check", work, "k")
-    assert sorted((r.k, r.done) for r in spark.read.parquet(out).collect()) == [(1, 2), (2, 4), (3, 6)]
+        incremental.run_available(spark, str(src), "k long", out, f"{tmp_path}/check", work, "done long", "k")
+    assert sorted((r.key, r.done, r.tries, r.failed) for r in spark.read.parquet(out).collect()) == [("1", 2, 1, False), ("2", 4, 1, False), ("3", 6, 1, False), ("8", None, 3, True), ("9", None, 3, True)]
+    assert len(list(tried.iterdir())) == 9  # three keys once, two thrice
 
 
 def test_fits(spark):

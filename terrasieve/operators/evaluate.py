@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .rounds import settled
 
 CLOSE = 10_000  # 1 / the share of a group's values that the approximate quantiles may be off by
 
@@ -100,7 +101,8 @@ def spaced_sample(df: DataFrame, order: list, n: int, most: int) -> DataFrame:
     if n <= most:
         return df
     part, pos = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"__part": part, "__pos": pos}).persist()
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"__part": part, "__pos": pos})
+    placed = settled(placed)
     counts, at, starts = dict(placed.groupBy("__part").count().collect()), 0, {}
     for p in sorted(counts):
         starts[p], at = at, at + counts[p]

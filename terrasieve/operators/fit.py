@@ -1,125 +1,10 @@
-"""Fits of one cloud of points to another, a group at a time (GEO-8 to GEO-11, GEO-16, GEO-17, JN-16, AGG-17)."""
+"""Maps from pages to the ground as columns and sums (GEO-11, GEO-16, JN-16, AGG-17, NUM-6)."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 
-def nearest(src: np.ndarray, ref: np.ndarray, block: int = 2048) -> tuple[np.ndarray, np.ndarray]:
-    """Distance and index of each point's nearest reference, by blocks."""
-    at, far = np.empty(len(src), np.int64), np.empty(len(src))
-    for i in range(0, len(src), block):
-        d = ((src[i : i + block, None, :] - ref[None, :, :]) ** 2).sum(axis=2)
-        at[i : i + block], far[i : i + block] = d.argmin(axis=1), np.sqrt(d.min(axis=1))
-    return far, at
-
-
-def design(p: np.ndarray, degree: int) -> np.ndarray:
-    x, y = p[:, 0], p[:, 1]
-    if degree == 0:
-        return np.ones((len(p), 1))
-    return np.c_[x, y, np.ones(len(p))] if degree == 1 else np.c_[np.ones(len(p)), x, y, x * x, x * y, y * y]
-
-
-def moved(p: np.ndarray, m: np.ndarray, degree: int) -> np.ndarray:
-    return p + m if degree == 0 else design(p, degree) @ m
-
-
-def icp(src: np.ndarray, ref: np.ndarray, start: np.ndarray, degree: int, rounds: int = 80, trim: float = 0.9) -> tuple[np.ndarray, float]:
-    """GEO-10, AGG-18: fits by turns: nearest references, then least squares on the nearer share of them."""
-    m = start
-    for _ in range(rounds):
-        far, at = nearest(moved(src, m, degree), ref)
-        good = far <= np.quantile(far, trim)
-        new = (ref[at] - src)[good].mean(axis=0) if degree == 0 else np.linalg.lstsq(design(src[good], degree), ref[at][good], rcond=None)[0]
-        if np.allclose(new, m, atol=1e-12):
-            break
-        m = new
-    return m, float(np.median(nearest(moved(src, m, degree), ref)[0]))
-
-
-def shift_by_raster(src: np.ndarray, ref: np.ndarray, cell: float = 2.0) -> np.ndarray:
-    """GEO-9, AGG-20: the shift at which most cells of both clouds coincide, by Fourier transforms."""
-    low = np.minimum(src.min(axis=0), ref.min(axis=0))
-    span = np.maximum(src.max(axis=0), ref.max(axis=0)) - low
-    shape = tuple(int(n) for n in 2 * np.ceil(span / cell + 1))
-
-    def raster(p: np.ndarray) -> np.ndarray:
-        grid = np.zeros(shape)
-        grid[tuple(((p - low) / cell).astype(int).T)] = 1
-        return grid
-
-    both = np.fft.irfft2(np.fft.rfft2(raster(ref)) * np.conj(np.fft.rfft2(raster(src))), shape)
-    best = np.array(np.unravel_index(both.argmax(), shape))
-    return np.where(best > np.array(shape) // 2, best - np.array(shape), best) * cell
-
-
-def fit_groups(points: DataFrame, group: str, degree: int = 1) -> DataFrame:
-    """GEO-8, GEO-10: (group, coefficients, residual, n) from rows (group, side src or ref, x, y); each group is one map sheet,
-    thinned before, so it is small by its nature."""
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        src, ref = (rows.loc[rows["side"] == s, ["x", "y"]].to_numpy(float) for s in ("src", "ref"))
-        name = rows[group].iloc[0]
-        if len(src) < 3 or len(ref) < 3:
-            return pd.DataFrame({group: [name], "coefficients": [None], "residual": [None], "n": [len(src)]})
-        shift, _ = icp(src, ref, shift_by_raster(src, ref, max(float(np.ptp(ref)) / 50, 1e-9)), 0)
-        m = np.vstack([np.eye(2), shift])
-        m, residual = icp(src, ref, m, 1)
-        if degree == 2:
-            m, residual = icp(src, ref, np.vstack([m[2], m[0], m[1], np.zeros((3, 2))]), 2, 30)
-        return pd.DataFrame({group: [name], "coefficients": [m.ravel().tolist()], "residual": [residual], "n": [len(src)]})
-
-    kind = points.schema[group].dataType.simpleString()
-    return points.select(group, "side", "x", "y").groupBy(group).applyInPandas(solve, f"{group} {kind}, coefficients array<double>, residual double, n long")
-
-
-def assign(cost: np.ndarray) -> np.ndarray:
-    """JN-16: the cheapest one-to-one choice of a column for each row (rows no more than columns), by shortest augmenting paths."""
-    n, m = cost.shape
-    row_price, col_price, owner = np.zeros(n + 1), np.zeros(m + 1), np.zeros(m + 1, int)
-    for i in range(1, n + 1):
-        owner[0], at, least, back, seen = i, 0, np.full(m + 1, np.inf), np.zeros(m + 1, int), np.zeros(m + 1, bool)
-        while True:
-            seen[at] = True
-            own = owner[at]
-            step = cost[own - 1] - row_price[own] - col_price[1:]
-            better = ~seen[1:] & (step < least[1:])
-            least[1:][better], back[1:][better] = step[better], at
-            free = np.where(seen[1:], np.inf, least[1:])
-            to = int(free.argmin()) + 1
-            gap = free[to - 1]
-            row_price[owner[seen]] += gap
-            col_price[seen] -= gap
-            least[~seen] -= gap
-            at = to
-            if owner[at] == 0:
-                break
-        while at:
-            owner[at], at = owner[back[at]], back[at]
-    out = np.full(n, -1)
-    out[owner[1:][owner[1:] > 0] - 1] = np.flatnonzero(owner[1:] > 0)
-    return out
-
-
-def assign_groups(pairs: DataFrame, group: str, left: str, right: str, cost: str) -> DataFrame:
-    """JN-16: (group, left, right, cost) of the cheapest assignment in each small group of candidate pairs."""
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        table = rows.pivot_table(index=left, columns=right, values=cost, aggfunc="min")
-        c = table.fillna(1e12).to_numpy()
-        flip = c.shape[0] > c.shape[1]
-        chosen = assign(c.T if flip else c)
-        found = [(k, i) if flip else (i, k) for i, k in enumerate(chosen)]
-        found = [(i, k) for i, k in found if k >= 0 and i >= 0]
-        return pd.DataFrame({group: rows[group].iloc[0], left: [table.index[i] for i, _ in found], right: [table.columns[k] for _, k in found], cost: [c[i, k] for i, k in found]})
-
-    kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in (group, left, right, cost))
-    return pairs.select(group, left, right, cost).groupBy(group).applyInPandas(solve, kinds)
-
-
 def pairing_cost(distance, outside_km, mismatch, outside: float = 1000.0, cap: float = 3.0, penalty: float = 1e6):
     """JN-16: pixels apart, kilometres outside the area up to a cap, and a penalty for another colour."""
     return distance + outside * F.least(outside_km, F.lit(cap)) + F.when(mismatch, penalty).otherwise(0.0)
@@ -135,20 +20,18 @@ def scale_bar(spans: DataFrame, page: str) -> DataFrame:
 
 
 def affine_by_centroids(pairs: DataFrame, group: str, least: int = 3) -> DataFrame:
-    """GEO-11, AGG-17: the affine map of each group by least squares on pairs (x, y) -> (u, v), from sums that Spark combines;
-    groups with too few distinct places have none."""
-    terms = {"xx": "x * x", "xy": "x * y", "yy": "y * y", "sx": "x", "sy": "y", "xu": "x * u", "yu": "y * u", "su": "u", "xv": "x * v", "yv": "y * v", "sv": "v"}
-    sums = pairs.groupBy(group).agg(F.count("*").cast("double").alias("n"), F.count_distinct("x", "y").alias("places"), *[F.sum(F.expr(e)).alias(k) for k, e in terms.items()])
-
-    @F.pandas_udf("array<double>")
-    def solved(s: pd.DataFrame) -> pd.Series:
-        out = []
-        for r in s.itertuples(index=False):
-            gram = np.array([[r.xx, r.xy, r.sx], [r.xy, r.yy, r.sy], [r.sx, r.sy, r.n]])
-            out.append(np.linalg.lstsq(gram, np.array([[r.xu, r.xv], [r.yu, r.yv], [r.su, r.sv]]), rcond=None)[0].ravel().tolist())
-        return pd.Series(out, dtype=object)
-
-    return sums.filter(F.col("places") >= least).select(group, solved(F.struct("n", *terms)).alias("coefficients"))
+    """GEO-11, AGG-17: the affine map of each group by least squares on pairs (x, y) -> (u, v): Cramer's rule on covariances,
+    which Spark combines. Groups with too few distinct places, or with all of them on a line, have none.
+    """
+    moments = {"xx": F.var_pop("x"), "yy": F.var_pop("y"), "xy": F.covar_pop("x", "y"), "mx": F.avg("x"), "my": F.avg("y")}
+    for to in ("u", "v"):
+        moments |= {f"x{to}": F.covar_pop("x", to), f"y{to}": F.covar_pop("y", to), f"m{to}": F.avg(to)}
+    sums = pairs.groupBy(group).agg(F.count_distinct("x", "y").alias("places"), *[c.alias(k) for k, c in moments.items()])
+    sums = sums.withColumn("det", F.col("xx") * F.col("yy") - F.col("xy") * F.col("xy")).filter((F.col("places") >= least) & (F.col("det") > 1e-12 * F.col("xx") * F.col("yy")))
+    for to in ("u", "v"):
+        sums = sums.withColumns({f"a{to}": (F.col(f"x{to}") * F.col("yy") - F.col(f"y{to}") * F.col("xy")) / F.col("det"), f"b{to}": (F.col(f"y{to}") * F.col("xx") - F.col(f"x{to}") * F.col("xy")) / F.col("det")})
+    ends = [F.col(f"m{to}") - F.col(f"a{to}") * F.col("mx") - F.col(f"b{to}") * F.col("my") for to in ("u", "v")]
+    return sums.select(group, F.array("au", "av", "bu", "bv", *ends).alias("coefficients"))
 
 
 def affine_by_boxes(boxes: DataFrame) -> DataFrame:
@@ -163,11 +46,3 @@ def scale_plausible(coefficients, points_per_km, lat0, tolerance: float = 0.05):
     km = lambda i, j: F.hypot(coefficients[i] * 111.320 * F.cos(F.radians(lat0)), coefficients[j] * 110.574)
     near = lambda x: F.abs(x * points_per_km - 1) <= tolerance
     return near(km(0, 1)) & near(km(2, 3))
-
-
-def fixed_scale(src: np.ndarray, ref: np.ndarray, points_per_km: float, lon0: float, lat0: float) -> np.ndarray:
-    """GEO-17: the map of page points to degrees whose scale is given; only the shift is fitted, on a plane of kilometres."""
-    kx, ky = 111.320 * np.cos(np.radians(lat0)), 110.574
-    page, ground = src * [1, -1] / points_per_km, (ref - [lon0, lat0]) * [kx, ky]
-    shift, _ = icp(page, ground, shift_by_raster(page, ground), 0)
-    return np.array([[1 / points_per_km / kx, 0.0], [0.0, -1 / points_per_km / ky], [lon0 + shift[0] / kx, lat0 + shift[1] / ky]])

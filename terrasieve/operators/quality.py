@@ -51,9 +51,15 @@ def comparable(df: DataFrame, level: str | None = None, column: str = "LEVEL", h
 
 
 def numeric(df: DataFrame, columns: list[str], tolerated: float = 0.0) -> DataFrame:
-    """PRJ-11: text columns as numbers; an error if more than the tolerated share of rows would lose a value."""
-    lost = [F.count_if((F.col(c) != "") & number_of(F.col(c)).isNull()).alias(c) for c in columns]
-    got = df.agg(F.count("*").alias("n"), *lost).first()
+    """PRJ-11: text columns as numbers; an error if more than the tolerated share of rows would lose a value.
+
+    Where none may be lost the first such value raises as it is read, in the one scan there is. A share is counted before.
+    """
+    lost = {c: (F.col(c) != "") & number_of(F.col(c)).isNull() for c in columns}
+    if not tolerated:
+        error = lambda c: F.raise_error(F.concat(F.lit(f"column {c}: text that is no number: "), F.col(c))).cast("double")
+        return df.withColumns({c: F.when(lost[c], error(c)).otherwise(number_of(F.col(c))) for c in columns})
+    got = df.agg(F.count("*").alias("n"), *[F.count_if(x).alias(c) for c, x in lost.items()]).first()
     bad = {c: got[c] for c in columns if got[c] > tolerated * got["n"]}
     if bad:
         raise ValueError(f"columns with text that is no number: {bad}")

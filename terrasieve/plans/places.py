@@ -224,26 +224,6 @@ def transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points(spark, sf_dir).select("vec_id", *[F.round(c, d).alias(n) for c, d, n in ((ax, 6, "ax"), (ay, 6, "ay"), (qx, 4, "qx"), (qy, 4, "qy"), (kx, 4, "kx"), (ky, 4, "ky"))])
 
 
-@query()
-def optimal_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN-16: in each group of about twenty vectors, those of the first five labels are assigned to the others at the least total distance."""
-    p = points(spark, sf_dir).withColumn("sheet", F.expr("vec_id div 20"))
-    left = p.filter("label < 5").select("sheet", F.col("vec_id").alias("left_id"), F.col("lon").alias("lx"), F.col("lat").alias("ly"))
-    right = p.filter("label >= 5").select("sheet", F.col("vec_id").alias("right_id"), F.col("lon").alias("rx"), F.col("lat").alias("ry"))
-    pairs = left.join(right, "sheet").withColumn("cost", F.hypot(F.col("lx") - F.col("rx"), F.col("ly") - F.col("ry")))
-    return fit.assign_groups(pairs, "sheet", "left_id", "right_id", "cost").withColumn("cost", F.round("cost", 9))
-
-
-@query()
-def affine_icp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GEO-10: recovers how each group of vectors was moved and scaled."""
-    p = points(spark, sf_dir).withColumn("sheet", F.expr("vec_id div 200"))
-    kept = p.select("sheet", F.lit("ref").alias("side"), F.col("lon").alias("x"), F.col("lat").alias("y"))
-    moved = p.select("sheet", F.lit("src").alias("side"), ((F.col("lon") - 139) * 0.99 + 139.02).alias("x"), ((F.col("lat") - 36) * 1.01 + 35.98).alias("y"))
-    fitted = fit.fit_groups(kept.unionByName(moved), "sheet")
-    return fitted.select("sheet", F.transform("coefficients", lambda c: F.round(c, 4)).alias("coefficients"), F.round("residual", 6).alias("residual"), "n")
-
-
 @query("""
 WITH s AS (SELECT o_custkey AS page, o_orderkey % 7 AS v, (o_orderkey % 7) * 3.5 + o_custkey % 11 AS x, o_orderkey % 3 AS y FROM orders),
 l AS (SELECT page, y, count(*) AS n, min(v) AS low, regr_slope(x, v) AS slope FROM s GROUP BY 1, 2 HAVING count(*) >= 3 AND min(v) = 0 AND max(v) > 0 AND regr_slope(x, v) > 0)

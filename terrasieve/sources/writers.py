@@ -89,7 +89,7 @@ class GeoParquetWriter(FolderWriter):
 
         with store.open_output_stream(file) as out:
             for batch in batches:
-                writer = writer or pq.ParquetWriter(out, batch.schema, compression="zstd")
+                writer = writer or pq.ParquetWriter(out, batch.schema, compression="zstd", store_schema=False)  # so that readers take the keys of the footer
                 held.append(batch)
                 rows, kept = rows + batch.num_rows, kept + batch.num_rows
                 places = pa.table({k: batch["bbox"].field(k) for k in ("xmin", "ymin", "xmax", "ymax")}).to_pydict()

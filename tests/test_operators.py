@@ -88,8 +88,12 @@ def test_external_answers(spark):
 def test_numeric_guard(spark):
     df = spark.createDataFrame([("1.5",), ("",)], "h string")
     assert [r.h for r in quality.numeric(df, ["h"]).collect()] == [1.5, None]
+    worse = df.unionByName(spark.createDataFrame([("1d",)], "h string"))
+    with pytest.raises(Exception, match="text that is no number"):
+        quality.numeric(worse, ["h"]).collect()
     with pytest.raises(ValueError):
-        quality.numeric(df.unionByName(spark.createDataFrame([("1d",)], "h string")), ["h"])
+        quality.numeric(worse, ["h"], 0.2)
+    assert [r.h for r in quality.numeric(worse, ["h"], 0.5).collect()] == [1.5, None, None]
 
 
 def test_views_and_selected_total(spark):
@@ -204,20 +208,14 @@ def test_resume_stream(spark, tmp_path):
     assert len(list(tried.iterdir())) == 9  # three keys once, two thrice
 
 
-def test_fits(spark):
+def test_affine_by_sums(spark):
     rng = np.random.default_rng(0)
-    cost = rng.random((5, 7))
-    chosen = fit.assign(cost)
-    import itertools
-
-    best = min(itertools.permutations(range(7), 5), key=lambda p: sum(cost[i, k] for i, k in enumerate(p)))
-    assert tuple(chosen) == best
-    ref = rng.random((300, 2)) * 100
-    m = np.array([[1.01, 0.02], [-0.02, 0.99], [3.0, -2.0]])
-    src = (ref - m[2]) @ np.linalg.inv(m[:2])
-    rows = [("g", "ref", *map(float, p)) for p in ref] + [("g", "src", *map(float, p)) for p in src]
-    got = fit.fit_groups(spark.createDataFrame(rows, "sheet string, side string, x double, y double"), "sheet").first()
-    assert np.allclose(np.array(got.coefficients).reshape(3, 2), m, atol=1e-6) and got.residual < 1e-6
+    places, m = rng.random((300, 2)) * [2, 1.5] + [139, 35], np.array([[1.01, 0.02], [-0.02, 0.99], [3.0, -2.0]])
+    noisy = places @ m[:2] + m[2] + rng.normal(size=(300, 2)) * 0.01
+    rows = [("g", *map(float, p), *map(float, q)) for p, q in zip(places, noisy)] + [("line", float(i), 2.0 * i, 1.0, 1.0) for i in range(9)] + [("few", 0.0, 0.0, 1.0, 1.0)]
+    got = {r.sheet: r.coefficients for r in fit.affine_by_centroids(spark.createDataFrame(rows, "sheet string, x double, y double, u double, v double"), "sheet").collect()}
+    want = np.linalg.lstsq(np.c_[places, np.ones(300)], noisy, rcond=None)[0]
+    assert set(got) == {"g"} and np.allclose(np.array(got["g"]).reshape(3, 2), want, atol=1e-6)
 
 
 def test_reports(spark):
@@ -263,10 +261,80 @@ def test_sheets(spark):
 
 
 def test_scales(spark):
-    rng = np.random.default_rng(1)
-    ref = rng.random((200, 2)) * [2, 1.5] + [139, 35]
-    m = fit.fixed_scale((ref - [139, 36.5]) * [111.320 * np.cos(np.radians(35.7)), -110.574] * 2.0, ref, 2.0, 139.0, 35.7)
-    df = spark.createDataFrame([(m.ravel().tolist(),)], "c array<double>")
+    m = [1 / 2.0 / 111.320 / np.cos(np.radians(35.7)), 0.0, 0.0, -1 / 2.0 / 110.574, 139.0, 36.5]
+    df = spark.createDataFrame([([float(x) for x in m],)], "c array<double>")
     assert df.select(fit.scale_plausible(F.col("c"), F.lit(2.0), F.lit(35.7))).first()[0] and not df.select(fit.scale_plausible(F.col("c"), F.lit(2.5), F.lit(35.7))).first()[0]
     boxes = spark.createDataFrame([(0.0, 0.0, 10.0, 20.0, 139.0, 35.0, 140.0, 36.0)], "x0 double, y0 double, x1 double, y1 double, u0 double, v0 double, u1 double, v1 double")
     assert np.allclose(fit.affine_by_boxes(boxes).first().coefficients, [0.1, 0, 0, -0.05, 139.0, 36.0])
+
+
+def test_geoparquet_commits(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rng, path = np.random.default_rng(3), f"{tmp_path}/geo"
+    rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.random((50_000, 2)) * [4, 3] + [137, 34])]
+    df = spark.createDataFrame(rows, "id int, lon double, lat double")
+    sinks.write_geoparquet(df, "lon", "lat", path)
+    box = (138.0, 35.0, 138.2, 35.1)
+    got = sinks.read_geoparquet(spark, path, box)
+    assert sorted(r.id for r in got.select("id").collect()) == [i for i, x, y in rows if box[0] <= x <= box[2] and box[1] <= y <= box[3]]
+    groups = [pq.ParquetFile(f).metadata.row_group(g) for f in sorted((tmp_path / "geo").glob("part-*")) for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    spans = [{c.path_in_schema: (c.statistics.min, c.statistics.max) for c in (g.column(i) for i in range(g.num_columns)) if c.path_in_schema.startswith("bbox")} for g in groups]
+    meets = sum(s["bbox.xmin"][0] <= box[2] and s["bbox.xmax"][1] >= box[0] and s["bbox.ymin"][0] <= box[3] and s["bbox.ymax"][1] >= box[1] for s in spans)
+    assert 0 < meets < len(groups)  # the others are skipped by their statistics
+    assert "bbox.xmin" in got._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
+    before = sorted(f.name for f in (tmp_path / "geo").iterdir())
+    broken = df.withColumn("lat", F.when(F.col("id") == 49_999, F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("lat")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_geoparquet(broken, "lon", "lat", path)
+    assert sorted(f.name for f in (tmp_path / "geo").iterdir()) == before  # nothing is left of it, and nothing is gone
+    sinks.write_geoparquet(df.limit(10), "lon", "lat", path, append=True)
+    assert spark.read.parquet(path).count() == 50_010
+    sinks.write_geoparquet(df.limit(5), "lon", "lat", path)
+    assert spark.read.parquet(path).count() == 5 and not list((tmp_path / "geo").glob("_temporary"))
+
+
+def test_feature_collection_is_one_document(spark, tmp_path):
+    rows = [(i, i % 3, 139 + i / 100, 35.0) for i in range(40)] + [(99, 0, None, 35.0)]
+    df = spark.createDataFrame(rows, "id int, source int, lon double, lat double")
+    for some in (df, df.limit(0)):
+        path = tmp_path / f"fc{some.count()}"
+        sinks.write_feature_collection(some, "lon", "lat", ["id", "source"], ["source", "id"], str(path))
+        parts = sorted(path.glob("part-*"))
+        data = b"".join(p.read_bytes() for p in parts)
+        manifest = json.loads(next(path.glob("_manifest*")).read_text())
+        assert manifest["bytes"] == len(data) and [e["bytes"] for e in manifest["parts"]] == [p.stat().st_size for p in parts]
+        ids = [int(f["properties"]["id"]) for f in json.loads(data)["features"]]
+        assert ids == [r[0] for r in sorted(rows, key=lambda r: (r[1], r[0])) if r[2] is not None and some is df]
+
+
+def test_csv_records_over_block_ends(spark, tmp_path):
+    from terrasieve.sources import blocks
+
+    rng = np.random.default_rng(5)
+    cells = ["", "a", 'say "x"', "two\nlines", "three\n\n\nlines", '"', "\r\n", ",", "日本\n,\"", " pad "]
+    rows = [(i, cells[int(k)] * int(n), cells[int(m)]) for i, (k, n, m) in enumerate(zip(rng.integers(0, 10, 3000), rng.integers(0, 4, 3000), rng.integers(0, 10, 3000)))]
+    df = spark.createDataFrame(rows, "id int, a string, b string")
+    sinks.write_csv(df.coalesce(1), f"{tmp_path}/csv")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "997b")  # many blocks, which begin in the midst of cells
+    try:
+        lines = blocks.physical_lines(spark, f"{tmp_path}/csv")
+        assert lines.select("block").distinct().count() > 30
+        back = blocks.csv_by_blocks(spark, f"{tmp_path}/csv", "id int, a string, b string").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert sorted((r.id, r.a or "", r.b or "") for r in back) == rows
+    assert [r.record for r in sorted(back, key=lambda r: r.id)] == list(range(1, 3001))
+
+
+def test_tiles_keep_to_the_cap(spark):
+    from terrasieve.operators import tiles
+
+    crowd = [(i, 139.5, 35.5) for i in range(400)] + [(1000 + i, 139 + i / 50, 35 + i / 70) for i in range(100)] + [(2000, None, 35.0)]
+    kept = tiles.pyramid(spark.createDataFrame(crowd, "id int, lon double, lat double"), "lon", "lat", range(4, 8), F.lit(10), F.col("id"), 1200).cache()
+    weights = {tuple(r)[:3]: r.w for r in kept.groupBy("z", "tx", "ty").agg(F.sum("bytes").alias("w")).collect()}
+    assert max(weights.values()) == 1200
+    shown = {r.id for r in kept.filter("z = 4").collect()}
+    assert set(range(1000, 1100)) <= shown and len(shown) == 120  # the crowd goes first
+    assert {r.n for r in kept.filter("id = 399").groupBy("z").agg(F.count("*").alias("n")).collect()} == {1}

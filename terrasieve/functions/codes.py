@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .text import zero_fill
 
@@ -36,6 +36,16 @@ def lookup(c: Column, values: dict[str, str], default: str = "") -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), c), F.lit(default))
 
 
+def name_at(index: Column, names: list[str], default: str = "") -> Column:
+    """PRJ-6: the name at a place of a list, counted from 1; the default outside of it."""
+    return F.coalesce(F.when(index > 0, F.try_element_at(F.array(*map(F.lit, names)), index.cast("int"))), F.lit(default))
+
+
+def filled(df: DataFrame, sentinels: dict[str, float]) -> DataFrame:
+    """PRJ-13: columns with a sentinel where they are null, as filters of a map cannot ask for nulls."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in sentinels.items()})
+
+
 def fixed_point(c: Column, digits: int) -> Column:
     """PRJ-10: a number with so many digits; nothing for null."""
     return F.when(c.isNotNull(), F.format_string(f"%.{digits}f", c)).otherwise("")

@@ -36,4 +36,4 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 POINTS_SQL = "SELECT vec_id, label, 139 + 5 * embedding[1]::DOUBLE AS lon, 36 + 5 * embedding[2]::DOUBLE AS lat FROM embeddings"
 HAVERSINE_SQL = "2 * 6371.0088 * asin(sqrt(least(pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2), 1.0)))"
 
-from . import addresses, areas, files, names, places, registers, shown  # noqa: E402, F401  they register their queries
+from . import addresses, areas, files, names, places, registers, sheets, shown  # noqa: E402, F401  they register their queries

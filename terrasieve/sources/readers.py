@@ -178,6 +178,19 @@ def catalogue(results: DataFrame, keywords: str) -> DataFrame:
     return found.withColumn("formats", F.array_join(F.array_sort(F.array_distinct("formats")), "/"))
 
 
+def searched(entries: DataFrame, terms: list[str], text: str, keywords: str) -> DataFrame:
+    """SRC-16: what a search for each term in each catalogue comes to: (org, title, formats).
+
+    Entries are (catalogue, ord, org, title, formats, text). Terms go first to last, and in each the catalogues and their
+    entries in order; an (org, title) that is found again is overwritten. So the last term that an entry holds decides its
+    place, which is a column: terms and catalogues are never multiplied.
+    """
+    hit = F.array_max(F.array(*[F.when(F.contains(F.col(text), F.lit(term)), F.lit(i)) for i, term in enumerate(terms)]))
+    found = entries.withColumn("__term", hit).filter(F.col("__term").isNotNull() & F.col("title").rlike(keywords))
+    shown = F.concat(F.array_join(F.array_sort(F.array_distinct(F.filter("formats", lambda f: f != ""))), "/"), F.lit(" ("), "catalogue", F.lit(")"))
+    return found.groupBy("org", "title").agg(F.max_by(shown, F.struct("__term", "catalogue", "ord")).alias("formats"))
+
+
 def looked_up(df: DataFrame, service: DataFrame, key: list[str]) -> DataFrame:
     """SRC-3, SRC-17: answers of a service, held as a table; rows without an answer keep nulls."""
     return df.join(service, key, "left")

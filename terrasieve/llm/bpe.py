@@ -15,7 +15,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import small_batches
+from .common import small_batches, unused
 
 MEMO = 400_000  # entries in a generation of a worker's memo of runs; a quarter of that for words
 MEMO_CHARS = 48  # longer runs are not remembered
@@ -203,6 +203,8 @@ def decode(rows: DataFrame, ids_col: str = "ids", out: str = "decoded", path: st
 def encode_checked(docs: DataFrame, text_col: str = "text", path: str | None = None, pattern: str | None = None, memo: int = MEMO) -> DataFrame:
     """`docs` with n_tokens, ids and exact: whether decoding the ids gives the text's bytes again. Null texts have no ids.
 
+    Columns of these names in `docs` are replaced; any other name is kept.
+
     `memo` bounds what a worker remembers: fewer entries cost time and change no result.
     """
     shared, pattern = _shared(docs.sparkSession, path, pattern)
@@ -215,8 +217,9 @@ def encode_checked(docs: DataFrame, text_col: str = "text", path: str | None = N
             exact = [own.decode(x.tolist()) == (t or "").encode() for x, t in zip(ids, texts)]
             yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "exact": pd.Series(exact, dtype=bool)})
 
-    done = docs.drop("n_tokens", "ids", "exact").withColumn("__bpe", both(F.col(text_col)))
-    return done.withColumns({"n_tokens": F.size("__bpe.ids").cast("long"), "ids": F.col("__bpe.ids"), "exact": F.col("__bpe.exact")}).drop("__bpe")
+    name = unused("__bpe", docs)
+    done = docs.drop("n_tokens", "ids", "exact").withColumn(name, both(F.col(text_col)))
+    return done.withColumns({"n_tokens": F.size(f"{name}.ids").cast("long"), "ids": F.col(f"{name}.ids"), "exact": F.col(f"{name}.exact")}).drop(name)
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:

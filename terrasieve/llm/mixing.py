@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stored
+from .common import stored, unused
 
 DOMAINS = ("clean", "low", "toxic")
 TARGETS = {"clean": 0.95, "low": 0.04, "toxic": 0.01}
@@ -191,15 +191,16 @@ def fit_rates(rows: DataFrame, targets: dict[str, float] | None = None, anchor:
     """
     targets = targets or TARGETS
     p = {d: F.col(f"p_{d}") for d in DOMAINS}
-    base, steps = rows.withColumn("__from", F.lit(1.0)), []
+    begin = unused("__from", rows)
+    base, steps = rows.withColumn(begin, F.lit(1.0)), []
     goal = every = None
     best, since, lowered = math.inf, 0, 0
     best_base, best_steps = base, []
     for _ in range(ROUNDS):
         if len(steps) == STORE_EVERY:
-            base, steps = stored(base.withColumn("__from", _rate(F.col("__from"), steps, most)), "mix-rates"), []
+            base, steps = stored(base.withColumn(begin, _rate(F.col(begin), steps, most)), "mix-rates"), []
         rate = F.col("rate")
-        rated = base.withColumn("rate", _rate(F.col("__from"), steps, most))
+        rated = base.withColumn("rate", _rate(F.col(begin), steps, most))
         sums = [F.sum(F.col("n_tokens") * rate * p[d]) for d in DOMAINS]
         gram = [F.sum(F.when(rate > 0, F.col("n_tokens") * p[a] * p[b])) for a in DOMAINS for b in DOMAINS]
         got = np.array([x or 0.0 for x in rated.agg(*[x.alias(f"s{i}") for i, x in enumerate(sums + gram)]).first()])
@@ -226,7 +227,7 @@ def fit_rates(rows: DataFrame, targets: dict[str, float] | None = None, anchor:
             best, since = math.inf, 0
         weigh = np.linalg.pinv(g if helped else every, rcond=1e-9, hermitian=True)
         steps.append(dict(zip(DOMAINS, (weigh @ (s - goal)).tolist())))
-    return best_base.withColumn("rate", _rate(F.col("__from"), best_steps, most)).drop("__from"), best
+    return best_base.withColumn("rate", _rate(F.col(begin), best_steps, most)).drop(begin), best
 
 
 def copies(rate: Column, *key: Column) -> Column:

@@ -10,7 +10,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import small_batches
+from .common import small_batches, unused
 
 BLOCK = 1024  # bytes compressed at a time: a dictionary counts most near a block's start
 LEVEL = 3
@@ -147,5 +147,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
 
     Null and empty texts are scored like others. Repeated rows and rows with a null id stay or go by their texts.
     """
-    scored = score(docs, fit(docs, labels), out="__score")
-    return scored.filter(F.col("__score") >= threshold).drop("__score")
+    name = unused("__score", docs)
+    scored = score(docs, fit(docs, labels), out=name)
+    return scored.filter(F.col(name) >= threshold).drop(name)

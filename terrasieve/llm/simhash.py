@@ -9,14 +9,14 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import connected_components, small_batches, stored
+from .common import connected_components, small_batches, stored, unused
 
 BLOCK = 1 << 16  # shingles hashed at a time, so that a huge text needs little memory
 SLICES, SLICE = 5, 12  # short SimHashes of a set of shingles, and their bits
-SIGNS = 1024  # pairs are compared by the first 256, then by all
 APART = 24  # of 64 bits: sets that share 0.8 of their shingles differ in 10, and in more than 24 once in some millions
 ALL_PAIRS = 16  # nodes that meet in one place and are compared each with each at once; of more, what their heads leave open follows
 IN_BLOCK = 256  # nodes of a larger place that are compared in one group, with as many others
+LOAD = 8  # bits of a set's bitmap for each shingle, at least
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)  # byte value -> its bits, high first
 
 
@@ -74,16 +74,48 @@ def least_hashes(shingles: np.ndarray) -> list[int]:
     return mixed.min(axis=1, initial=np.iinfo(np.uint64).max).view(np.int64).tolist()
 
 
-_MANY = np.random.default_rng(0).integers(0, 1 << 63, SIGNS, np.uint64) * np.uint64(2) + np.uint64(1)
+def bitmap(shingles: np.ndarray) -> bytes:
+    """A power of two of bits, LOAD a shingle or more, in which each shingle sets one: folded in half, that of half the bits.
 
+    Two sets share no more shingles than bits, plus those that fell on a bit of their own set already: a bound, not an
+    estimate.
+    """
+    bits = 1 << max(6, (LOAD * max(len(shingles), 1) - 1).bit_length())
+    mixed = (shingles ^ (shingles >> np.uint64(31))) * _MULTIPLY[0]
+    out = np.zeros(bits, bool)
+    out[((mixed >> np.uint64(16)) % np.uint64(bits)).astype(np.int64)] = True
+    return np.packbits(out).tobytes()
+
+
+def folded(maps: list[bytes], size: int) -> np.ndarray:
+    """These bitmaps, of the same number of bytes, as rows of words, folded down to `size` bytes."""
+    rows = np.frombuffer(b"".join(maps), np.uint64).reshape(len(maps), -1)
+    while rows.shape[1] * 8 > size:
+        rows = rows[:, : rows.shape[1] // 2] | rows[:, rows.shape[1] // 2 :]
+    return rows
 
-def signs(shingles: np.ndarray) -> list[int]:
-    """SIGNS bits, as longs: one of the least shingle under each of as many hashes; sets differ in half their distance of them."""
-    least = np.full(SIGNS, np.iinfo(np.uint64).max, np.uint64)
-    mixed = shingles ^ (shingles >> np.uint64(29))
-    for k in range(0, len(mixed), 1024):
-        np.minimum(least, (mixed[k : k + 1024, None] * _MANY).min(axis=0), out=least)
-    return np.packbits(((least >> np.uint64(20)) & np.uint64(1)).astype(np.uint8)).view(np.int64).tolist()
+
+def bounded_pairs(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of `left` (size, bits, bitmap) the rows of `right` that may reach the similarity, by number.
+
+    Sizes and the SimHash decide first; then the bound by bitmaps, which no pair that has the similarity misses.
+    """
+    of = {name: {int(n): g for n, g in side.groupby(side["bitmap"].str.len())} for name, side in (("left", left), ("right", right))}
+    for n, a in of["left"].items():
+        for m, b in of["right"].items():
+            if not n // 2 <= m <= 2 * n:
+                continue  # sets of such unlike sizes cannot be similar
+            size = min(n, m)
+            x, y = folded(a["bitmap"].tolist(), size), folded(b["bitmap"].tolist(), size)
+            sizes, prints = b["size"].to_numpy(), b["bits"].to_numpy()
+            spare_y = sizes - np.bitwise_count(y).sum(axis=1)
+            for i, row, own, print_ in zip(a.index, x, a["size"], a["bits"]):
+                need = similarity / (1 + similarity) * (sizes + own) - 1e-6
+                alike = (np.minimum(sizes, own) >= need) & (np.bitwise_count(prints ^ print_) <= APART)
+                some = np.flatnonzero(alike)
+                if len(some):
+                    shared = np.bitwise_count(y[some] & row).sum(axis=1) + np.minimum(spare_y[some], own - int(np.bitwise_count(row).sum()))
+                    yield i, b.index.to_numpy()[some[shared >= need[some]]]
 
 
 def ball_links(prints: DataFrame, radius: int = 2) -> DataFrame:
@@ -154,7 +186,7 @@ def candidates(met: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of nodes that may be similar: of up to ALL_PAIRS that meet all, of more those of two heads only.
 
     Heads are the smallest node and one that differs from place to place: a large group of near copies is linked by pairs
-    that grow with its size. What heads leave open is for `unsettled`.
+    that grow with its size. What heads leave open is for `central` and `open_pairs`.
     """
     few = met.filter(F.col("n") <= ALL_PAIRS).groupBy("place").agg(F.collect_list("node").alias("nodes"))
     few = few.select(F.explode(_pairs_in("nodes", lambda a, b: _once(a, b) & _near(a, b, similarity))).alias("pair")).select("pair.*")
@@ -186,67 +218,60 @@ def large_places(met: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(opened(met.filter(F.col("n") > ALL_PAIRS).select("place", "n", "node.*"), roots), "simhash-open")
 
 
-def with_signs(large: DataFrame, texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """`large` with the SIGNS bits of each node; stored. Only nodes that need them get them, as they are cut from texts."""
+def with_bitmaps(large: DataFrame, texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """`large` with each node's bitmap; stored. Only nodes that need one get it, as it is cut from the text."""
 
-    @F.pandas_udf("array<long>")
-    def signed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("binary")
+    def mapped(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([signs(shingle_set(t, size)) for t in batch], dtype=object)
-
-    lanes = stored(texts_of(large.select("fp"), texts, nodes).select("fp", signed("text").alias("signs")), "simhash-signs")
-    return stored(large.join(lanes, "fp"), "simhash-signed")
-
-
-def _differ_by(similarity: float) -> Callable[[Column, Column], Column]:
-    """Whether SIGNS bits differ by no more than some 4.7 deviations above what they do at the similarity, which loses one
-    in some 100,000 of the pairs that have it."""
-    odds = (1 - similarity) / 2
-
-    def within(a: Column, b: Column, n: int) -> Column:
-        most = int(n * odds + 4.7 * (n * odds * (1 - odds)) ** 0.5)
-        return sum((F.bit_count(a["signs"][i].bitwiseXOR(b["signs"][i])) for i in range(n // 64)), F.lit(0)) <= most
+            yield pd.Series([bitmap(shingle_set(t, size)) for t in batch], dtype=object)
 
-    return lambda a, b: within(a, b, 256) & within(a, b, SIGNS)
+    maps = stored(texts_of(large.select("fp"), texts, nodes).select("fp", mapped("text").alias("bitmap")), "simhash-maps")
+    return stored(large.join(maps, "fp"), "simhash-mapped")
 
 
 def central(large: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of each place's central node with those of other components that may be similar to it.
 
-    Central is the node whose first 64 signs are nearest to the majority of its place: of near copies of one text mostly that
-    text, which links most of them by pairs that grow with the place's size.
+    Central is the node whose SimHash is nearest to the majority of its place: of near copies of one text mostly that text,
+    which links most of them by pairs that grow with the place's size.
     """
-    low = F.col("signs")[0]
-    ones = [F.sum(F.shiftrightunsigned(low, i).bitwiseAND(F.lit(1))) for i in range(64)]
+    ones = [F.sum(F.shiftrightunsigned("bits", i).bitwiseAND(F.lit(1))) for i in range(64)]
     middles = large.groupBy("place").agg(F.array(*[(2 * x > F.count("*")).cast("long") for x in ones]).alias("ones"))
     middles = middles.select("place", F.aggregate(F.reverse("ones"), F.lit(0).cast("long"), lambda x, bit: F.shiftleft(x, 1).bitwiseOR(bit)).alias("middle"))
-    node = F.struct("fp", "bits", "size", "root", "signs").alias("node")
-    ranked = large.join(middles, "place").select("place", node, F.bit_count(low.bitwiseXOR(F.col("middle"))).alias("off"))
+    node = F.struct("fp", "bits", "size", "root").alias("node")
+    ranked = large.join(middles, "place").select("place", node, F.bit_count(F.col("bits").bitwiseXOR(F.col("middle"))).alias("off"))
     heads = ranked.groupBy("place").agg(F.min(F.struct("off", "node")).alias("best")).select("place", F.col("best.node").alias("head"))
     a, b = F.col("head"), F.col("node")
-    met = ranked.join(heads, "place").filter((a["root"] != b["root"]) & _near(a, b, similarity) & _differ_by(similarity)(a, b))
+    met = ranked.join(heads, "place").filter((a["root"] != b["root"]) & _near(a, b, similarity))
     return met.select(F.least("head.fp", "node.fp").alias("a"), F.greatest("head.fp", "node.fp").alias("b")).distinct()
 
 
 def open_pairs(large: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of `large` that may be similar, and lie in different components.
+    """Pairs (a, b) of `large` (with bitmaps) that may be similar, and lie in different components.
 
     Pairs within a component change nothing. Nodes of a place are dealt to blocks of some IN_BLOCK, and each two blocks are
-    compared in a group of their own, so that no task holds a place.
+    compared in a group of their own, so that no task holds a place. What a bound on the shared shingles rules out is left
+    out, and nothing else.
     """
     blocks = F.ceil(F.col("n") / IN_BLOCK)
     dealt = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("fp", "place"), "blocks"))
-    node = F.struct("fp", "bits", "size", "flip", "root", "block", "signs").alias("node")
-    dealt = dealt.select("place", node, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("to"))
-    cells = dealt.groupBy("place", F.least("node.block", "to").alias("i"), F.greatest("node.block", "to").alias("j")).agg(F.collect_list("node").alias("nodes"))
-    here = lambda a, b: (F.least(a["block"], b["block"]) == F.col("i")) & (F.greatest(a["block"], b["block"]) == F.col("j"))
-    good = lambda a, b: _once(a, b) & (a["root"] != b["root"]) & here(a, b) & _near(a, b, similarity) & _differ_by(similarity)(a, b)
-    return cells.select(F.explode(_pairs_in("nodes", good)).alias("pair")).select("pair.*").distinct()
+    dealt = dealt.withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = dealt.select("place", F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "block", "fp", "bits", "size", "flip", "root", "bitmap")
 
+    def compare(nodes: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(nodes["i"].iloc[0]), int(nodes["j"].iloc[0])
+        left, right = nodes[nodes["block"] == i], nodes[nodes["block"] == j]
+        fp, root, flip, out = nodes["fp"].to_numpy(), nodes["root"].to_numpy(), nodes["flip"].to_numpy(), []
+        for a, found in bounded_pairs(left, right, similarity):
+            found = found[root[found] != root[a]]
+            low = np.where(fp[found] < fp[a], flip[found], flip[a])
+            high = np.where(fp[found] < fp[a], flip[a], flip[found])
+            for b in found[(low == 0) | (low < high)].tolist():  # at one of the places where the two meet
+                out.append((min(fp[a], fp[b]), max(fp[a], fp[b])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-def unsettled(met: DataFrame, roots: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) that may be similar, meet among more than ALL_PAIRS nodes, and lie in different components by `roots`."""
-    return open_pairs(with_signs(large_places(met, roots), texts, nodes, size), similarity)
+    return cells.groupBy("place", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -279,16 +304,18 @@ def similar_links(texts: DataFrame, nodes: DataFrame, size: int, similarity: flo
     """Links (a, b) of `nodes` that join all that meet and have a Jaccard similarity of `similarity` or more.
 
     Places of more than ALL_PAIRS nodes are compared by two heads, those that this leaves in several components by their
-    central node, and those that are still not joined by all pairs of nodes in different components.
+    central node, and those that are still not joined by all pairs of nodes in different components; so of all that meet,
+    in whatever number, no pair is left out but by its component, its sizes and its SimHash.
     """
     met = meetings(nodes)
     pairs = stored(candidates(met, similarity), "simhash-pairs")
     links = verified(pairs, texts, nodes, size, similarity)
     large = large_places(met, connected_components(links))
-    if large.isEmpty():
-        return links
-    large = with_signs(large, texts, nodes, size)
     for further in (central, open_pairs):
+        if large.isEmpty():
+            break
+        if further is open_pairs:
+            large = with_bitmaps(large, texts, nodes, size)
         new = stored(further(large, similarity).join(pairs, ["a", "b"], "left_anti"), f"simhash-{further.__name__}")
         if not new.isEmpty():
             pairs, links = pairs.unionByName(new), links.unionByName(verified(new, texts, nodes, size, similarity))
@@ -344,7 +371,7 @@ def keep_one(docs: DataFrame, size: int = 3, similarity: float | None = None) ->
     component whose ids are all null keeps one row. `size` and `similarity` as in near_duplicates. Rows are numbered and
     stored first, so that what stays is decided on narrow rows and no task gathers the texts of an id or of a group.
     """
-    name = "__row"
+    name = unused("__row", docs)
     kept = stored(docs.withColumn(name, F.monotonically_increasing_id()), "simhash-rows")
     classes = _classes(kept.select(F.col(name).alias("row"), "doc_id", "text"), size, similarity)
     best = classes.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "row")).alias("best"))

@@ -527,14 +527,45 @@ def test_large_groups_lose_no_link(spark, monkeypatch):
     none = spark.createDataFrame([], "node long, root long")
     by_heads = {tuple(r) for r in simhash.candidates(met, 0.8).collect()}
     texts, nodes = df.withColumnRenamed("doc_id", "row"), sketched.withColumnRenamed("doc_id", "held")
-    left = {tuple(r) for r in simhash.unsettled(met, none, texts, nodes, 5, 0.8).collect()}
+    large = simhash.with_bitmaps(simhash.large_places(met, none), texts, nodes, 5)
+    left = {tuple(r) for r in simhash.open_pairs(large, 0.8).collect()}
+    middle = {tuple(r) for r in simhash.central(large, 0.8).collect()}
     text_of = {r.fp: rows[r.doc_id][1] for r in sketched.collect()}
     alike = {(a, b) for a, b in all_pairs if jaccard_of(text_of[a], text_of[b]) >= 0.8}
-    assert by_heads < all_pairs and alike - by_heads and alike <= by_heads | left <= all_pairs
+    assert by_heads < all_pairs and alike - by_heads and alike <= by_heads | left <= all_pairs and middle <= all_pairs
+    assert len(left - alike) < 0.2 * len(all_pairs - alike)  # the bound leaves few to the sets
     assert run() == whole
     assert sum(a != b for a, b in zip(whole, root)) <= 2 and all(root[i] == root[r] for i, r in enumerate(whole))
 
 
+def test_bitmaps_bound_what_sets_share():
+    rng = np.random.default_rng(3)
+    for size in (1, 3, 40, 300, 5000):
+        one = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        frames = []
+        for drop in (0, size // 20, size // 9, size // 2):
+            two = np.unique(np.concatenate([one[drop:], rng.integers(0, 1 << 63, drop, dtype=np.uint64)]))
+            frames.append({"size": len(two), "bits": 0, "bitmap": simhash.bitmap(two), "set": two})
+        import pandas as pd
+
+        left, right = pd.DataFrame([{"size": len(one), "bits": 0, "bitmap": simhash.bitmap(one)}]), pd.DataFrame(frames)
+        found = {int(j) for _, js in simhash.bounded_pairs(left, right, 0.8) for j in js}
+        shared = [len(np.intersect1d(one, f["set"])) for f in frames]
+        alike = {j for j, (n, f) in enumerate(zip(shared, frames)) if n >= 0.8 * (len(one) + f["size"] - n)}
+        assert alike <= found and 3 not in found or size < 3
+
+
+@pytest.mark.parametrize("clash", [{"__row": "x", "__score": "y", "__bpe": "z", "__from": "f"}])
+def test_internal_names_give_way(spark, clash):
+    rows = [(i, " ".join(f"w{(i * 7 + j) % 90}" for j in range(60)), *clash.values()) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in clash))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    for kept in (simhash.keep_one(df, 5, 0.8), quality.keep_good(df, labels), lines.keep_lines(df)):
+        assert kept.columns == df.columns and kept.filter(" OR ".join(f"{c} <> '{v}'" for c, v in clash.items())).count() == 0
+    done = bpe.encode_checked(df)
+    assert set(df.columns) < set(done.columns) and done.filter("__bpe <> 'z' OR NOT exact").count() == 0
+
+
 # ---- short passages in documents that else differ
 
 

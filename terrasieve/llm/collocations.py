@@ -46,10 +46,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def mixed(h: np.ndarray) -> np.ndarray:
-    """Bits spread over the word: the high ones choose buckets."""
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+def mix(h: np.ndarray) -> None:
+    """Spreads bits over each word, in place: the high ones choose buckets."""
+    for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xBF58476D1CE4E5B9)):
+        h ^= h >> np.uint64(shift)
+        h *= np.uint64(factor)
 
 
 def tidy(raw: bytes) -> np.ndarray:
@@ -58,7 +59,7 @@ def tidy(raw: bytes) -> np.ndarray:
     kind = KIND[a]
     inside = np.concatenate([[False], kind == OTHER, [False]])
     starts, ends = np.flatnonzero(~inside[:-1] & inside[1:]), np.flatnonzero(inside[:-1] & ~inside[1:])
-    piece = np.cumsum(kind == BREAK)[starts] if len(starts) else starts
+    piece = np.cumsum(kind == BREAK, dtype=np.int32)[starts] if len(starts) else starts
     keep = inside[1:-1].copy()
     after = ends[ends < len(a)]
     keep[after] = True  # one separator after each word; the last may lack one
@@ -107,7 +108,8 @@ def hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[n
             begin = starts[own] - origin
             h[own] = (prefix[ends[own + n - 1] - origin] - prefix[begin]) * inverse[begin]
         at = stop
-    yield from out
+    while out:
+        yield out.pop(0)
 
 
 def count_grams(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, piece: np.ndarray, own: int, seed: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,18 +119,22 @@ def count_grams(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, piece: n
     fingerprint of so many bits are compared with the first: words by their bytes, longer ones word by word. Where that
     fails, each text has an entry of its own.
     """
-    word = np.zeros(len(starts), np.int64)
+    word = np.zeros(len(starts), np.int32)
     found = []
-    for n, every in enumerate(hashes(text, starts, ends), 1):
-        first = np.arange(max(0, len(starts) - n + 1))
+    for n, every in enumerate(hashes(text, starts, ends), 1):  # one array is dropped before the next is used
+        first = np.arange(max(0, len(starts) - n + 1), dtype=np.int32)
         first = first[piece[first] == piece[first + n - 1]]
         if n > 1:  # words past the own ones are compared too, but n-grams there belong to the next part
             first = first[first < own]
-        h = mixed(every[first] + np.uint64(seed * (2 * n + 1) % (1 << 64))) >> np.uint64(64 - bits)
+        h = every[first]
+        h += np.uint64(seed * (2 * n + 1) % (1 << 64))
+        mix(h)
+        h >>= np.uint64(64 - bits)
         order = np.argsort(h, kind="stable")
         h, first = h[order], first[order]
+        del order
         new = np.append(True, h[1:] != h[:-1])[: len(h)]
-        group = np.cumsum(new) - 1
+        group = np.cumsum(new, dtype=np.int32) - np.int32(1)
         head = first[new][group]
         if n == 1:
             size = ends - starts
@@ -146,7 +152,7 @@ def count_grams(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, piece: n
             h[where], first[where] = h[torn], first[torn]
             for j in range(1, len(spans)):
                 new[where[j]] |= spans[j] != spans[j - 1]
-            group = np.cumsum(new) - 1
+            group = np.cumsum(new, dtype=np.int32) - np.int32(1)
             head = first[new][group]
         if n == 1:
             word[first] = head
@@ -209,9 +215,9 @@ def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def words_of(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, piece) of the words of a tidy text."""
-    ends = np.flatnonzero(KIND[text] != OTHER)
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    return starts, ends, np.concatenate([[0], np.cumsum(text[ends[:-1]] == 10)])
+    ends = np.flatnonzero(KIND[text] != OTHER).astype(np.int32)
+    starts = np.concatenate([np.zeros(1, np.int32), ends[:-1] + np.int32(1)])
+    return starts, ends, np.concatenate([np.zeros(1, np.int32), np.cumsum(text[ends[:-1]] == 10, dtype=np.int32)])
 
 
 def seed_of(lang: str) -> int:

@@ -9,17 +9,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _alone(spark: SparkSession) -> bool:
-    """Whether the driver is all there is: no executor of its own that could be lost."""
-    master = spark.sparkContext.master
-    return master == "local" or master.startswith("local[")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """A new name in the folder that all executors share, `spark.checkpoint.dir`; only a local session may go without it."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        if not _alone(spark):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", where)
@@ -37,13 +31,9 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """`df` without the plans of earlier rounds, which would else be run again each round: written to the shared folder, and
-    read from there until the driver ends. A local session, which has no executor to lose, keeps the rows in memory and on
-    its own disk.
+    """`df` without the plans of earlier rounds, which would else be planned and run again each round: written to the shared
+    folder, and read from there until the driver ends. A lost executor costs a reread only.
     """
-    spark = df.sparkSession
-    if _alone(spark):
-        return df.persist()
-    path = shared_dir(spark)
+    path = shared_dir(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from .common import connected_components, small_batches, stored, unused
 
 BLOCK = 1 << 16  # shingles hashed at a time, so that a huge text needs little memory
-SLICES, SLICE = 5, 12  # short SimHashes of a set of shingles, and their bits
+SLICES, SLICE = 6, 10  # short SimHashes of a set of shingles, and their bits
 APART = 24  # of 64 bits: sets that share 0.8 of their shingles differ in 10, and in more than 24 once in some millions
 ALL_PAIRS = 16  # nodes that meet in one place and are compared each with each at once; of more, what their heads leave open follows
 IN_BLOCK = 256  # nodes of a larger place that are compared in one group, with as many others
@@ -65,7 +65,7 @@ def set_digest(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64))
 
 
-_MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+_MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
 
 def least_hashes(shingles: np.ndarray) -> list[int]:
@@ -146,21 +146,32 @@ def _sketched(size: int):
     return sketch
 
 
-def meetings(nodes: DataFrame) -> DataFrame:
-    """(place, n, node) for the places where n = 2 or more of `nodes` (fp, bits, size, marks) meet; stored.
+def slotted(nodes: DataFrame) -> DataFrame:
+    """(fp, bits, size, mark, own): SLICES rows a node of `nodes` (fp, bits, size, marks); stored.
 
-    The 64 bits are cut into short SimHashes, and each goes with a shingle of its own, the least under one hash. A node
-    emits each short SimHash and its variants within one bit, together with that shingle, so that nodes meet if they
-    share the shingle and differ in two or fewer bits. Shingles that one node alone has are left out before. Places are
-    counted, not gathered, as a large group of near copies meets in one.
+    The 64 bits are cut into short SimHashes, `own`, and each goes with a shingle of its own, the least under one hash.
+    Shingles that one node alone has are left out.
     """
-    flips = F.array(F.lit(0), *[F.lit(1 << i) for i in range(SLICE)])
     slots = nodes.select("fp", "bits", "size", F.posexplode("marks").alias("slot", "mark"))
     shared = slots.groupBy("slot", "mark").agg(F.count("*").alias("n")).filter("n > 1").select("slot", "mark")
     own = F.expr(f"shiftrightunsigned(bits, slot * {SLICE}) & {(1 << SLICE) - 1}").cast("int")
-    slots = stored(slots.join(shared, ["slot", "mark"]).select("fp", "bits", "size", F.xxhash64("slot", "mark").alias("mark"), own.alias("own")), "simhash-slots")
-    spread = slots.select("fp", "bits", "size", "mark", "own", F.explode(flips).alias("flip"))
-    spread = spread.select(F.xxhash64("mark", F.col("own").bitwiseXOR(F.col("flip"))).alias("place"), F.struct("fp", "bits", "size", "flip").alias("node"))
+    return stored(slots.join(shared, ["slot", "mark"]).select("fp", "bits", "size", F.xxhash64("slot", "mark").alias("mark"), own.alias("own")), "simhash-slots")
+
+
+def _spread(slots: DataFrame) -> DataFrame:
+    """`slots` at all places of each: a place is a short SimHash or one of its variants within one bit, with its shingle."""
+    flips = F.array(F.lit(0), *[F.lit(1 << i) for i in range(SLICE)])
+    spread = slots.withColumn("flip", F.explode(flips))
+    return spread.withColumn("place", F.xxhash64("mark", F.col("own").bitwiseXOR(F.col("flip")))).drop("mark", "own")
+
+
+def meetings(slots: DataFrame) -> DataFrame:
+    """(place, n, node) for the places where n = 2 or more nodes of `slots` meet; stored.
+
+    Nodes meet if they share a shingle of `slots` and their short SimHashes differ in two or fewer bits. Places are
+    counted, not gathered, as a large group of near copies meets in one.
+    """
+    spread = _spread(slots).select("place", F.struct("fp", "bits", "size", "flip").alias("node"))
     sized = spread.groupBy("place").agg(F.count("*").alias("n")).filter("n > 1")
     return stored(spread.join(sized, "place").select("place", "n", "node"), "simhash-met")
 
@@ -213,9 +224,15 @@ def opened(large: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(open_, "place")
 
 
-def large_places(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """Nodes of the open places where more than ALL_PAIRS meet; stored."""
-    return stored(opened(met.filter(F.col("n") > ALL_PAIRS).select("place", "n", "node.*"), roots), "simhash-open")
+def large_places(slots: DataFrame, roots: DataFrame) -> DataFrame:
+    """(place, n, fp, bits, size, flip, root): nodes of the places where more than ALL_PAIRS meet that lie in different
+    components by `roots`; stored. Roots join the slots, a few a node, before these are spread.
+    """
+    rooted = slots.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    spread = _spread(rooted)
+    open_ = spread.groupBy("place").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    open_ = open_.filter((F.col("n") > ALL_PAIRS) & (F.col("low") != F.col("high"))).select("place", "n")
+    return stored(spread.join(open_, "place"), "simhash-open")
 
 
 def with_bitmaps(large: DataFrame, texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -307,10 +324,10 @@ def similar_links(texts: DataFrame, nodes: DataFrame, size: int, similarity: flo
     central node, and those that are still not joined by all pairs of nodes in different components; so of all that meet,
     in whatever number, no pair is left out but by its component, its sizes and its SimHash.
     """
-    met = meetings(nodes)
-    pairs = stored(candidates(met, similarity), "simhash-pairs")
+    slots = slotted(nodes)
+    pairs = stored(candidates(meetings(slots), similarity), "simhash-pairs")
     links = verified(pairs, texts, nodes, size, similarity)
-    large = large_places(met, connected_components(links))
+    large = large_places(slots, connected_components(links))
     for further in (central, open_pairs):
         if large.isEmpty():
             break

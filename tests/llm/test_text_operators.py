@@ -520,14 +520,15 @@ def test_large_groups_lose_no_link(spark, monkeypatch):
 
     monkeypatch.setattr(simhash, "ALL_PAIRS", 10**6)
     whole = run()
-    met = simhash.meetings(sketched)
+    slots = simhash.slotted(sketched)
+    met = simhash.meetings(slots)
     all_pairs = {tuple(r) for r in simhash.candidates(met, 0.8).collect()}
     monkeypatch.setattr(simhash, "ALL_PAIRS", 3)
     monkeypatch.setattr(simhash, "IN_BLOCK", 5)
     none = spark.createDataFrame([], "node long, root long")
     by_heads = {tuple(r) for r in simhash.candidates(met, 0.8).collect()}
     texts, nodes = df.withColumnRenamed("doc_id", "row"), sketched.withColumnRenamed("doc_id", "held")
-    large = simhash.with_bitmaps(simhash.large_places(met, none), texts, nodes, 5)
+    large = simhash.with_bitmaps(simhash.large_places(slots, none), texts, nodes, 5)
     left = {tuple(r) for r in simhash.open_pairs(large, 0.8).collect()}
     middle = {tuple(r) for r in simhash.central(large, 0.8).collect()}
     text_of = {r.fp: rows[r.doc_id][1] for r in sketched.collect()}

@@ -37,7 +37,7 @@ SELECT o_orderkey, e.code AS area FROM p JOIN e ON (y1 > y) <> (y2 > y) AND x <
 """)
 def areas_of_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-17: all areas of a polygon table that each place lies in."""
-    edges = label_areas(spark, sf_dir)
+    edges = areas.settled(label_areas(spark, sf_dir))
     return areas.containing(places(spark, sf_dir), edges, "o_orderkey").select("o_orderkey", F.col("code").alias("area"))
 
 

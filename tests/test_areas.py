@@ -131,3 +131,13 @@ def test_band_nearest_by_buckets(spark):
     got = {x.a: x.b for x in matching.band_nearest(l, r, ["k"], [(F.col("u"), F.col("s"), 6), (F.col("v"), F.col("t"), 3)], F.abs(F.col("u") - F.col("s")), "a", ["b"]).collect()}
     want = {a: min(near)[1] for a, _, u, v in left if (near := [(abs(u - s), b) for b, _, s, t in right if abs(u - s) <= 6 and abs(v - t) <= 3])}
     assert got == want
+
+
+def test_many_long_edges_meet_few_points(spark):
+    rng = random.Random(3)
+    edges = spark.createDataFrame([(1, *[rng.uniform(0, 1) for _ in range(4)]) for _ in range(600)], EDGES)
+    points = spark.createDataFrame([(i, rng.uniform(0, 1), rng.uniform(0, 1)) for i in range(20000)], "id int, x double, y double")
+    cell = areas.cell_size(edges, points, [])
+    at = points.select(F.floor(F.col("y") / cell).alias("row"), F.floor(F.col("x") / cell).alias("col"))
+    met = at.join(areas.edge_cells(edges, cell), ["row", "col"]).count()
+    assert met < 20000 * 600 / 20  # all pairs, as with cells of some edges' length

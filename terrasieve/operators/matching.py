@@ -86,19 +86,21 @@ def zip_by_position(left: DataFrame, right: DataFrame, group: str, left_order: l
     return placed(left, left_order).join(placed(right, right_order), [group, "n", "nth"])
 
 
-def band_nearest(left: DataFrame, right: DataFrame, equal: list[str], bands: list[tuple[Column, Column, float]], distance: Column, left_id: str, tie: list[str]) -> DataFrame:
+def band_nearest(left: DataFrame, right: DataFrame, equal: list[str], bands: list[tuple[Column, Column, float]], distance: Column, left_id: str, tie: list[str], keep: list[str] | None = None) -> DataFrame:
     """JN-11, SRT-3: rows of equal key within all bands; of each left row the nearest, first by `tie`.
 
     A band is a column of the left side, one of the right side, and how far apart they may be. The first band's buckets are
-    part of the join key (right rows go to three), so rows of a hot key meet those near them only.
+    part of the join key (left rows, of which each gives one row at most, go to three), so rows of a hot key meet those near
+    them only. `keep` are columns to give beside the distance and `tie`; without it, all are carried along.
     """
     of_left, of_right, most = bands[0]
-    spread = right.withColumn("__bucket", F.explode(F.array(*[F.floor(of_right / most) + i for i in (-1, 0, 1)])))
-    near = left.withColumn("__bucket", F.floor(of_left / most)).join(spread, [*equal, "__bucket"]).drop("__bucket")
+    spread = left.withColumn("__bucket", F.explode(F.array(*[F.floor(of_left / most) + i for i in (-1, 0, 1)])))
+    near = right.withColumn("__bucket", F.floor(of_right / most)).join(spread, [*equal, "__bucket"]).drop("__bucket")
     for a, b, most in bands:
         near = near.filter(F.abs(a - b) <= most)
     near = near.withColumn("distance", distance)
-    return near.groupBy(left_id).agg(F.min(F.struct("distance", *tie, *[c for c in near.columns if c not in ("distance", left_id, *tie)])).alias("m")).select(left_id, "m.*")
+    rest = [c for c in (near.columns if keep is None else keep) if c not in ("distance", left_id, *tie)]
+    return near.groupBy(left_id).agg(F.min(F.struct("distance", *tie, *rest)).alias("m")).select(left_id, "m.*")
 
 
 def nearest_in_grid(points: DataFrame, refs: DataFrame, cell: float, point_id: str, ref_id: str) -> DataFrame:

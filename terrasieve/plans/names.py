@@ -131,7 +131,7 @@ def band_join_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_orderkey", "o_totalprice", "o_orderdate")
     l = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     days = F.abs(F.datediff("l_shipdate", "o_orderdate"))
-    found = matching.band_nearest(o, l, ["k"], [(F.col("o_totalprice"), F.col("l_extendedprice"), 60000), (F.unix_date(F.to_date("o_orderdate")), F.unix_date(F.to_date("l_shipdate")), 400)], days, "o_orderkey", ["l_partkey", "l_suppkey", "l_extendedprice"])
+    found = matching.band_nearest(o, l, ["k"], [(F.col("o_totalprice"), F.col("l_extendedprice"), 60000), (F.unix_date(F.to_date("o_orderdate")), F.unix_date(F.to_date("l_shipdate")), 400)], days, "o_orderkey", ["l_partkey", "l_suppkey", "l_extendedprice"], keep=[])
     return found.select("o_orderkey", "l_partkey", "l_suppkey", F.col("distance").cast("long").alias("days"))
 
 

@@ -338,3 +338,9 @@ def test_tiles_keep_to_the_cap(spark):
     shown = {r.id for r in kept.filter("z = 4").collect()}
     assert set(range(1000, 1100)) <= shown and len(shown) == 120  # the crowd goes first
     assert {r.n for r in kept.filter("id = 399").groupBy("z").agg(F.count("*").alias("n")).collect()} == {1}
+
+
+def test_band_nearest_carries_what_is_kept(spark):
+    left, right = spark.createDataFrame([(1, 1, 5.0)], "a int, k int, u double"), spark.createDataFrame([(7, 1, 6.0), (8, 1, 4.5)], "b int, k int, s double")
+    got = matching.band_nearest(left, right, ["k"], [(F.col("u"), F.col("s"), 2)], F.abs(F.col("u") - F.col("s")), "a", ["b"], keep=[])
+    assert got.columns == ["a", "distance", "b"] and [tuple(r) for r in got.collect()] == [(1, 0.5, 8)]

@@ -24,13 +24,14 @@ def first_unique(units: DataFrame, keys: DataFrame, unit: str, scope: str, group
 
     `units` has `unit`, `scope` and `cands`; `keys` has `scope`, `key`, `group` and `order`, by which entries rank. Gives
     (unit, status, used_cand, match, n_groups, groups): status unique, ambiguous, unmatched or no_candidate. One
-    equi-join on (scope, key) and one aggregate a unit and candidate.
+    equi-join on (scope, key) and one aggregate a key, however many units try it.
     """
     tried = units.select(unit, scope, F.posexplode("cands").alias("pos", "key"))
-    hits = tried.join(keys, [scope, "key"]).groupBy(unit, "pos", "key").agg(
+    entries = keys.join(tried.select(scope, "key"), [scope, "key"], "left_semi").groupBy(scope, "key").agg(
         F.count_distinct(group).alias("n_groups"), F.min(F.struct(order, group)).alias("match"),
         F.array_join(F.slice(F.array_sort(F.collect_set(group)), 1, most), ",").alias("groups"),
     )
+    hits = tried.join(entries, [scope, "key"])
     best = hits.groupBy(unit).agg(F.min(F.struct((F.col("n_groups") > 1).alias("several"), "pos", F.col("key").alias("used_cand"), "n_groups", "match", "groups")).alias("b"))
     out = units.select(unit, F.size("cands").alias("n")).join(best, unit, "left")
     status = F.when(F.col("n") == 0, "no_candidate").when(F.col("b").isNull(), "unmatched").when(F.col("b.several"), "ambiguous").otherwise("unique")
@@ -41,18 +42,21 @@ def exact_then_prefix(units: DataFrame, towns: DataFrame, unit: str, scope: str,
     """JN-7, JN-8: by candidate, towns whose full or short name equals it, else starts with it, within the scope.
 
     `towns` has `scope`, `town` (its id), `full` and `short`. Names' prefixes become keys, so that both are one equi-join
-    and no unit is compared with all towns of its scope. Gives the first success of a unit: pos, mode, key, and the
-    aggregates over all its towns.
+    and no unit is compared with all towns of its scope; towns are aggregated once a key, not once a unit. Gives the first
+    success of a unit: pos, mode, key, and the aggregates over all its towns.
     """
     prefixes = F.transform(F.sequence(F.lit(least), F.greatest(F.length("name"), F.lit(least))), lambda i: F.substring(F.col("name"), 1, i))
     names = towns.withColumn("name", F.explode(F.array_distinct(F.array("full", "short")))).filter(F.length("name") >= least)
     keyed = names.withColumn("key", F.explode(prefixes)).withColumn("mode", F.when(F.col("key") == F.col("name"), 0).otherwise(1))
     tried = units.select(unit, scope, F.posexplode("cands").alias("pos", "key")).filter(F.length("key") >= least)
-    one = tried.join(keyed.drop("name"), [scope, "key"]).groupBy(unit, "pos", "key", "town").agg(F.min("mode").alias("mode"), *[F.first(c).alias(c) for c in towns.columns if c not in (scope, "town", "full", "short")])
-    exact = F.min("mode").over(Window.partitionBy(unit, "pos"))
+    asked = keyed.drop("name").join(tried.select(scope, "key"), [scope, "key"], "left_semi")
+    one = asked.groupBy(scope, "key", "town").agg(F.min("mode").alias("mode"), *[F.first(c).alias(c) for c in towns.columns if c not in (scope, "town", "full", "short")])
+    exact = F.min("mode").over(Window.partitionBy(scope, "key"))
     hits = one.withColumn("exact", exact).filter((F.col("mode") == 0) | (F.col("exact") == 1))
-    first = F.dense_rank().over(Window.partitionBy(unit).orderBy("pos"))
-    return hits.withColumn("nth", first).filter("nth = 1").groupBy(unit, "pos", "key", F.when(F.col("exact") == 0, "exact").otherwise("prefix").alias("mode")).agg(*aggregates)
+    entries = hits.groupBy(scope, "key", F.when(F.col("exact") == 0, "exact").otherwise("prefix").alias("mode")).agg(*aggregates)
+    rest = [c for c in entries.columns if c not in (scope, "key")]
+    best = tried.join(entries, [scope, "key"]).groupBy(unit).agg(F.min_by(F.struct("pos", "key", *rest), "pos").alias("b"))
+    return best.select(unit, "b.*")
 
 
 def suffix_keys(names: DataFrame, name: str, least_key: int = 2, least_before: int = 2) -> DataFrame:
@@ -66,12 +70,13 @@ def suffix_unique(units: DataFrame, names: DataFrame, unit: str, scope: str, gro
     """JN-9, GEO-3: the first candidate that ends names of one group only; candidates that end several groups' are passed over.
 
     Every row of `names` is an entry, also where entries share a name: one entry makes the level town, several make it
-    oaza. `aggregates` run over the entries hit (a mean place, its spread).
+    oaza. `aggregates` run over the entries hit (a mean place, its spread), once a key and not once a unit.
     """
     tried = units.select(unit, scope, F.posexplode("cands").alias("pos", "key"))
-    hits = tried.join(suffix_keys(names, name, least, 2), [scope, "key"]).groupBy(unit, "pos", "key").agg(
+    asked = suffix_keys(names, name, least, 2).join(tried.select(scope, "key"), [scope, "key"], "left_semi")
+    entries = asked.groupBy(scope, "key").agg(
         F.min(group).alias("match"), F.max(group).alias("__other"), F.count("*").alias("n_entries"), *(aggregates or []))
-    one = hits.filter(F.col("match") == F.col("__other")).drop("__other")
+    one = tried.join(entries.filter(F.col("match") == F.col("__other")).drop("__other"), [scope, "key"]).drop(scope)
     best = one.groupBy(unit).agg(F.min_by(F.struct(*[c for c in one.columns if c != unit]), "pos").alias("b"))
     return best.select(unit, "b.*", F.when(F.col("b.n_entries") == 1, "town").otherwise("oaza").alias("level"))
 

@@ -340,6 +340,21 @@ def test_tiles_keep_to_the_cap(spark):
     assert {r.n for r in kept.filter("id = 399").groupBy("z").agg(F.count("*").alias("n")).collect()} == {1}
 
 
+def test_entries_are_aggregated_once_a_key(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(v):
+        seen.add(1)
+        return v
+
+    counted = F.udf(count, "double")
+    towns = spark.createDataFrame([("M", t, f"本町{t}", f"本町{t}", float(t)) for t in range(40)], "scope string, town int, full string, short string, lon double")
+    units = spark.createDataFrame([(u, "M", ["本町"]) for u in range(50)], "unit int, scope string, cands array<string>")
+    got = matching.exact_then_prefix(units, towns, "unit", "scope", [F.sum(counted("lon")).alias("lon")]).collect()
+    assert sorted((r.unit, r["mode"], r.lon) for r in got) == [(u, "prefix", 780.0) for u in range(50)]
+    assert seen.value < 50 * 40 / 4  # every unit with every town
+
+
 def test_band_nearest_carries_what_is_kept(spark):
     left, right = spark.createDataFrame([(1, 1, 5.0)], "a int, k int, u double"), spark.createDataFrame([(7, 1, 6.0), (8, 1, 4.5)], "b int, k int, s double")
     got = matching.band_nearest(left, right, ["k"], [(F.col("u"), F.col("s"), 2)], F.abs(F.col("u") - F.col("s")), "a", ["b"], keep=[])

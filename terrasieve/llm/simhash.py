@@ -14,8 +14,10 @@ from .common import connected_components, small_batches, stored, unused
 BLOCK = 1 << 16  # shingles hashed at a time, so that a huge text needs little memory
 SLICES, SLICE = 6, 10  # short SimHashes of a set of shingles, and their bits
 APART = 24  # of 64 bits: sets that share 0.8 of their shingles differ in 10, and in more than 24 once in some millions
-ALL_PAIRS = 16  # nodes that meet in one place and are compared each with each at once; of more, what their heads leave open follows
+WITHIN = 2  # bits of a short SimHash in which nodes that meet may differ
+ALL_PAIRS = 16  # nodes that share a shingle and are compared each with each at once; of more, what their heads leave open follows
 IN_BLOCK = 256  # nodes of a larger place that are compared in one group, with as many others
+COUNTERS = 1 << 18  # counts of shingles by their hash, by which rare ones come first
 LOAD = 8  # bits of a set's bitmap for each shingle, at least
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)  # byte value -> its bits, high first
 
@@ -95,10 +97,11 @@ def folded(maps: list[bytes], size: int) -> np.ndarray:
     return rows
 
 
-def bounded_pairs(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
+def bounded_pairs(left: pd.DataFrame, right: pd.DataFrame, similarity: float, may: Callable[[int, np.ndarray], np.ndarray] | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """For each row of `left` (size, bits, bitmap) the rows of `right` that may reach the similarity, by number.
 
-    Sizes and the SimHash decide first; then the bound by bitmaps, which no pair that has the similarity misses.
+    Sizes, the SimHash and `may` (a row of `left`, rows of `right`) decide first; then the bound by bitmaps, which no pair
+    that has the similarity misses.
     """
     of = {name: {int(n): g for n, g in side.groupby(side["bitmap"].str.len())} for name, side in (("left", left), ("right", right))}
     for n, a in of["left"].items():
@@ -107,12 +110,13 @@ def bounded_pairs(left: pd.DataFrame, right: pd.DataFrame, similarity: float) ->
                 continue  # sets of such unlike sizes cannot be similar
             size = min(n, m)
             x, y = folded(a["bitmap"].tolist(), size), folded(b["bitmap"].tolist(), size)
-            sizes, prints = b["size"].to_numpy(), b["bits"].to_numpy()
+            sizes, prints = b["size"].to_numpy(), b["bits"].to_numpy(np.int64).view(np.uint64)  # bits of signed numbers would be those of their absolute values
             spare_y = sizes - np.bitwise_count(y).sum(axis=1)
-            for i, row, own, print_ in zip(a.index, x, a["size"], a["bits"]):
+            for i, row, own, print_ in zip(a.index, x, a["size"], a["bits"].to_numpy(np.int64).view(np.uint64)):
                 need = similarity / (1 + similarity) * (sizes + own) - 1e-6
-                alike = (np.minimum(sizes, own) >= need) & (np.bitwise_count(prints ^ print_) <= APART)
-                some = np.flatnonzero(alike)
+                some = np.flatnonzero((np.minimum(sizes, own) >= need) & (np.bitwise_count(prints ^ print_) <= APART))
+                if may is not None:
+                    some = some[may(i, b.index.to_numpy()[some])]
                 if len(some):
                     shared = np.bitwise_count(y[some] & row).sum(axis=1) + np.minimum(spare_y[some], own - int(np.bitwise_count(row).sum()))
                     yield i, b.index.to_numpy()[some[shared >= need[some]]]
@@ -147,44 +151,73 @@ def _sketched(size: int):
 
 
 def slotted(nodes: DataFrame) -> DataFrame:
-    """(fp, bits, size, mark, own): SLICES rows a node of `nodes` (fp, bits, size, marks); stored.
+    """(fp, bits, size, place, n, own): SLICES rows a node of `nodes` (fp, bits, size, marks); stored.
 
-    The 64 bits are cut into short SimHashes, `own`, and each goes with a shingle of its own, the least under one hash.
-    Shingles that one node alone has are left out.
+    The 64 bits are cut into short SimHashes, `own`, and each goes with a shingle of its own, the least under one hash; the
+    n nodes that have it for that slice are a place. Shingles that one node alone has are left out.
     """
     slots = nodes.select("fp", "bits", "size", F.posexplode("marks").alias("slot", "mark"))
-    shared = slots.groupBy("slot", "mark").agg(F.count("*").alias("n")).filter("n > 1").select("slot", "mark")
+    shared = slots.groupBy("slot", "mark").agg(F.count("*").alias("n")).filter("n > 1")
     own = F.expr(f"shiftrightunsigned(bits, slot * {SLICE}) & {(1 << SLICE) - 1}").cast("int")
-    return stored(slots.join(shared, ["slot", "mark"]).select("fp", "bits", "size", F.xxhash64("slot", "mark").alias("mark"), own.alias("own")), "simhash-slots")
+    return stored(slots.join(shared, ["slot", "mark"]).select("fp", "bits", "size", F.xxhash64("slot", "mark").alias("place"), "n", own.alias("own")), "simhash-slots")
 
 
-def _spread(slots: DataFrame) -> DataFrame:
-    """`slots` at all places of each: a place is a short SimHash or one of its variants within one bit, with its shingle."""
-    flips = F.array(F.lit(0), *[F.lit(1 << i) for i in range(SLICE)])
-    spread = slots.withColumn("flip", F.explode(flips))
-    return spread.withColumn("place", F.xxhash64("mark", F.col("own").bitwiseXOR(F.col("flip")))).drop("mark", "own")
+def rare_first(shingles: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The rarest of a set's shingles, by `counts` and then by hash: so many that two sets with the similarity share one.
+
+    A set shares `similarity` of its shingles with any such set. If all but one less than that come last in an order that
+    holds for all sets, one that is shared is left among the first of both. Wrong counts cost time only.
+    """
+    keep = len(shingles) - int(np.ceil(similarity * len(shingles) - 1e-6)) + 1
+    return shingles[np.lexsort((shingles, counts[(shingles % np.uint64(COUNTERS)).astype(np.int64)]))[:keep]]
+
+
+def partnered(slots: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
+    """`slots` without those nodes of places of more than ALL_PAIRS that can be similar to no other node of such a place; stored.
+
+    Texts that have a common passage, and nothing else, meet in large places. They are told by their rarest shingles: a node
+    none of whose `rare_first` shingles another has is similar to none. Rows grow with the sets, not with the places.
+    """
+    large = slots.filter(F.col("n") > ALL_PAIRS)
+    crowd = texts_of(large.select("fp"), texts, nodes)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for t in batch["text"]:
+                sums[(shingle_set(t, size) % np.uint64(COUNTERS)).astype(np.int64)] += 1
+        at = np.flatnonzero(sums)
+        yield pd.DataFrame({"at": at, "n": sums[at]})
+
+    found = crowd.select("text").mapInPandas(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).filter("n > 1").toPandas()  # COUNTERS rows at most
+    counts = np.ones(COUNTERS, np.int32)
+    counts[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+
+    @F.pandas_udf("array<long>")
+    def rarest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([rare_first(shingle_set(t, size), counts, similarity).view(np.int64) for t in batch], dtype=object)
+
+    keys = stored(crowd.select("fp", rarest("text").alias("keys")), "simhash-rare").select("fp", F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high").select("key")
+    able = stored(keys.join(shared, "key", "left_semi").select("fp").distinct(), "simhash-able")
+    large = large.drop("n").join(able, "fp", "left_semi")
+    large = large.join(large.groupBy("place").agg(F.count("*").alias("n")).filter("n > 1"), "place").select(*slots.columns)
+    return stored(slots.filter(F.col("n") <= ALL_PAIRS).unionByName(large), "simhash-slots")
 
 
 def meetings(slots: DataFrame) -> DataFrame:
-    """(place, n, node) for the places where n = 2 or more nodes of `slots` meet; stored.
+    """(place, n, node) of `slots`: two nodes of a place meet if their short SimHashes differ in WITHIN or fewer bits.
 
-    Nodes meet if they share a shingle of `slots` and their short SimHashes differ in two or fewer bits. Places are
-    counted, not gathered, as a large group of near copies meets in one.
+    Places are counted, not gathered, as a large group of near copies is in one.
     """
-    spread = _spread(slots).select("place", F.struct("fp", "bits", "size", "flip").alias("node"))
-    sized = spread.groupBy("place").agg(F.count("*").alias("n")).filter("n > 1")
-    return stored(spread.join(sized, "place").select("place", "n", "node"), "simhash-met")
+    return slots.select("place", "n", F.struct("fp", "bits", "size", "own").alias("node"))
 
 
 def _near(a: Column, b: Column, similarity: float) -> Column:
-    """Whether two nodes may reach the similarity by their bits and by the sizes of their sets."""
+    """Whether two nodes of a place meet, and may reach the similarity by their bits and by the sizes of their sets."""
     alike = F.least(a["size"], b["size"]) >= F.greatest(a["size"], b["size"]) * (similarity - 1e-9)
-    return alike & (F.bit_count(a["bits"].bitwiseXOR(b["bits"])) <= APART)
-
-
-def _once(a: Column, b: Column) -> Column:
-    """One order of two nodes, at one of the places where their short SimHashes meet: a is the smaller."""
-    return (a["fp"] < b["fp"]) & ((a["flip"] == 0) | (a["flip"] < b["flip"]))
+    return alike & (F.bit_count(a["bits"].bitwiseXOR(b["bits"])) <= APART) & (F.bit_count(a["own"].bitwiseXOR(b["own"])) <= WITHIN)
 
 
 def _pairs_in(nodes: str, good: Callable[[Column, Column], Column]) -> Column:
@@ -194,19 +227,18 @@ def _pairs_in(nodes: str, good: Callable[[Column, Column], Column]) -> Column:
 
 
 def candidates(met: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes that may be similar: of up to ALL_PAIRS that meet all, of more those of two heads only.
+    """Pairs (a, b) of nodes that may be similar: in places of up to ALL_PAIRS all, in larger ones those of two heads only.
 
     Heads are the smallest node and one that differs from place to place: a large group of near copies is linked by pairs
     that grow with its size. What heads leave open is for `central` and `open_pairs`.
     """
     few = met.filter(F.col("n") <= ALL_PAIRS).groupBy("place").agg(F.collect_list("node").alias("nodes"))
-    few = few.select(F.explode(_pairs_in("nodes", lambda a, b: _once(a, b) & _near(a, b, similarity))).alias("pair")).select("pair.*")
+    few = few.select(F.explode(_pairs_in("nodes", lambda a, b: (a["fp"] < b["fp"]) & _near(a, b, similarity))).alias("pair")).select("pair.*")
     many = met.filter(F.col("n") > ALL_PAIRS)
     heads = many.groupBy("place").agg(F.min("node").alias("least"), F.min(F.struct(F.xxhash64("place", "node.fp").alias("rank"), "node")).alias("other"))
     many = many.join(heads.select("place", F.explode(F.array("least", "other.node")).alias("head")), "place")
     a, b = F.col("head"), F.col("node")
-    # at its own place a node is paired with the heads there; at its variants' only with heads that differ in two bits
-    many = many.filter((a["fp"] != b["fp"]) & ((b["flip"] == 0) | (a["flip"] != 0) & (a["flip"] != b["flip"])) & _near(a, b, similarity))
+    many = many.filter((a["fp"] != b["fp"]) & _near(a, b, similarity))
     return few.unionByName(many.select(F.least("head.fp", "node.fp").alias("a"), F.greatest("head.fp", "node.fp").alias("b"))).distinct()
 
 
@@ -225,14 +257,9 @@ def opened(large: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def large_places(slots: DataFrame, roots: DataFrame) -> DataFrame:
-    """(place, n, fp, bits, size, flip, root): nodes of the places where more than ALL_PAIRS meet that lie in different
-    components by `roots`; stored. Roots join the slots, a few a node, before these are spread.
-    """
-    rooted = slots.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    spread = _spread(rooted)
-    open_ = spread.groupBy("place").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    open_ = open_.filter((F.col("n") > ALL_PAIRS) & (F.col("low") != F.col("high"))).select("place", "n")
-    return stored(spread.join(open_, "place"), "simhash-open")
+    """(place, n, fp, bits, size, own, root): nodes of the places of more than ALL_PAIRS that lie in different components by
+    `roots`; stored."""
+    return stored(opened(slots.filter(F.col("n") > ALL_PAIRS), roots), "simhash-open")
 
 
 def with_bitmaps(large: DataFrame, texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -256,7 +283,7 @@ def central(large: DataFrame, similarity: float) -> DataFrame:
     ones = [F.sum(F.shiftrightunsigned("bits", i).bitwiseAND(F.lit(1))) for i in range(64)]
     middles = large.groupBy("place").agg(F.array(*[(2 * x > F.count("*")).cast("long") for x in ones]).alias("ones"))
     middles = middles.select("place", F.aggregate(F.reverse("ones"), F.lit(0).cast("long"), lambda x, bit: F.shiftleft(x, 1).bitwiseOR(bit)).alias("middle"))
-    node = F.struct("fp", "bits", "size", "root").alias("node")
+    node = F.struct("fp", "bits", "size", "own", "root").alias("node")
     ranked = large.join(middles, "place").select("place", node, F.bit_count(F.col("bits").bitwiseXOR(F.col("middle"))).alias("off"))
     heads = ranked.groupBy("place").agg(F.min(F.struct("off", "node")).alias("best")).select("place", F.col("best.node").alias("head"))
     a, b = F.col("head"), F.col("node")
@@ -274,18 +301,15 @@ def open_pairs(large: DataFrame, similarity: float) -> DataFrame:
     blocks = F.ceil(F.col("n") / IN_BLOCK)
     dealt = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("fp", "place"), "blocks"))
     dealt = dealt.withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    cells = dealt.select("place", F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "block", "fp", "bits", "size", "flip", "root", "bitmap")
+    cells = dealt.select("place", F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "block", "fp", "bits", "size", "own", "root", "bitmap")
 
     def compare(nodes: pd.DataFrame) -> pd.DataFrame:
         i, j = int(nodes["i"].iloc[0]), int(nodes["j"].iloc[0])
         left, right = nodes[nodes["block"] == i], nodes[nodes["block"] == j]
-        fp, root, flip, out = nodes["fp"].to_numpy(), nodes["root"].to_numpy(), nodes["flip"].to_numpy(), []
-        for a, found in bounded_pairs(left, right, similarity):
-            found = found[root[found] != root[a]]
-            low = np.where(fp[found] < fp[a], flip[found], flip[a])
-            high = np.where(fp[found] < fp[a], flip[a], flip[found])
-            for b in found[(low == 0) | (low < high)].tolist():  # at one of the places where the two meet
-                out.append((min(fp[a], fp[b]), max(fp[a], fp[b])))
+        fp, root, own, out = nodes["fp"].to_numpy(), nodes["root"].to_numpy(), nodes["own"].to_numpy(), []
+        may = lambda a, of: (root[of] != root[a]) & (np.bitwise_count(own[of] ^ own[a]) <= WITHIN)
+        for a, found in bounded_pairs(left, right, similarity, may):
+            out += [(min(fp[a], fp[b]), max(fp[a], fp[b])) for b in found.tolist()]
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return cells.groupBy("place", "i", "j").applyInPandas(compare, "a long, b long").distinct()
@@ -324,7 +348,7 @@ def similar_links(texts: DataFrame, nodes: DataFrame, size: int, similarity: flo
     central node, and those that are still not joined by all pairs of nodes in different components; so of all that meet,
     in whatever number, no pair is left out but by its component, its sizes and its SimHash.
     """
-    slots = slotted(nodes)
+    slots = partnered(slotted(nodes), texts, nodes, size, similarity)
     pairs = stored(candidates(meetings(slots), similarity), "simhash-pairs")
     links = verified(pairs, texts, nodes, size, similarity)
     large = large_places(slots, connected_components(links))

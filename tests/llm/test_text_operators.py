@@ -556,6 +556,49 @@ def test_bitmaps_bound_what_sets_share():
         assert alike <= found and 3 not in found or size < 3
 
 
+def test_all_64_bits_of_two_simhashes_count():
+    import pandas as pd
+
+    one = np.unique(np.random.default_rng(4).integers(0, 1 << 63, 90, dtype=np.uint64))
+    of = lambda bits: pd.DataFrame([{"size": len(one), "bits": bits, "bitmap": simhash.bitmap(one)}])
+    for a, b, near in ((0, 7 - 2**63, True), (-1, 2**63 - 8, True), (0, -(2**40), True), (0, 2**40 - 1, False), (0, -1, False)):  # 4, 4, 24, 40, 64 bits apart
+        assert [j.tolist() for _, j in simhash.bounded_pairs(of(a), of(b), 0.8)] == ([[0]] if near else [])
+
+
+def test_a_common_passage_makes_few_rows(spark):
+    import random
+
+    rng = random.Random(12)
+    passage = [f"p{i}" for i in range(200)]
+    rows = [(i, " ".join([*(f"t{i}_{j}" for j in range(rng.randrange(60, 90))), *passage])) for i in range(400)]  # alike in some 0.57
+    for i in range(40):  # near copies of some of them
+        words = rows[i][1].split()
+        words[5] = words[-3] = f"edit{i}"
+        rows.append((1000 + i, " ".join(words)))
+    df = spark.createDataFrame(rows, "row long, text string").repartition(4)
+    nodes = df.select(F.col("row").alias("held"), simhash._sketched(5)("text").alias("s")).select("held", "s.*")
+    slots = simhash.slotted(nodes)
+    assert slots.filter(F.col("n") > 100).count() > 400 and simhash.meetings(slots).count() <= simhash.SLICES * len(rows)
+    left = simhash.partnered(slots, df, nodes, 5, 0.8)
+    held = {r.held for r in left.filter(F.col("n") > simhash.ALL_PAIRS).join(nodes, "fp").select("held").collect()}
+    assert held <= {*range(40), *range(1000, 1040)} and len(held) > 40  # texts with the passage alone are in no large place
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(df.withColumnRenamed("row", "doc_id"), size=5, similarity=0.8).collect()}
+    assert found == {i: i % 1000 if i >= 1000 else i for i, _ in rows}
+
+
+def test_similar_sets_share_a_rare_shingle():
+    rng = np.random.default_rng(6)
+    counts = rng.integers(1, 9, simhash.COUNTERS).astype(np.int32)
+    for size in (1, 2, 5, 9, 100, 333):
+        one = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        for drop in range(size // 8 + 1):
+            for more in (0, drop):
+                two = np.unique(np.concatenate([one[drop:], rng.integers(0, 1 << 63, more, dtype=np.uint64)]))
+                shared = len(np.intersect1d(one, two))
+                if shared >= 0.8 * (len(one) + len(two) - shared):
+                    assert len(np.intersect1d(simhash.rare_first(one, counts, 0.8), simhash.rare_first(two, counts, 0.8)))
+
+
 @pytest.mark.parametrize("clash", [{"__row": "x", "__score": "y", "__bpe": "z", "__from": "f"}])
 def test_internal_names_give_way(spark, clash):
     rows = [(i, " ".join(f"w{(i * 7 + j) % 90}" for j in range(60)), *clash.values()) for i in range(20)]
